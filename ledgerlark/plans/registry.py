@@ -21,7 +21,7 @@ from ledgerlark.operators import (
 )
 from ledgerlark.operators.sampling import HashOrder
 from ledgerlark.plans import exploration, search, training
-from ledgerlark.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RAW_CSV_COLUMNS, raw_csv_schema
+from ledgerlark.schema import BEHAVIOUR_FEATURES, CATEGORICAL_FEATURES, RAW_CSV_COLUMNS, raw_csv_schema
 from ledgerlark.session import materialise, scratch_path
 from ledgerlark.sources import files, messages, runs
 from ledgerlark.streaming import history as stream_history, scoring as stream_scoring
@@ -88,8 +88,7 @@ def _raw_rows(spark, sf_dir) -> DataFrame:
 def _message_folder(spark, sf_dir, files_wanted: int | None = None) -> dict:
     """The transactions as messages in a folder: the stand-in for a topic."""
     payload = txn(spark, sf_dir).select(
-        F.col("record_id").cast("int").alias("record_id"),
-        F.date_format("transaction_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("transacted_at"), "card_number",
+        "record_id", F.date_format("transaction_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("transacted_at"), "card_number",
         "merchant", "category", "amount", "gender", "city", "state", "zip", "lat", "long", "city_pop",
         "transaction_id", "merchant_lat", "merchant_long", "is_fraud", "transaction_time")
     envelope = messages.to_envelope(payload.drop("transaction_time"))
@@ -411,8 +410,8 @@ _SERVING_COLUMNS = ["record_id", "transaction_hour", "transaction_dayofweek", "t
 _SERVING_SQL = f"""
 SELECT record_id, {_CALENDAR}, {_CALENDAR_FLAGS}, round(ln(1 + greatest(coalesce(amount, 0), 0)), 6) AS amount_log,
   round(sqrt(pow(coalesce(lat, 0) - merchant_lat, 2) + pow(long - merchant_long, 2)), 6) AS merchant_distance,
-  round(ln(1 + greatest(coalesce(city_pop, 0), 0)), 6) AS city_pop_log, 0.0 AS time_since_last_txn,
-  1000 AS user_activity_24h, 1000.0 AS rolling_avg_7d, round(amount / 1000, 6) AS amount_to_avg_ratio,
+  round(ln(1 + greatest(coalesce(city_pop, 0), 0)), 6) AS city_pop_log, CAST(0 AS DOUBLE) AS time_since_last_txn,
+  1000 AS user_activity_24h, CAST(1000 AS DOUBLE) AS rolling_avg_7d, round(amount / 1000, 6) AS amount_to_avg_ratio,
   CASE WHEN merchant IN ('QuickCash', 'GlobalDigital', 'FastMoneyX') THEN 1 ELSE 0 END AS merchant_risk
 FROM txn WHERE amount IS NOT NULL"""
 
@@ -476,7 +475,7 @@ _ACTIVITY_SQL = with_views("txn") + f" SELECT record_id, count(amount) {_DAY_FRA
 _RATIO_SQL = with_views("txn") + f"""
 SELECT record_id, round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 6) AS amount_to_avg_ratio FROM txn"""
 _BEHAVIOUR_SQL = with_views("txn") + f"""
-SELECT record_id, count(amount) {_DAY_FRAME} AS user_activity_24h, round(avg(amount) {_WEEK_FRAME}, 6) AS rolling_avg_7d,
+SELECT record_id, count(amount) {_DAY_FRAME} AS user_activity_24h, round(avg(amount) {_WEEK_FRAME}, 9) AS rolling_avg_7d,
   round((epoch_us(transaction_time) - epoch_us({_LAST})) / 1000000, 6) AS time_since_last_txn,
   round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 6) AS amount_to_avg_ratio FROM txn"""
 _BEHAVIOUR_COLUMNS = ["record_id", "user_activity_24h", "rolling_avg_7d", "time_since_last_txn", "amount_to_avg_ratio"]
@@ -487,7 +486,8 @@ def _history_rows(spark, sf_dir) -> DataFrame:
 
 
 def _behaviour(df: DataFrame) -> DataFrame:
-    return _rounded(df, "rolling_avg_7d", "time_since_last_txn", "amount_to_avg_ratio").select(*_BEHAVIOUR_COLUMNS)
+    df = _rounded(_rounded(df, "rolling_avg_7d", digits=9), "time_since_last_txn", "amount_to_avg_ratio")
+    return df.select(*_BEHAVIOUR_COLUMNS)
 
 
 @query("W1 W6 U4", _ACTIVITY_SQL)
@@ -520,14 +520,8 @@ SELECT record_id, amount, {_CALENDAR_FLAGS}, count(amount) {_DAY_FRAME} AS user_
   merchant, is_fraud FROM txn
 """)
 def behaviour_features(spark, sf_dir):
-    return _rounded(behaviour_rows(spark, sf_dir), "amount_to_avg_ratio").drop("transaction_id")
-
-
-def behaviour_rows(spark, sf_dir) -> DataFrame:
-    rows = history.add_behaviour(txn(spark, sf_dir))
-    rows = features.add_merchant_risk(features.add_calendar_flags(rows), null_as=0)
-    return rows.select("record_id", "transaction_id", "amount", "is_night", "is_weekend", "transaction_day",
-                       "user_activity_24h", "amount_to_avg_ratio", "merchant_risk", "merchant", "is_fraud")
+    rows = training.behaviour_rows(txn(spark, sf_dir)).select("record_id", *BEHAVIOUR_FEATURES, "is_fraud")
+    return _rounded(rows, "amount_to_avg_ratio")
 
 
 # --- profile --------------------------------------------------------------------------------
@@ -724,10 +718,6 @@ def amount_distance_sample(spark, sf_dir):
 
 # --- preprocessing --------------------------------------------------------------------------
 
-_TRAIN_ROWS = with_views("txn") + f""",
-f AS (SELECT *, {_TRAINING_FEATURES.replace('coalesce(gender', 'coalesce(gender').replace('AS gender', 'AS gender_filled')} FROM txn)"""
-
-
 def _scaled_sql(c: str) -> str:
     return (f"round((coalesce({c}, {c}_m) - avg(coalesce({c}, {c}_m)) OVER ()) / "
             f"coalesce(nullif(stddev_pop(coalesce({c}, {c}_m)) OVER (), 0), 1), 5) AS {c}")
@@ -781,11 +771,6 @@ def ordinal_codes_by_join(spark, sf_dir):
     return coded.select("record_id", *[preprocess.code_name(c) for c in _CODED])
 
 
-def _full_code_sql(c: str) -> str:
-    return _code_sql(c).replace(" AND record_id % 2 = 0", "").replace("FROM txn", "FROM f").replace(
-        c + " ", "gender_filled " if c == "gender" else c + " ")
-
-
 @query("E5 E6 P24", with_views("txn") + f""",
 f AS (SELECT record_id, category, city, coalesce(gender, 'unknown') AS gender, amount, lat, ln(1 + city_pop) AS city_pop_log,
   CAST(hour(transaction_time) AS DOUBLE) AS transaction_hour FROM txn),
@@ -1013,7 +998,7 @@ def streamed_history(spark, sf_dir):
 @query("T7 J4", with_views("txn") + """,
 p AS (SELECT card_number AS k, count(amount) AS txn_count, avg(amount) AS amount_avg, max(transaction_time) AS last_time
   FROM txn WHERE transaction_time < TIMESTAMP '2024-01-16' GROUP BY 1)
-SELECT record_id, txn_count, round(amount_avg, 6) AS amount_avg, epoch_us(last_time) AS last_time FROM txn LEFT JOIN p ON card_number = k
+SELECT record_id, txn_count, round(amount_avg, 9) AS amount_avg, epoch_us(last_time) AS last_time FROM txn LEFT JOIN p ON card_number = k
 """)
 def streamed_profile_join(spark, sf_dir):
     past = txn(spark, sf_dir).filter("transaction_time < TIMESTAMP '2024-01-16'")
@@ -1021,7 +1006,7 @@ def streamed_profile_join(spark, sf_dir):
     card = materialise(history.merge_profile(daily), "profile")
     source = stream_scoring.transactions(messages.stream_messages(spark, _message_folder(spark, sf_dir)))
     rows = stream_scoring.join_profile(source, card).select("record_id", "txn_count", "amount_avg", "last_time")
-    return _micros(_rounded(_drained(spark, rows, "profiled"), "amount_avg"), "last_time")
+    return _micros(_rounded(_drained(spark, rows, "profiled"), "amount_avg", digits=9), "last_time")
 
 
 @query("T8 A8", with_views("txn") + """,
@@ -1037,6 +1022,97 @@ def streamed_hourly_rates(spark, sf_dir):
 
 
 # --- models (no SQL equivalent) -------------------------------------------------------------
+# Small budgets: the settings of the families are far larger. All rows are used.
+
+def _trained(spark, sf_dir, name: str, params: dict | None = None, **settings) -> DataFrame:
+    settings = {"n_folds": None, "test_size": 0.2, **settings}
+    return training.metric_frame(training.train(txn(spark, sf_dir), name, params, settings))
+
+
+@query("M6 M13 M14 M18 X8 E5 S10")
+def decision_tree_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "decision_tree", n_folds=3)
+
+
+@query("M5 M13 M14 X6 X8 V7")
+def logistic_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "logistic", {"max_iter": 100}, n_folds=3)
+
+
+@query("M1 M12 M14 X3 X8 F11")
+def xgboost_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "xgboost", {"iterations": 10}, select_features=False)
+
+
+@query("M2 M12 M14 E6")
+def catboost_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "catboost", {"iterations": 10}, select_features=False)
+
+
+@query("M3")
+def lightgbm_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "lightgbm", {"iterations": 10})
+
+
+@query("M4")
+def tabnet_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "tabnet", {"iterations": 10})
 
-def _trained(spark, sf_dir, name: str, **settings) -> DataFrame:
-    return training.metric_frame(training.train(txn(spark, sf_dir), name, settings={"n_folds": None, **settings}))
+
+@query("M7")
+def extra_tree_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "extra_tree", {"trees": 20, "max_depth": 8})
+
+
+@query("M8 F12")
+def random_forest_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "random_forest", {"trees": 20, "max_depth": 8})
+
+
+@query("M9")
+def mlp_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "mlp", {"hidden_layers": [32, 16], "max_iter": 40})
+
+
+@query("M10 V8 E7")
+def behaviour_training(spark, sf_dir):
+    return _trained(spark, sf_dir, "behaviour", {"iterations": 10})
+
+
+@query("M11 V11")
+def feature_importances(spark, sf_dir):
+    spec = models.family("xgboost")
+    rows = materialise(training.training_rows(txn(spark, sf_dir)).select(*spec.numeric, *spec.categorical, "is_fraud"), "rows")
+    _, table = training.select_features(rows, spec, spec.params, spec.settings, 666)
+    return table
+
+
+@query("M15 V10")
+def logistic_search(spark, sf_dir):
+    found = search.search(txn(spark, sf_dir), "logistic", search.candidates_for("logistic", 2),
+                          settings={"n_folds": 2})
+    return found
+
+
+@query("M16 V10")
+def boosting_search(spark, sf_dir):
+    candidates = [{**c, "iterations": 5} for c in search.candidates_for("xgboost", 2)]
+    return search.search(txn(spark, sf_dir), "xgboost", candidates, settings={"n_folds": 2, "early_stopping": False})
+
+
+@query("M17 V5 V10")
+def behaviour_search(spark, sf_dir):
+    candidates = [{**c, "iterations": 5} for c in search.candidates_for("behaviour", 2)]
+    return search.search(txn(spark, sf_dir), "behaviour", candidates, "f2", {"n_folds": 2})
+
+
+@query("S9 T3 E8 U2")
+def reloaded_model_scores_stream(spark, sf_dir):
+    """A saved model, loaded again, scores the message stream."""
+    spec = models.family("decision_tree")
+    rows = materialise(training.training_rows(txn(spark, sf_dir)).select(*spec.numeric, *spec.categorical, "is_fraud"), "rows")
+    path = scratch_path(spark, "model")
+    training.fit_model(rows, spec, spec.params, spec.settings, 666).save(path)
+    model = scoring.ScoringModel.load(spark, path)
+    source = messages.stream_messages(spark, _message_folder(spark, sf_dir))
+    return _drained(spark, stream_scoring.scored(source, model, keep=["record_id", "transaction_id"]), "scored")

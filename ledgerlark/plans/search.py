@@ -11,7 +11,7 @@ from ledgerlark.operators.models import (
     BEHAVIOUR_GRID, BOOSTING_GRID, LOGISTIC_CANDIDATES, family, grid, layered,
 )
 from ledgerlark.operators.sampling import HashOrder
-from ledgerlark.plans.training import HELD_OUT, ROW_ID, Trained, cross_validate, prepare, train, training_rows
+from ledgerlark.plans.training import HELD_OUT, ROW_ID, Trained, cross_validate, prepare, rows_for, train
 
 
 def candidates_for(name: str, limit: int | None = None, mode: str = "random", seed: int = 42) -> list[dict]:
@@ -21,8 +21,8 @@ def candidates_for(name: str, limit: int | None = None, mode: str = "random", se
     return grid(space, limit, mode, seed)
 
 
-def search(transactions: DataFrame | None, name: str, candidates: list[dict], metric: str = "avg_precision",
-           settings: dict | None = None, rows: DataFrame | None = None, parallelism: int = 4) -> DataFrame:
+def search(transactions: DataFrame, name: str, candidates: list[dict], metric: str = "avg_precision",
+           settings: dict | None = None, parallelism: int = 4) -> DataFrame:
     """(candidate, params, <metric>_mean, <metric>_std), one row per candidate.
 
     The table is prepared once; folds are the same for all candidates.
@@ -30,7 +30,7 @@ def search(transactions: DataFrame | None, name: str, candidates: list[dict], me
     spec = family(name)
     settings = layered(spec.settings, settings, {"select_features": False})
     order = HashOrder(ROW_ID, settings["seed"])
-    table = prepare(training_rows(transactions) if rows is None else rows, spec, settings, order)
+    table = prepare(rows_for(transactions, spec), spec, settings, order)
     in_train = table.filter(~F.col(HELD_OUT))
     results = None
     for i, candidate in enumerate(candidates, start=1):
@@ -48,6 +48,6 @@ def best(results: DataFrame, metric: str = "avg_precision") -> dict:
 
 
 def search_and_train(transactions: DataFrame, name: str, candidates: list[dict], metric: str = "avg_precision",
-                     settings: dict | None = None, rows: DataFrame | None = None) -> Trained:
-    results = search(transactions, name, candidates, metric, settings, rows)
-    return train(transactions, name, best(results, metric), settings, rows=rows)
+                     settings: dict | None = None) -> Trained:
+    results = search(transactions, name, candidates, metric, settings)
+    return train(transactions, name, best(results, metric), settings)

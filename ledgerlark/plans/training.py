@@ -9,7 +9,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlark.operators import metrics, preprocess, sampling
-from ledgerlark.operators.features import add_training_features
+from ledgerlark.operators.features import add_calendar_flags, add_merchant_risk, add_training_features
+from ledgerlark.operators.history import Entity, add_behaviour
 from ledgerlark.operators.models import (
     LABEL, VALIDATION, WEIGHT, Family, family, importance_table, layered, pick_features,
 )
@@ -39,6 +40,16 @@ def training_rows(transactions: DataFrame) -> DataFrame:
     return add_training_features(normalise(transactions))
 
 
+def behaviour_rows(transactions: DataFrame, entity: Entity = Entity()) -> DataFrame:
+    """Normalised rows with what the card did before, for the behaviour model."""
+    rows = add_behaviour(normalise(transactions), entity)
+    return add_merchant_risk(add_calendar_flags(rows, entity.time), null_as=0)
+
+
+def rows_for(transactions: DataFrame, spec: Family) -> DataFrame:
+    return behaviour_rows(transactions) if spec.name == "behaviour" else training_rows(transactions)
+
+
 def prepare(rows: DataFrame, spec: Family, settings: dict, order: HashOrder) -> DataFrame:
     """Id, features, label, hold-out flag and fold of every row, written once.
 
@@ -150,16 +161,16 @@ def _cv_means(fold_metrics: DataFrame) -> dict[str, float]:
 
 
 def train(transactions: DataFrame, name: str, params: dict | None = None, settings: dict | None = None,
-          order: HashOrder | None = None, rows: DataFrame | None = None, parallelism: int = 4) -> Trained:
+          order: HashOrder | None = None, parallelism: int = 4) -> Trained:
     """The whole job of one trainer.
 
-    ``rows`` replaces the default feature rows (used by the behaviour model). The decision threshold is
-    the mean of the folds' thresholds when a recall target is set, else the fixed one.
+    The decision threshold is the mean of the folds' thresholds when a recall target is set, the best F1 on
+    the training rows for the behaviour model, else the fixed one.
     """
     spec = family(name)
     params, settings = layered(spec.params, params), layered(spec.settings, settings)
     order = order or HashOrder(ROW_ID, settings["seed"])
-    table = prepare(training_rows(transactions) if rows is None else rows, spec, settings, order)
+    table = prepare(rows_for(transactions, spec), spec, settings, order)
     in_train, in_test = table.filter(~F.col(HELD_OUT)), table.filter(HELD_OUT)
     seed = settings["seed"]
 

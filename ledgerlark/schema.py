@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 # --- Fixed values: names, order and types of the transaction message -------------------------
 TRANSACTION_SCHEMA = T.StructType([
-    T.StructField("record_id", T.IntegerType()),
+    T.StructField("record_id", T.LongType()),   # wider than an int: ordinals of large tables must fit
     T.StructField("transacted_at", T.StringType()),
     T.StructField("card_number", T.StringType()),
     T.StructField("merchant", T.StringType()),

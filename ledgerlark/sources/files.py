@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 logger = logging.getLogger(__name__)
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
+# Blanks belong to the value; the writer would trim them by default.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

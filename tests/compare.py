@@ -27,7 +27,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _canonical(frame: pd.DataFrame) -> list[tuple]:
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return ""
         if hasattr(v, "item"):
             v = v.item()
@@ -52,6 +52,16 @@ def difference(got: pd.DataFrame, wanted: pd.DataFrame) -> str | None:
     return f"{len(wrong)} of {len(a)} rows differ, first {wrong[0]}" if wrong else None
 
 
+_SAME = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_difference(spark_types: list[tuple[str, str]], con, sql: str) -> str | None:
+    """Columns whose type in the other engine is not the plain counterpart."""
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    odd = [f"{n}: {t} / {theirs.get(n)}" for n, t in spark_types if _SAME.get(t) != theirs.get(n)]
+    return ", ".join(odd) or None
+
+
 def main() -> int:
     from __spark_entry__ import oracle_sql, queries
     from ledgerlark.session import build_session
@@ -66,9 +76,13 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            got = run(spark, sf_dir).toPandas()
+            df = run(spark, sf_dir)
+            got = df.toPandas()
             took = time.time() - start
-            verdict = difference(got, con.execute(sql[name]).df()) if name in sql else f"no SQL, {len(got)} rows"
+            if name in sql:
+                verdict = difference(got, con.execute(sql[name]).df()) or type_difference(df.dtypes, con, sql[name])
+            else:
+                verdict = f"no SQL, {len(got)} rows"
         except Exception as failure:  # report and go on with the next query
             took, verdict = time.time() - start, f"{type(failure).__name__}: {str(failure)[:600]}"
         bad += bool(verdict and name in sql)
