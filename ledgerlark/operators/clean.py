@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlark.functions.scalar import is_member, to_event_timestamp
+from ledgerlark.operators.bounded import join_small
 from ledgerlark.operators.orderstats import quantiles
 from ledgerlark.schema import HIGH_RISK_MERCHANTS, WINSORISED_COLUMNS
 
@@ -83,12 +84,11 @@ def standardise(df: DataFrame) -> DataFrame:
 def collapse_rare(df: DataFrame, column: str = "merchant", min_rows: int = 5, other: str = "other") -> DataFrame:
     """Values on fewer than ``min_rows`` rows become ``other``; NULL stays NULL.
 
-    Counts are combined map-side and only rare values are joined back, so no row follows a frequent
-    value through a shuffle when the rare list is small enough for Spark to broadcast.
+    Counts are combined map-side and only the rare values are joined back.
     """
     rare = (df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).count()
             .filter(F.col("count") < min_rows).select("_value", F.lit(True).alias("_rare")))
-    return (df.join(rare, F.col(column) == F.col("_value"), "left")
+    return (join_small(df, rare, F.col(column) == F.col("_value"), "left")
             .withColumn(column, F.when(F.col("_rare"), other).otherwise(F.col(column)))
             .drop("_value", "_rare"))
 
@@ -151,7 +151,7 @@ def split_valid(df: DataFrame, rules: Sequence[Rule] = EVENT_RULES) -> tuple[Dat
 def flag_patterns(df: DataFrame, compromised: DataFrame, merchants: Sequence[str] = HIGH_RISK_MERCHANTS) -> DataFrame:
     """The four suspicious patterns as 0/1 columns.
 
-    ``compromised`` is a table with one column ``user_id``; Spark decides whether it is broadcast.
+    ``compromised`` is a table with one column ``user_id``.
     """
     listed = compromised.select("user_id").distinct().withColumn("_listed", F.lit(True))
     amount, user = F.col("amount"), F.col("user_id").cast("bigint")
@@ -161,6 +161,6 @@ def flag_patterns(df: DataFrame, compromised: DataFrame, merchants: Sequence[str
         "merchant_collusion": (is_member(F.col("merchant"), merchants) == 1) & (amount > 300),
         "geo_anomaly": user % 500 == 0,
     }
-    return (df.join(listed, "user_id", "left")
+    return (join_small(df, listed, "user_id", "left")
             .withColumns({n: F.coalesce(c, F.lit(False)).cast("int") for n, c in flags.items()})
             .drop("_listed"))

@@ -1,14 +1,15 @@
 """Per-entity history features: what the card did before this transaction.
 
 A card with few enough rows is one window group. A card that holds a large part of the table would be
-one endless task, so its rows take another road with the same result:
+one endless task, so its rows are cut into time slices, with the same result:
 
-* time frames (``[t - span, t)``) are cut into slices. A row's frame is the total of the whole slices
-  before it, plus what entered in its own slice, minus what left in its own slice; the leaving events are
-  the old rows moved forward by ``span``. Groups are (card, slice), pre-counted by distinct time.
-* row frames (last k rows) are windows per (card, slice) with the k rows before the slice copied in.
+* row frames (last k rows): the group is (card, slice), with the k rows before the slice copied in.
+* time frames (``[t - span, t)``): the total of the whole slices in the frame, plus what entered in the
+  row's own slice, minus what left in it; the leaving events are the old rows moved forward by ``span``.
+  Groups are (card, slice), pre-counted by distinct time.
 
-Rows without a card have no history; they skip the shuffle.
+Cards with few rows have a single slice, so all rows go through one shuffle on (card, slice). Rows without
+a card have no history; they are spread over salts instead of forming one group.
 """
 
 from __future__ import annotations
@@ -17,11 +18,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlark.operators.hotkeys import HOT_ROWS, hot_keys, split_hot
+from ledgerlark.operators.hotkeys import HOT_ROWS, flag_hot, hot_keys
+from ledgerlark.session import materialise
 
-HOUR = 3_600_000_000
+SECOND = 1_000_000
+MINUTE = 60 * SECOND
+HOUR = 60 * MINUTE
 DAY = 24 * HOUR
 WEEK = 7 * DAY
+NO_CARD_SALTS = 10_000
+_HELPERS = ("_t", "_slice", "_hot")
 
 
 @dataclass(frozen=True)
@@ -34,114 +40,140 @@ class Entity:
     amount: str = "amount"
 
 
+def fitting_slice(df: DataFrame, e: Entity, hot: list, hot_rows: int) -> int:
+    """The longest of hour, minute and second whose fullest slice of a hot card is still small."""
+    if not hot:
+        return HOUR
+    rows = flag_hot(df.select(e.key, F.unix_micros(F.col(e.time)).alias("_t")), e.key, hot, "_hot").filter("_hot")
+    for size in (HOUR, MINUTE):
+        fullest = (rows.groupBy(e.key, F.floor(F.col("_t") / size)).count().agg(F.max("count")).first()[0] or 0)
+        if fullest <= hot_rows:
+            return size
+    return SECOND
+
+
+def _sliced(df: DataFrame, e: Entity, hot: list, slice_size: int) -> DataFrame:
+    """Adds the time in microseconds, the slice and whether the card is cut into slices."""
+    timed = flag_hot(df.withColumn("_t", F.unix_micros(F.col(e.time))), e.key, hot, "_hot")
+    salt = F.pmod(F.xxhash64(e.row_id), F.lit(NO_CARD_SALTS))
+    return timed.withColumn("_slice", F.when(F.col(e.key).isNull(), salt)
+                            .when(F.col("_hot"), F.floor(F.col("_t") / slice_size)).otherwise(0).cast("bigint"))
+
+
+# --- row frames -----------------------------------------------------------------------------
+
+def _copies(sliced: DataFrame, e: Entity, halo: int) -> DataFrame:
+    """For every slice of a hot card, the ``halo`` rows before it, as rows of that slice.
+
+    Only the last ``halo`` rows of each slice can be needed by a later one, so the card-wide numbering
+    runs over those few rows.
+    """
+    latest = Window.partitionBy(e.key, "_slice").orderBy(F.desc("_t"), F.desc(e.row_id))
+    tails = (sliced.filter("_hot").select(e.key, e.time, e.row_id, e.amount, "_t", "_slice")
+             .withColumn("_nth", F.row_number().over(latest)).filter(F.col("_nth") <= halo).drop("_nth"))
+    numbered = tails.withColumn("_pos", F.row_number().over(Window.partitionBy(e.key).orderBy("_t", e.row_id)))
+    back = F.sequence(F.col("_first") - halo, F.col("_first") - 1)
+    wanted = (numbered.groupBy(e.key, "_slice").agg(F.min("_pos").alias("_first"))
+              .select(e.key, "_slice", F.explode(back).alias("_pos")).filter(F.col("_pos") > 0))
+    return numbered.drop("_slice", "_hot").join(wanted, [e.key, "_pos"]).drop("_pos")
+
+
+def _add_row_frames(sliced: DataFrame, e: Entity, back: int, copies: DataFrame | None = None) -> DataFrame:
+    rows = sliced
+    if copies is not None:
+        rows = (sliced.withColumn("_copy", F.lit(False))
+                .unionByName(copies.withColumn("_copy", F.lit(True)), allowMissingColumns=True))
+    in_order = Window.partitionBy(e.key, "_slice").orderBy("_t", e.row_id)
+    known = F.col(e.key).isNotNull()
+    rows = rows.withColumns({
+        "recent_avg": F.when(known, F.avg(e.amount).over(in_order.rowsBetween(1 - back, 0))),
+        "previous_time": F.when(known, F.lag(e.time).over(in_order)),
+    })
+    return rows if copies is None else rows.filter(~F.col("_copy")).drop("_copy")
+
+
 # --- time frames ----------------------------------------------------------------------------
 
-def _windowed_time_frame(df: DataFrame, e: Entity, spans: dict[str, int]) -> DataFrame:
-    by_time = Window.partitionBy(e.key).orderBy("_t")
-    out = {}
+def _windowed_frames(rows: DataFrame, e: Entity, spans: dict[str, int]) -> DataFrame:
+    by_time = Window.partitionBy(e.key, "_slice").orderBy("_t")
+    known, out = F.col(e.key).isNotNull(), {}
     for name, span in spans.items():
         frame = by_time.rangeBetween(-span, -1)
-        out[f"{name}_count"] = F.count(e.amount).over(frame)
-        out[f"{name}_sum"] = F.sum(e.amount).over(frame)
-    return df.withColumns(out)
+        out[f"{name}_count"] = F.when(known, F.count(e.amount).over(frame)).otherwise(0)
+        out[f"{name}_sum"] = F.when(known, F.sum(e.amount).over(frame))
+    return rows.withColumns(out) if out else rows
 
 
-def _sliced_time_frame(df: DataFrame, e: Entity, spans: dict[str, int], slice_size: int) -> DataFrame:
-    moments = (df.groupBy(e.key, "_t")
-               .agg(F.count(e.amount).alias("n"), F.sum(e.amount).alias("s"))
-               .withColumn("slice", F.floor(F.col("_t") / slice_size).cast("bigint")))
-    slices = moments.groupBy(e.key, "slice").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+def _slice_frames(rows: DataFrame, e: Entity, spans: dict[str, int], slice_size: int) -> DataFrame:
+    """(card, _t, counts and sums) of hot cards."""
+    moments = rows.groupBy(e.key, "_slice", "_t").agg(F.count(e.amount).alias("n"), F.sum(e.amount).alias("s"))
+    slices = moments.groupBy(e.key, "_slice").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     frames = None
     for name, span in spans.items():
         if span % slice_size:
             raise ValueError("the slice size must divide every span")
-        whole = Window.partitionBy(e.key).orderBy("slice").rangeBetween(-(span // slice_size), -1)
-        base = slices.select(e.key, "slice", F.coalesce(F.sum("n").over(whole), F.lit(0)).alias("base_n"),
+        width = span // slice_size
+        whole = Window.partitionBy(e.key).orderBy("_slice").rangeBetween(-width, -1)
+        base = slices.select(e.key, "_slice", F.coalesce(F.sum("n").over(whole), F.lit(0)).alias("base_n"),
                              F.coalesce(F.sum("s").over(whole), F.lit(0.0)).alias("base_s"))
-        entering = moments.select(e.key, "slice", "_t", "n", "s", F.lit(True).alias("own"))
-        leaving = moments.select(e.key, (F.col("slice") + span // slice_size).alias("slice"),
-                                 (F.col("_t") + span).alias("_t"), (-F.col("n")).alias("n"),
-                                 (-F.col("s")).alias("s"), F.lit(False).alias("own"))
-        inside = Window.partitionBy(e.key, "slice").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+        entering = moments.select(e.key, "_slice", "_t", "n", "s", F.lit(True).alias("own"))
+        leaving = moments.select(e.key, (F.col("_slice") + width).alias("_slice"), (F.col("_t") + span).alias("_t"),
+                                 (-F.col("n")).alias("n"), (-F.col("s")).alias("s"), F.lit(False).alias("own"))
+        inside = Window.partitionBy(e.key, "_slice").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
         frame = (entering.unionByName(leaving)
                  .withColumns({"run_n": F.coalesce(F.sum("n").over(inside), F.lit(0)),
                                "run_s": F.coalesce(F.sum("s").over(inside), F.lit(0.0))})
-                 .filter("own").join(base, [e.key, "slice"])
+                 .filter("own").join(base, [e.key, "_slice"])
                  .withColumn("frame_n", F.col("base_n") + F.col("run_n"))
-                 .select(e.key, "_t", F.col("frame_n").alias(f"{name}_count"),
+                 .select(e.key, "_slice", "_t", F.col("frame_n").alias(f"{name}_count"),
                          F.when(F.col("frame_n") > 0, F.col("base_s") + F.col("run_s")).alias(f"{name}_sum")))
-        frames = frame if frames is None else frames.join(frame, [e.key, "_t"])
-    return df.join(frames, [e.key, "_t"])
+        frames = frame if frames is None else frames.join(frame, [e.key, "_slice", "_t"])
+    return frames
 
 
-def add_time_frames(df: DataFrame, spans: dict[str, int], entity: Entity = Entity(),
-                    hot: list | None = None, hot_rows: int = HOT_ROWS, slice_size: int = HOUR) -> DataFrame:
-    """``<name>_count`` and ``<name>_sum`` of the entity's amounts in ``[t - span, t)`` microseconds.
+def _add_slice_frames(large: DataFrame, e: Entity, spans: dict[str, int], slice_size: int, source: DataFrame) -> DataFrame:
+    return large.join(_slice_frames(source, e, spans, slice_size), [e.key, "_slice", "_t"])
 
-    The left edge is included, rows of the same instant are not. An empty frame counts 0 and sums NULL.
+
+# --- public frames --------------------------------------------------------------------------
+
+def _frames(df: DataFrame, e: Entity, spans: dict[str, int], back: int | None, hot: list | None, hot_rows: int,
+            slice_size: int | None) -> DataFrame:
+    """Row frames (when ``back`` is given) and time frames, helper columns kept.
+
+    Rows of hot cards and the others are filtered apart before any shuffle, so each row is shuffled on
+    one road only.
     """
-    e = entity
-    timed = df.withColumn("_t", F.unix_micros(F.col(e.time)))
-    empty = {}
-    for name in spans:
-        empty |= {f"{name}_count": F.lit(0).cast("bigint"), f"{name}_sum": F.lit(None).cast("double")}
-    keyless = timed.filter(F.col(e.key).isNull()).withColumns(empty)
-    keyed = timed.filter(F.col(e.key).isNotNull())
     hot = hot_keys(df, e.key, hot_rows) if hot is None else hot
+    slice_size = slice_size or fitting_slice(df, e, hot, hot_rows)
+    rows = _sliced(df, e, hot, slice_size)
+    cold, large = rows.filter(~F.col("_hot")) if hot else rows, rows.filter("_hot")
+    if back:
+        cold = _add_row_frames(cold, e, back)
+    cold = _windowed_frames(cold, e, spans)
     if not hot:
-        parts = [_windowed_time_frame(keyed, e, spans)]
-    else:
-        cold, large = split_hot(keyed, e.key, hot)
-        parts = [_windowed_time_frame(cold, e, spans), _sliced_time_frame(large, e, spans, slice_size)]
-    for part in [*parts[1:], keyless]:
-        parts[0] = parts[0].unionByName(part)
-    return parts[0].drop("_t")
+        return cold
+    framed = large
+    if back:
+        framed = _add_row_frames(large, e, back, materialise(_copies(large, e, max(back - 1, 1)), "copies"))
+    if spans:
+        framed = _add_slice_frames(framed, e, spans, slice_size, large)
+    return cold.unionByName(framed)
 
 
-# --- row frames -----------------------------------------------------------------------------
+def add_time_frames(df: DataFrame, spans: dict[str, int], entity: Entity = Entity(), hot: list | None = None,
+                    hot_rows: int = HOT_ROWS, slice_size: int | None = None) -> DataFrame:
+    """``<name>_count`` and ``<name>_sum`` of the entity's amounts in ``[t - span, t)`` microseconds.
 
-def _row_frame_columns(e: Entity, group: list[str], back: int) -> dict[str, Column]:
-    in_order = Window.partitionBy(*group).orderBy(e.time, e.row_id)
-    last = in_order.rowsBetween(1 - back, 0)
-    return {"recent_avg": F.avg(e.amount).over(last),
-            "previous_time": F.lag(e.time).over(in_order)}
-
-
-def _sliced_row_frame(df: DataFrame, e: Entity, back: int, slice_size: int) -> DataFrame:
-    sliced = df.withColumns({"_slice": F.floor(F.unix_micros(F.col(e.time)) / slice_size).cast("bigint"),
-                             "_copied": F.lit(False)})
-    halo = max(back - 1, 1)
-    latest = Window.partitionBy(e.key, "_slice").orderBy(F.desc(e.time), F.desc(e.row_id))
-    tails = (sliced.select(e.key, e.time, e.row_id, e.amount, "_slice")
-             .withColumn("_nth", F.row_number().over(latest)).filter(F.col("_nth") <= halo))
-    numbered = tails.withColumn("_pos", F.row_number().over(
-        Window.partitionBy(e.key).orderBy(e.time, e.row_id)))
-    wanted = (numbered.groupBy(e.key, "_slice").agg(F.min("_pos").alias("_first"))
-              .select(e.key, "_slice", F.explode(F.sequence(F.col("_first") - halo, F.col("_first") - 1))
-                      .alias("_pos"))
-              .filter(F.col("_pos") > 0))
-    copies = (numbered.drop("_slice", "_nth").join(wanted, [e.key, "_pos"]).drop("_pos")
-              .withColumn("_copied", F.lit(True)))
-    return (sliced.unionByName(copies, allowMissingColumns=True)
-            .withColumns(_row_frame_columns(e, [e.key, "_slice"], back))
-            .filter(~F.col("_copied")).drop("_slice", "_copied"))
+    The left edge is included, rows of the same instant are not. An empty frame counts 0 and sums NULL.
+    """
+    return _frames(df, entity, spans, None, hot, hot_rows, slice_size).drop(*_HELPERS)
 
 
 def add_row_frames(df: DataFrame, entity: Entity = Entity(), back: int = 7, hot: list | None = None,
-                   hot_rows: int = HOT_ROWS, slice_size: int = HOUR) -> DataFrame:
+                   hot_rows: int = HOT_ROWS, slice_size: int | None = None) -> DataFrame:
     """``recent_avg`` over the last ``back`` rows including this one, and ``previous_time``."""
-    e = entity
-    keyless = df.filter(F.col(e.key).isNull()).withColumns(
-        {"recent_avg": F.lit(None).cast("double"), "previous_time": F.lit(None).cast("timestamp")})
-    keyed = df.filter(F.col(e.key).isNotNull())
-    hot = hot_keys(df, e.key, hot_rows) if hot is None else hot
-    if not hot:
-        out = keyed.withColumns(_row_frame_columns(e, [e.key], back))
-    else:
-        cold, large = split_hot(keyed, e.key, hot)
-        out = (cold.withColumns(_row_frame_columns(e, [e.key], back))
-               .unionByName(_sliced_row_frame(large, e, back, slice_size)))
-    return out.unionByName(keyless)
+    return _frames(df, entity, {}, back, hot, hot_rows, slice_size).drop(*_HELPERS)
 
 
 # --- named features -------------------------------------------------------------------------
@@ -163,19 +195,20 @@ def add_amount_ratio(df: DataFrame, entity: Entity = Entity(), back: int = 7, **
 
 
 def add_behaviour(df: DataFrame, entity: Entity = Entity(), hot: list | None = None,
-                  hot_rows: int = HOT_ROWS, slice_size: int = HOUR) -> DataFrame:
+                  hot_rows: int = HOT_ROWS, slice_size: int | None = None, back: int = 7) -> DataFrame:
     """All history features: activity in 24 h, mean of the past 7 days, seconds since the last
-    transaction, amount ratio. The windows share one shuffle on the entity."""
+    transaction, amount ratio.
+
+    All windows share one shuffle and one sort: row frames order by (time, id), time frames by its prefix.
+    """
     e = entity
-    hot = hot_keys(df, e.key, hot_rows) if hot is None else hot
-    routing = {"hot": hot, "slice_size": slice_size}
-    out = add_row_frames(add_time_frames(df, {"_day": DAY, "_week": WEEK}, e, **routing), e, **routing)
-    return out.withColumns({
+    rows = _frames(df, e, {"_day": DAY, "_week": WEEK}, back, hot, hot_rows, slice_size)
+    return rows.withColumns({
         "user_activity_24h": F.col("_day_count"),
         "rolling_avg_7d": F.try_divide(F.col("_week_sum"), F.col("_week_count")),
-        "time_since_last_txn": (F.unix_micros(F.col(e.time)) - F.unix_micros(F.col("previous_time"))) / 1e6,
+        "time_since_last_txn": (F.col("_t") - F.unix_micros(F.col("previous_time"))) / 1e6,
         "amount_to_avg_ratio": _ratio(e),
-    }).drop("_day_count", "_day_sum", "_week_count", "_week_sum", "recent_avg", "previous_time")
+    }).drop("_day_count", "_day_sum", "_week_count", "_week_sum", "recent_avg", "previous_time", *_HELPERS)
 
 
 def user_profile(df: DataFrame, entity: Entity = Entity()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 HOT_ROWS = 5_000_000     # rows of one key that one task may sort
 MAX_HOT_KEYS = 100_000   # a key outside the largest 100,000 holds less than 1/100,000 of all rows
@@ -17,7 +17,13 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int =
     return [r[0] for r in counts.orderBy(F.desc("count"), key).limit(max_keys).collect()]
 
 
-def split_hot(df: DataFrame, key: str, keys: list) -> tuple[DataFrame, DataFrame]:
-    """(cold, hot) rows. The hot list is bounded by ``MAX_HOT_KEYS``, hence safe to broadcast."""
-    listed = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in keys], df.select(key).schema))
-    return df.join(listed, key, "left_anti"), df.join(listed, key, "left_semi")
+def flag_hot(df: DataFrame, key: str, keys: list, name: str) -> DataFrame:
+    """Marks rows of the listed keys. The list is bounded by ``MAX_HOT_KEYS``, hence safe to broadcast."""
+    if not keys:
+        return df.withColumn(name, F.lit(False))
+    listed = df.sparkSession.createDataFrame([(k, True) for k in keys], _pair_schema(df, key, name))
+    return df.join(F.broadcast(listed), key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
+
+def _pair_schema(df: DataFrame, key: str, name: str) -> T.StructType:
+    return T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(name, T.BooleanType())])

@@ -12,25 +12,29 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerlark.operators.bounded import MAX_BROADCAST_ROWS
+
 MIN_RANGES = 256
 
 
-def _score_splits(scored: DataFrame, score: str, ranges: int | None) -> list[float]:
-    """Range borders from one sketch pass: a bounded list, fixed before the curve is planned.
+def _plan_ranges(scored: DataFrame, score: str, by: list[str], ranges: int | None) -> tuple[list[float], bool]:
+    """(range borders, whether groups x ranges fit a broadcast), from one sketch pass.
 
-    There are as many ranges as shuffle partitions, so a larger cluster gets smaller ranges.
+    Borders are literals fixed before the curve is planned, so a retried task cuts the same ranges. There
+    are as many ranges as shuffle partitions: a larger cluster gets smaller ranges.
     """
     ranges = ranges or max(MIN_RANGES, int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     at = [i / ranges for i in range(1, ranges)]
-    found = scored.agg(F.percentile_approx(score, at, max(10_000, 4 * ranges))).first()[0] or []
-    return sorted(set(found))
+    groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
+    found, n_groups = scored.agg(F.percentile_approx(score, at, max(10_000, 4 * ranges)), groups).first()
+    return sorted(set(found or [])), n_groups * ranges <= MAX_BROADCAST_ROWS
 
 
 def _with_range(counted: DataFrame, score: str, splits: list[float]) -> DataFrame:
     if not splits:
-        return counted.withColumn("_range", F.lit(0.0))
+        return counted.withColumn("_range", F.lit(0))
     bucketizer = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol=score, outputCol="_range")
-    return bucketizer.transform(counted)
+    return bucketizer.transform(counted).withColumn("_range", F.col("_range").cast("int"))
 
 
 def curve(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (),
@@ -42,7 +46,7 @@ def curve(scored: DataFrame, label: str = "label", score: str = "score", by: Seq
     """
     by = list(by)
     scored = scored.filter(F.col(score).isNotNull())
-    splits = _score_splits(scored, score, ranges)
+    splits, few = _plan_ranges(scored, score, by, ranges)
     counted = (scored.groupBy(*by, F.col(score).alias("threshold"))
                .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
     counted = _with_range(counted, "threshold", splits)
@@ -58,7 +62,7 @@ def curve(scored: DataFrame, label: str = "label", score: str = "score", by: Seq
     inside = (Window.partitionBy(*by, "_range").orderBy(F.desc("threshold"))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (counted.withColumns({"_tp": F.sum("pos").over(inside), "_fp": F.sum("neg").over(inside)})
-            .join(offsets, [*by, "_range"])
+            .join(F.broadcast(offsets) if few else offsets, [*by, "_range"])
             .withColumns({"tp": F.col("_tp") + F.col("_tp_above"), "fp": F.col("_fp") + F.col("_fp_above")})
             .withColumns({"precision": F.col("tp") / (F.col("tp") + F.col("fp")),
                           "recall": F.when(F.col("positives") > 0, F.try_divide("tp", "positives")).otherwise(1.0)})

@@ -82,6 +82,30 @@ def code_table(counts: DataFrame) -> DataFrame:
             .select("column", "value", (F.col("nth") - 1 + F.col("below")).cast("double").alias("code")))
 
 
+def _fit_categories(df: DataFrame, fitted: Fitted, max_labels: int) -> None:
+    """Modes and vocabularies from one count of all values.
+
+    The counts are kept while they are read; a lost block is counted again. Vocabularies within the limit
+    come to the driver, larger ones become a code table.
+    """
+    counts = value_counts(df, fitted.categorical).persist()
+    try:
+        best = F.min_by(F.col("value"), F.struct(-F.col("count"), F.col("value")))
+        found = {r["column"]: r for r in
+                 counts.groupBy("column").agg(best.alias("mode"), F.count("*").alias("size")).collect()}
+        fitted.modes = {c: found[c]["mode"] if c in found else "" for c in fitted.categorical}
+        kept = [c for c in fitted.categorical if c not in found or found[c]["size"] <= max_labels]
+        words: dict[str, list[str]] = {c: [] for c in kept}
+        if kept:
+            for r in counts.filter(F.col("column").isin(kept)).select("column", "value").collect():
+                words[r["column"]].append(r["value"])
+        fitted.labels = {c: sorted(w, key=str.encode) or [""] for c, w in words.items()}
+        if fitted.joined:
+            fitted.code_table = materialise(code_table(counts.filter(F.col("column").isin(fitted.joined))), "codes")
+    finally:
+        counts.unpersist()
+
+
 def fit(df: DataFrame, numeric: Sequence[str] = tuple(NUMERIC_FEATURES),
         categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES), exact: bool = True,
         scale: bool = True, max_labels: int = MAX_LABELS) -> Fitted:
@@ -91,17 +115,7 @@ def fit(df: DataFrame, numeric: Sequence[str] = tuple(NUMERIC_FEATURES),
         fitted.medians = fit_medians(df, numeric, exact)
         fitted.means, fitted.deviations = fit_scaling(df, fitted.medians)
     if categorical:
-        counts = value_counts(df, categorical)
-        modes = fit_modes(counts)
-        fitted.modes = {c: modes.get(c, "") for c in categorical}
-        sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
-        kept = [c for c in categorical if sizes.get(c, 0) <= max_labels]
-        vocabulary = counts.filter(F.col("column").isin(kept)).select("column", "value").collect() if kept else []
-        for c in kept:
-            fitted.labels[c] = sorted((r["value"] for r in vocabulary if r["column"] == c),
-                                      key=lambda v: v.encode()) or [""]
-        if fitted.joined:
-            fitted.code_table = materialise(code_table(counts.filter(F.col("column").isin(fitted.joined))), "codes")
+        _fit_categories(df, fitted, max_labels)
     return fitted
 
 

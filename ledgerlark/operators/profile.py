@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerlark.operators.bounded import join_small
 from ledgerlark.operators.features import add_haversine
 from ledgerlark.operators.orderstats import quantiles
 from ledgerlark.operators.sampling import HashOrder, take
@@ -87,7 +88,7 @@ def label_rate_by_top(df: DataFrame, column: str = "category", label: str = "is_
 
 def members(df: DataFrame, column: str, listed: DataFrame) -> DataFrame:
     """Rows whose value is in a computed list: a semi join."""
-    return df.join(listed.select(column).distinct(), column, "left_semi")
+    return join_small(df, listed.select(column).distinct(), column, "left_semi")
 
 
 def label_density(df: DataFrame, value: str = "amount", label: str = "is_fraud", width: float = 10.0) -> DataFrame:
@@ -96,7 +97,7 @@ def label_density(df: DataFrame, value: str = "amount", label: str = "is_fraud",
             .groupBy(label, F.floor(F.col(value) / width).cast("bigint").alias("bin"))
             .agg(F.count("*").alias("transactions")))
     totals = bins.groupBy(F.col(label).alias("_label")).agg(F.sum("transactions").alias("_total"))
-    return (bins.join(totals, F.col(label) == F.col("_label"))
+    return (bins.join(F.broadcast(totals), F.col(label) == F.col("_label"))   # one row per label
             .select(label, "bin", (F.col("bin") * width).alias("bin_start"), "transactions",
                     (F.col("transactions") / F.col("_total")).alias("share"),
                     (F.col("transactions") / F.col("_total") / width).alias("density")))

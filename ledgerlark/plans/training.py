@@ -51,13 +51,14 @@ def rows_for(transactions: DataFrame, spec: Family) -> DataFrame:
 
 
 def prepare(rows: DataFrame, spec: Family, settings: dict, order: HashOrder) -> DataFrame:
-    """Id, features, label, hold-out flag and fold of every row, written once.
+    """Id, features, label, hold-out flag and fold of every row.
 
-    All later passes (folds, candidates) read this narrow table. Noise and down-sampling touch training
-    rows only; the hold-out keeps its prevalence.
+    The narrow feature rows are written once; all later passes (folds, candidates) read that table. Flag
+    and fold are comparisons of the id's hash with literals, so they cost a projection, not a pass. Noise
+    and down-sampling touch training rows only; the hold-out keeps its prevalence.
     """
-    check_positives(rows, LABEL)
-    kept = rows.select(order.row_id, *spec.numeric, *spec.categorical, LABEL)
+    kept = materialise(rows.select(order.row_id, *spec.numeric, *spec.categorical, LABEL), "training")
+    check_positives(kept, LABEL)
     if settings.get("test_size"):
         kept = mark_split(kept, settings["test_size"], LABEL, order, HELD_OUT)
     else:
@@ -69,9 +70,11 @@ def prepare(rows: DataFrame, spec: Family, settings: dict, order: HashOrder) ->
         train = mark_folds(train, settings["n_folds"], LABEL, order)
     else:
         train = train.withColumn("fold", F.lit(0))
+    both = train.unionByName(test.withColumn("fold", F.lit(-1)))
     if settings.get("sample_noise"):
-        train = add_sample_noise(train, spec.numeric, settings["sample_noise"], order.row_id, order.seed)
-    return materialise(train.unionByName(test.withColumn("fold", F.lit(-1))), "training")
+        noisy = add_sample_noise(train, spec.numeric, settings["sample_noise"], order.row_id, order.seed)
+        both = materialise(noisy.unionByName(test.withColumn("fold", F.lit(-1)), allowMissingColumns=True), "noisy")
+    return both
 
 
 def _label_counts(train: DataFrame) -> dict[int, int]:
