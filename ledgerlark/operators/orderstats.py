@@ -29,6 +29,7 @@ class _Search:
     low: float | int | None = None
     high: float | int | None = None
     value: float | int | None = None
+    halve: bool = False      # the sketch made no progress: integers too large for its doubles
 
     def interval(self) -> Column:
         c = F.col(self.column)
@@ -50,9 +51,11 @@ def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
     for s in searches:
         slack = 2.0 / accuracy
         at = (s.k - s.below) / s.inside
-        brackets.append(F.percentile_approx(F.when(s.interval(), F.col(s.column)),
-                                            [max(at - slack, 0.0), min(at + slack, 1.0)], accuracy))
-    ends = [list(pair) for pair in _aggregate(df, brackets)]
+        value = F.when(s.interval(), F.col(s.column))
+        brackets.append(F.array(F.min(value), F.max(value)) if s.halve else
+                        F.percentile_approx(value, [max(at - slack, 0.0), min(at + slack, 1.0)], accuracy))
+    ends = [[(pair[0] + pair[1]) // 2] * 2 if s.halve else list(pair)
+            for s, pair in zip(searches, _aggregate(df, brackets))]
 
     counts = []
     for s, (a, b) in zip(searches, ends):
@@ -63,7 +66,7 @@ def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
 
     for i, (s, (a, b)) in enumerate(zip(searches, ends)):
         lt_a, eq_a, lt_b, eq_b = counted[4 * i:4 * i + 4]
-        j = s.k - s.below
+        j, before = s.k - s.below, s.inside
         if j < lt_a:
             s.high, s.inside = a, lt_a
         elif j < lt_a + eq_a:
@@ -74,6 +77,7 @@ def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
             s.value = b
         else:
             s.below, s.low, s.inside = s.below + lt_b + eq_b, b, s.inside - lt_b - eq_b
+        s.halve = s.inside == before
 
 
 def _fetch(df: DataFrame, searches: list[_Search]) -> None:

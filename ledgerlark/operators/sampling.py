@@ -12,11 +12,12 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerlark.functions.hashing import HASH_BITS, order_hash
 
 BIN_BITS = 14
+_HASH = "_order_hash"
 
 
 @dataclass(frozen=True)
@@ -40,9 +41,13 @@ class HashOrder:
     def hash(self) -> Column:
         return order_hash(F.col(self.row_id), self.seed, self.method)
 
+    def hashed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the hash as a column, computed once however often it is compared."""
+        return df.withColumn(_HASH, self.hash())
+
     def after(self, cut: CutOff) -> Column:
-        """True for rows later than the cut-off row."""
-        h = self.hash()
+        """True for rows of a hashed frame later than the cut-off row."""
+        h = F.col(_HASH)
         return (h > cut.hash) | ((h == cut.hash) & (F.col(self.row_id) > F.lit(cut.row_id)))
 
 
@@ -77,15 +82,14 @@ def cut_offs(df: DataFrame, order: HashOrder, stratum: str | None,
     if not wanted:
         return []
 
-    any_bin = F.lit(False)
-    any_row = F.lit(False)
-    for s, b, nth, _ in wanted:
-        in_bin = (F.col("s") == F.lit(s)) & (F.col("b") == b)
-        any_bin, any_row = any_bin | in_bin, any_row | (in_bin & (F.col("nth") == nth))
+    spark = df.sparkSession
+    schema = T.StructType([T.StructField("s", keyed.schema["s"].dataType), T.StructField("b", keyed.schema["b"].dataType),
+                           T.StructField("nth", T.IntegerType()), T.StructField("rank", T.LongType())])
+    targets = F.broadcast(spark.createDataFrame(wanted, schema))          # one row per cut-off
     in_order = Window.partitionBy("s", "b").orderBy("h", "row_id")
-    rows = (keyed.filter(any_bin).withColumn("nth", F.row_number().over(in_order)).filter(any_row).collect())
-    rank_of = {(s, b, nth): rank for s, b, nth, rank in wanted}
-    return sorted((CutOff(r["s"], rank_of[r["s"], r["b"], r["nth"]], r["h"], r["row_id"]) for r in rows),
+    rows = (keyed.join(targets.select("s", "b").distinct(), ["s", "b"], "left_semi")
+            .withColumn("nth", F.row_number().over(in_order)).join(targets, ["s", "b", "nth"]).collect())
+    return sorted((CutOff(r["s"], r["rank"], r["h"], r["row_id"]) for r in rows),
                   key=lambda c: (str(c.stratum), c.rank))
 
 
@@ -93,7 +97,7 @@ def take(df: DataFrame, n: int, order: HashOrder = HashOrder()) -> DataFrame:
     """A uniform sample of exactly ``n`` rows without replacement (all rows when there are fewer)."""
     cuts = cut_offs(df, order, None, lambda sizes: {0: [n]}) if n > 0 else []
     if cuts:
-        return df.filter(~order.after(cuts[0]))
+        return order.hashed(df).filter(~order.after(cuts[0])).drop(_HASH)
     return df if n > 0 else df.limit(0)
 
 
@@ -121,7 +125,7 @@ def mark_split(df: DataFrame, fraction: float, label: str = "is_fraud", order: H
     held_out = F.lit(True)
     for cut in cut_offs(df, order, label, kept):
         held_out = F.when(F.col(label) == F.lit(cut.stratum), order.after(cut)).otherwise(held_out)
-    return df.withColumn(name, held_out)
+    return order.hashed(df).withColumn(name, held_out).drop(_HASH)
 
 
 def stratified_split(df: DataFrame, fraction: float, label: str = "is_fraud",
@@ -146,7 +150,7 @@ def mark_folds(df: DataFrame, k: int, label: str = "is_fraud", order: HashOrder
     for s in {c.stratum for c in cuts}:
         passed = sum((order.after(c).cast("int") for c in cuts if c.stratum == s), F.lit(0))
         fold = F.when(F.col(label) == F.lit(s), passed).otherwise(fold)
-    return df.withColumn(name, fold)
+    return order.hashed(df).withColumn(name, fold).drop(_HASH)
 
 
 def downsample_negatives(df: DataFrame, ratio: float, label: str = "is_fraud",
@@ -165,7 +169,8 @@ def downsample_negatives(df: DataFrame, ratio: float, label: str = "is_fraud",
     cuts = cut_offs(df.filter(F.col(label).isin(0, 1)), order, label, quota)
     if not cuts:
         return df
-    return df.filter((F.col(label) == 1) | ((F.col(label) == 0) & ~order.after(cuts[0])))
+    kept = (F.col(label) == 1) | ((F.col(label) == 0) & ~order.after(cuts[0]))
+    return order.hashed(df).filter(kept).drop(_HASH)
 
 
 def shuffled(df: DataFrame, order: HashOrder = HashOrder()) -> DataFrame:

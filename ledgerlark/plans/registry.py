@@ -473,11 +473,11 @@ _ROW_FRAME = "OVER (PARTITION BY card_number ORDER BY transaction_time, transact
 _LAST = "lag(transaction_time) OVER (PARTITION BY card_number ORDER BY transaction_time, transaction_id)"
 _ACTIVITY_SQL = with_views("txn") + f" SELECT record_id, count(amount) {_DAY_FRAME} AS user_activity_24h FROM txn"
 _RATIO_SQL = with_views("txn") + f"""
-SELECT record_id, round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 6) AS amount_to_avg_ratio FROM txn"""
+SELECT record_id, round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 9) AS amount_to_avg_ratio FROM txn"""
 _BEHAVIOUR_SQL = with_views("txn") + f"""
 SELECT record_id, count(amount) {_DAY_FRAME} AS user_activity_24h, round(avg(amount) {_WEEK_FRAME}, 9) AS rolling_avg_7d,
   round((epoch_us(transaction_time) - epoch_us({_LAST})) / 1000000, 6) AS time_since_last_txn,
-  round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 6) AS amount_to_avg_ratio FROM txn"""
+  round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 9) AS amount_to_avg_ratio FROM txn"""
 _BEHAVIOUR_COLUMNS = ["record_id", "user_activity_24h", "rolling_avg_7d", "time_since_last_txn", "amount_to_avg_ratio"]
 
 
@@ -486,8 +486,8 @@ def _history_rows(spark, sf_dir) -> DataFrame:
 
 
 def _behaviour(df: DataFrame) -> DataFrame:
-    df = _rounded(_rounded(df, "rolling_avg_7d", digits=9), "time_since_last_txn", "amount_to_avg_ratio")
-    return df.select(*_BEHAVIOUR_COLUMNS)
+    df = _rounded(df, "rolling_avg_7d", "amount_to_avg_ratio", digits=9)
+    return _rounded(df, "time_since_last_txn").select(*_BEHAVIOUR_COLUMNS)
 
 
 @query("W1 W6 U4", _ACTIVITY_SQL)
@@ -497,7 +497,7 @@ def user_activity_24h(spark, sf_dir):
 
 @query("W2 U4", _RATIO_SQL)
 def amount_to_avg_ratio(spark, sf_dir):
-    return _rounded(history.add_amount_ratio(_history_rows(spark, sf_dir)), "amount_to_avg_ratio").select(
+    return _rounded(history.add_amount_ratio(_history_rows(spark, sf_dir)), "amount_to_avg_ratio", digits=9).select(
         "record_id", "amount_to_avg_ratio")
 
 
@@ -515,13 +515,13 @@ def behaviour_history_of_hot_cards(spark, sf_dir):
 
 @query("W1 W2 F2 F3 F4 F9", with_views("txn") + f"""
 SELECT record_id, amount, {_CALENDAR_FLAGS}, count(amount) {_DAY_FRAME} AS user_activity_24h,
-  round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 6) AS amount_to_avg_ratio,
+  round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 9) AS amount_to_avg_ratio,
   CASE WHEN merchant IN ('QuickCash', 'GlobalDigital', 'FastMoneyX') THEN 1 ELSE 0 END AS merchant_risk,
   merchant, is_fraud FROM txn
 """)
 def behaviour_features(spark, sf_dir):
     rows = training.behaviour_rows(txn(spark, sf_dir)).select("record_id", *BEHAVIOUR_FEATURES, "is_fraud")
-    return _rounded(rows, "amount_to_avg_ratio")
+    return _rounded(rows, "amount_to_avg_ratio", digits=9)
 
 
 # --- profile --------------------------------------------------------------------------------
