@@ -1,12 +1,11 @@
 """A fitted model that scores batches and streams alike, and its storage."""
 
-from __future__ import annotations
-
 import json
 from dataclasses import dataclass
-from typing import Any
+from typing import Any, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -71,17 +70,18 @@ class ScoringModel:
 def foreign_scorer(spark: SparkSession, model: Any, features: list[str], threshold: float = 0.5):
     """A vectorised UDF for a model outside MLlib: anything with ``predict_proba(pandas frame)``.
 
-    The model is shipped to the executors once as a broadcast variable. Returns a function of columns
-    giving ``struct<prediction int, fraud_probability double>``.
+    The model travels to the executors once, as a broadcast variable, and is opened once per task. Returns
+    a function that adds ``prediction`` and ``fraud_probability`` to a frame.
     """
-    shipped = spark.sparkContext.broadcast(model)
+    shipped = spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
     @F.pandas_udf("struct<prediction int, fraud_probability double>")
-    def score(*columns: pd.Series) -> pd.DataFrame:
-        frame = pd.concat(columns, axis=1, keys=features)
-        probability = shipped.value.predict_proba(frame)[:, 1]
-        return pd.DataFrame({"prediction": (probability >= threshold).astype("int32"),
-                             "fraud_probability": probability})
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        opened = cloudpickle.loads(shipped.value)
+        for columns in batches:
+            probability = opened.predict_proba(pd.concat(columns, axis=1, keys=features))[:, 1]
+            yield pd.DataFrame({"prediction": (probability >= threshold).astype("int32"),
+                                "fraud_probability": probability})
 
     def apply(df: DataFrame) -> DataFrame:
         require_features(df, features)

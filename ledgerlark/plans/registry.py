@@ -900,13 +900,18 @@ def best_fold(spark, sf_dir):
 
 # --- vectorised scoring of foreign models ---------------------------------------------------
 
-class FixedLogistic:
-    """A hand-set logistic model with the ``predict_proba`` interface."""
+def fixed_logistic():
+    """A hand-set logistic model with the ``predict_proba`` interface.
 
-    def predict_proba(self, frame: pd.DataFrame) -> np.ndarray:
-        risky = frame["merchant"].isin(["QuickCash", "GlobalDigital", "FastMoneyX"])
-        p = 1 / (1 + np.exp(-(-4 + 0.02 * frame["amount"] + 0.1 * frame["is_night"] + 2 * risky)))
-        return np.column_stack([1 - p, p])
+    The class is local, so it is shipped by value and executors need no copy of this package.
+    """
+    class FixedLogistic:
+        def predict_proba(self, frame: pd.DataFrame) -> np.ndarray:
+            risky = frame["merchant"].isin(["QuickCash", "GlobalDigital", "FastMoneyX"])
+            p = 1 / (1 + np.exp(-(-4 + 0.02 * frame["amount"] + 0.1 * frame["is_night"] + 2 * risky)))
+            return np.column_stack([1 - p, p])
+
+    return FixedLogistic()
 
 
 _FIXED_FEATURES = ["amount", "is_night", "merchant"]
@@ -919,7 +924,7 @@ SELECT record_id, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS prediction, round(p, 6
 
 @query("U1 U2 U3 E8", _FIXED_SQL)
 def foreign_model_scores(spark, sf_dir):
-    score = scoring.foreign_scorer(spark, FixedLogistic(), _FIXED_FEATURES)
+    score = scoring.foreign_scorer(spark, fixed_logistic(), _FIXED_FEATURES)
     rows = features.add_calendar_flags(txn(spark, sf_dir)).select("record_id", *_FIXED_FEATURES)
     return _rounded(score(rows), "fraud_probability").select("record_id", "prediction", "fraud_probability")
 
@@ -942,7 +947,7 @@ def streamed_features(spark, sf_dir):
 def streamed_scores(spark, sf_dir):
     """Messages in, scored messages out as JSON, read back from the output folder."""
     rows = stream_scoring.features(messages.stream_messages(spark, _message_folder(spark, sf_dir)))
-    out = scoring.foreign_scorer(spark, FixedLogistic(), _FIXED_FEATURES)(rows)
+    out = scoring.foreign_scorer(spark, fixed_logistic(), _FIXED_FEATURES)(rows)
     sink = {"path": scratch_path(spark, "predictions")}
     envelope = messages.to_envelope(out)
     messages.stream_sink(envelope, sink, scratch_path(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
