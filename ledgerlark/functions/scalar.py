@@ -14,6 +14,11 @@ def blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+def not_nan(c: Column) -> Column:
+    """NaN to NULL, evaluating ``c`` once: repeated expressions outgrow the compiled method."""
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
 def to_double(c: Column) -> Column:
     """Lenient number parse: anything unreadable, and NaN, becomes NULL.
 
@@ -21,8 +26,7 @@ def to_double(c: Column) -> Column:
     not numbers here.
     """
     text = c.cast("string")
-    number = F.when(~text.rlike(r"[0-9.][dDfF]\s*$|0[xX]"), text.try_cast("double"))
-    return F.when(~F.isnan(number), number)
+    return not_nan(F.when(~text.rlike(r"[0-9.][dDfF]\s*$|0[xX]"), text.try_cast("double")))
 
 
 def to_long(c: Column) -> Column:
@@ -34,8 +38,7 @@ def as_double(c: Column, dtype: T.DataType) -> Column:
     """``to_double`` for text; numeric columns only lose their NaN."""
     if isinstance(dtype, T.StringType):
         return to_double(c)
-    number = c.cast("double")
-    return F.when(~F.isnan(number), number)
+    return not_nan(c.cast("double"))
 
 
 def to_event_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:

@@ -12,6 +12,12 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles methods beyond 8000 bytes; wide projections are faster unfused than interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Streaming state on disk with incremental checkpoints, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
