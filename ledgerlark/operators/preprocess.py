@@ -20,7 +20,7 @@ from ledgerlark.operators.profile import value_counts
 from ledgerlark.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from ledgerlark.session import materialise
 
-MAX_LABELS = 1_000_000   # largest vocabulary kept inside the model; larger ones are joined
+MAX_LABELS = 100_000   # largest vocabulary kept inside the model; larger ones are joined
 FEATURES = "features"
 
 

@@ -44,7 +44,7 @@ class ScoringModel:
     def score(self, df: DataFrame) -> DataFrame:
         """Adds ``prediction`` and ``fraud_probability``."""
         return (self.probability(df)
-                .withColumn("prediction", (F.col("fraud_probability") >= self.threshold).cast("int")))
+                .withColumn("prediction", decide(F.col("fraud_probability"), self.threshold)))
 
     # --- storage ---
 

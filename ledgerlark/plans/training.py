@@ -141,7 +141,7 @@ def cross_validate(train: DataFrame, spec: Family, params: dict, settings: dict,
         return materialise(scored, "fold"), getattr(_classifier(model), "getNumTrees", None)
 
     with ThreadPool(min(parallelism, folds)) as pool:
-        done = pool.map(inheritable_thread_target(one_fold), range(folds))
+        done = pool.map(inheritable_thread_target(train.sparkSession)(one_fold), range(folds))
     scores = done[0][0]
     for other, _ in done[1:]:
         scores = scores.unionByName(other)
