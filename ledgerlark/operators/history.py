@@ -1,7 +1,7 @@
 """Per-entity history features: what the card did before this transaction.
 
-A card with few enough rows is one window group. A card that holds a large part of the table would be
-one endless task, so its rows are cut into time slices, with the same result:
+A card with few rows is one window group. For a card with many, sliding frames would take rows x frame
+steps in a single task, so its rows are cut into time slices, with the same result in linear time:
 
 * row frames (last k rows): the group is (card, slice), with the k rows before the slice copied in.
 * time frames (``[t - span, t)``): the total of the whole slices in the frame, plus what entered in the
@@ -27,6 +27,7 @@ HOUR = 60 * MINUTE
 DAY = 24 * HOUR
 WEEK = 7 * DAY
 NO_CARD_SALTS = 10_000
+SLICE_ROWS = 5_000_000   # rows of one slice that one task may sort
 _HELPERS = ("_t", "_slice", "_hot")
 
 
@@ -40,14 +41,14 @@ class Entity:
     amount: str = "amount"
 
 
-def fitting_slice(df: DataFrame, e: Entity, hot: list, hot_rows: int) -> int:
+def fitting_slice(df: DataFrame, e: Entity, hot: list, slice_rows: int = SLICE_ROWS) -> int:
     """The longest of hour, minute and second whose fullest slice of a hot card is still small."""
     if not hot:
         return HOUR
     rows = flag_hot(df.select(e.key, F.unix_micros(F.col(e.time)).alias("_t")), e.key, hot, "_hot").filter("_hot")
     for size in (HOUR, MINUTE):
         fullest = (rows.groupBy(e.key, F.floor(F.col("_t") / size)).count().agg(F.max("count")).first()[0] or 0)
-        if fullest <= hot_rows:
+        if fullest <= slice_rows:
             return size
     return SECOND
 
@@ -145,7 +146,7 @@ def _frames(df: DataFrame, e: Entity, spans: dict[str, int], back: int | None, h
     one road only.
     """
     hot = hot_keys(df, e.key, hot_rows) if hot is None else hot
-    slice_size = slice_size or fitting_slice(df, e, hot, hot_rows)
+    slice_size = slice_size or fitting_slice(df, e, hot)
     rows = _sliced(df, e, hot, slice_size)
     cold, large = rows.filter(~F.col("_hot")) if hot else rows, rows.filter("_hot")
     if back:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-HOT_ROWS = 5_000_000     # rows of one key that one task may sort
-MAX_HOT_KEYS = 100_000   # a key outside the largest 100,000 holds less than 1/100,000 of all rows
+# Sliding frames re-aggregate the frame for every row, so a long group costs rows x frame; the sliced road is
+# linear. A key is therefore hot long before it fills a task.
+HOT_ROWS = 20_000
+MAX_HOT_KEYS = 500_000   # a key outside the largest 500,000 holds less than 1/500,000 of all rows
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> list:
