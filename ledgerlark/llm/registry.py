@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces
+from . import decontam, linededup, pieces
 
 TOKENIZERS = os.environ.get("LEDGERLARK_TOKENIZERS", "/opt/tokenizers")
 
@@ -16,10 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_piece_encoding,)}
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op4_line_dedup, op7_piece_encoding, op9_benchmark_leaks)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_line_dedup": linededup.SQL,
+    "op9_benchmark_leaks": decontam.SQL,
+}
