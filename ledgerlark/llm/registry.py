@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, linededup, pieces
+from . import decontam, linededup, neardup, pieces
 
 TOKENIZERS = os.environ.get("LEDGERLARK_TOKENIZERS", "/opt/tokenizers")
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.group_rows(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(table(spark, sf_dir, "documents"))
 
@@ -29,9 +33,10 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op4_line_dedup, op7_piece_encoding, op9_benchmark_leaks)}
+    op3_near_duplicates, op4_line_dedup, op7_piece_encoding, op9_benchmark_leaks)}
 
 SQL: dict[str, str] = {
+    "op3_near_duplicates": neardup.SQL,
     "op4_line_dedup": linededup.SQL,
     "op9_benchmark_leaks": decontam.SQL,
 }
