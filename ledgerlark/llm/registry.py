@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, linededup, neardup, pieces
+from . import decontam, linededup, neardup, pieces, tokenfiles
 
 TOKENIZERS = os.environ.get("LEDGERLARK_TOKENIZERS", "/opt/tokenizers")
 
@@ -24,6 +24,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.token_file_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
@@ -33,7 +37,7 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_near_duplicates, op4_line_dedup, op7_piece_encoding, op9_benchmark_leaks)}
+    op3_near_duplicates, op4_line_dedup, op5_token_files, op7_piece_encoding, op9_benchmark_leaks)}
 
 SQL: dict[str, str] = {
     "op3_near_duplicates": neardup.SQL,
