@@ -8,7 +8,7 @@ is a bitmap of kept lines per changed document; texts are only touched when a bi
 
 Defined cases. Null or empty text is one empty line. Rows with the same id count as one document; if their
 texts differ, each has its own bitmap. A null id counts as one document below all others. An empty table
-gives an empty result. Other columns are carried along untouched, whatever their names.
+gives an empty result. Other columns are carried along untouched; those named like a count are replaced.
 """
 
 from __future__ import annotations
@@ -204,6 +204,7 @@ def drop_shared_lines(df: DataFrame, id_col: str | Column = "doc_id", text: str
     A line key is the line without ASCII white space at its ends and with A-Z lower-cased. Keys of at least
     ``min_chars`` code points in at least ``min_docs`` documents stay only in the largest document.
     """
+    df = df.drop(*[c for c in (n_lines, n_dropped) if c in df.columns])
     doc, digest, keep, other_doc, other_digest = fresh(df, "dedup_doc", "dedup_digest", "dedup_keep", "map_doc", "map_digest")
     ident = F.col(id_col) if isinstance(id_col, str) else id_col
     marked = df.withColumns({doc: ident, digest: F.xxhash64(F.col(text))})
@@ -214,6 +215,16 @@ def drop_shared_lines(df: DataFrame, id_col: str | Column = "doc_id", text: str
     return _applied(joined.drop(doc, digest, other_doc, other_digest), text, keep, n_lines, n_dropped)
 
 
+def clean_lines(df: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """All rows of ``df`` without shared lines, with the columns of ``df``; ``n_chars``, if there, follows the text."""
+    n_lines, n_dropped = fresh(df, "n_lines", "n_dropped")
+    done = drop_shared_lines(df, text=text, n_lines=n_lines, n_dropped=n_dropped)
+    if n_chars in df.columns:
+        kind = df.schema[n_chars].dataType
+        done = done.withColumn(n_chars, F.when(F.col(n_dropped) > 0, F.char_length(text).cast(kind)).otherwise(F.col(n_chars)))
+    return done.select([F.col(f"`{c}`") for c in df.columns])
+
+
 def line_digests(df: DataFrame) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped, kept_sha256."""
     done = drop_shared_lines(df.select("doc_id", "text"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontam, language, licenses, linededup, neardup, pieces, quality, tokencounts, tokenfiles)
+    decontam, language, licenses, linededup, neardup, pieces, quality, secrets, tokencounts, tokenfiles)
 
 TOKENIZERS = os.environ.get("LEDGERLARK_TOKENIZERS", "/opt/tokenizers")
 
@@ -21,6 +21,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rows(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_rows(table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group_rows(table(spark, sf_dir, "documents"))
 
@@ -54,8 +58,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_quality_rules, op3_near_duplicates, op4_line_dedup, op5_token_files, op6_token_counts, op7_piece_encoding,
-    op8_license_scan, op9_benchmark_leaks, op10_language)}
+    op1_quality_rules, op2_secret_scan, op3_near_duplicates, op4_line_dedup, op5_token_files, op6_token_counts,
+    op7_piece_encoding, op8_license_scan, op9_benchmark_leaks, op10_language)}
 
 SQL: dict[str, str] = {
     "op1_quality_rules": quality.SQL,
