@@ -15,8 +15,7 @@ A pair at the threshold of 0.85 is in no common bucket with a probability of 3e-
 sketch comparison at 0.7 loses it with less than 1e-11.
 
 Defined cases. Null, empty and blank texts have no shingles and stay alone. A row without id is not linked and
-gets the component null. Each row is linked by its own text; rows that share an id are one document if their
-texts are equal, and texts whose smallest id is the same count as linked. Empty tables give empty results.
+gets the component null. Each row is linked by its own text; texts whose smallest id is the same count as linked. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -76,17 +75,17 @@ def shingle_features(df: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def _full_sets(df: DataFrame, size: int) -> DataFrame:
-    """(rep, digest, shingles) of rows (rep, digest, text) whose text has the digest."""
-    schema = f"rep {df.schema['rep'].dataType.simpleString()}, digest binary, shingles binary"
+    """(rep, sketch, shingles) of rows (rep, digest, sketch, text) whose text has the digest."""
+    schema = f"rep {df.schema['rep'].dataType.simpleString()}, sketch binary, shingles binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            target = pa.schema([batch.schema.field("rep"), ("digest", pa.binary()), ("shingles", pa.binary())])
+            target = pa.schema([batch.schema.field("rep"), ("sketch", pa.binary()), ("shingles", pa.binary())])
             for part in slices(batch, "text"):
                 sets = shingles([(t or "").encode().lower() for t in part.column("text").to_pylist()], size)
                 same = [n for n, (s, d) in enumerate(zip(sets, part.column("digest").to_pylist())) if _digest(s) == d]
                 own = pa.array(same, pa.int64())
-                yield record(target, part.column("rep").take(own), part.column("digest").take(own),
+                yield record(target, part.column("rep").take(own), part.column("sketch").take(own),
                              [sets[n].tobytes() for n in same])
 
     return df.mapInArrow(work, schema)
@@ -163,40 +162,46 @@ def _blocks(n: Column, total: Column) -> Column:
     return F.greatest(F.ceil(total / BLOCK_SHINGLES), F.ceil(n / BLOCK_MEMBERS)).cast("int")
 
 
+def _merged(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join of two sides that both grow with the corpus: never a broadcast, the same plan at every size; large
+    partitions of a frequent key are split by adaptive execution."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _buckets(members: DataFrame) -> DataFrame:
     """Keys of buckets that span several parts, one of those with equal members, with their sizes."""
     buckets = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"), F.min("rep").alias("least"),
-        F.bit_xor(F.xxhash64("rep", "digest")).alias("x"), F.bit_xor(F.xxhash64("digest", "rep")).alias("y"),
+        F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"),
         F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
     return buckets.groupBy("members", "total", "least", "x", "y").agg(F.min("key").alias("key"))
 
 
 def _first_wave(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     keys = materialise(_buckets(members).select("key", _blocks(F.col("members"), F.col("total")).alias("blocks")), "buckets")
-    rows = members.join(keys, "key").select(
+    rows = _merged(members, keys, "key").select(
         "key", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int").alias("i"), F.lit(0).alias("j"),
-        "rep", "digest", "part", F.lit(True).alias("probe"))
-    return _verified(rows.join(sets, ["rep", "digest"]).select(
+        "rep", "part", F.lit(True).alias("probe"))
+    return _verified(_merged(rows, sets, "rep").select(
         "key", "i", "j", "rep", "part", "probe", "sketch", "shingles"), percent, everyone=True)
 
 
 def _second_wave(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     keys = materialise(_buckets(members).select("key", "members", "total"), "buckets")
-    inside = materialise(members.join(keys.select("key"), "key"), "bucket-members")
+    inside = materialise(_merged(members, keys.select("key"), "key"), "bucket-members")
     parts = inside.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("sum"))
-    largest = parts.groupBy("key").agg(F.max(F.struct("size", "sum", "part")).alias("top")).join(keys, "key")
+    largest = _merged(parts.groupBy("key").agg(F.max(F.struct("size", "sum", "part")).alias("top")), keys, "key")
     largest = materialise(largest.select(
         "key", F.col("top.part").alias("main"), _blocks(F.col("members"), F.col("total")).alias("across"),
         F.greatest(F.lit(1), _blocks(F.col("members") - F.col("top.size"), F.col("total") - F.col("top.sum"))).alias("down")), "bucket-parts")
-    rows = inside.join(largest, "key")
+    rows = _merged(inside, largest, "key")
     place = F.xxhash64("rep", "key")
     everyone = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("i"),
-                           F.pmod(place, F.col("across")).cast("int").alias("j"), "rep", "digest", "part", F.lit(False).alias("probe"))
+                           F.pmod(place, F.col("across")).cast("int").alias("j"), "rep", "part", F.lit(False).alias("probe"))
     probes = rows.filter(F.col("part") != F.col("main")).select(
         "key", F.pmod(place, F.col("down")).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("j"), "rep", "digest", "part", F.lit(True).alias("probe"))
-    return _verified(everyone.unionAll(probes).join(sets, ["rep", "digest"]).select(
+        F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("j"), "rep", "part", F.lit(True).alias("probe"))
+    return _verified(_merged(everyone.unionAll(probes), sets, "rep").select(
         "key", "i", "j", "rep", "part", "probe", "sketch", "shingles"), percent, everyone=False)
 
 
@@ -211,24 +216,25 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", p
             F.min("doc").alias("rep"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"),
             F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "shingle-classes")
 
-    banded = classes.select("rep", "digest", "n", F.col("rep").alias("part"), F.posexplode("bands").alias("band", "key"))
-    shared = banded.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high")
-    candidates = materialise(banded.join(shared.select("key"), "key"), "candidates")
-    wanted = materialise(candidates.select("rep", "digest").distinct(), "candidate-documents")
-    texts = source.filter(F.col("doc").isNotNull()).join(wanted, F.col("doc") == F.col("rep")).select("rep", "digest", "text")
-    sets = _full_sets(texts, size).join(classes.select("rep", "digest", "sketch"), ["rep", "digest"])
-    sets = materialise(sets.dropDuplicates(["rep", "digest"]), "candidate-sets")
+    banded = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    shared = banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select("key")
+    pairs = materialise(_merged(banded, shared, "key"), "candidates")
+    wanted = _merged(classes.select("rep", "digest", "n", "sketch"), pairs.select("rep").distinct(), "rep")
+    wanted = materialise(wanted, "candidate-documents")
+    texts = _merged(source, wanted, F.col("doc") == F.col("rep")).select("rep", "digest", "sketch", "text")
+    sets = materialise(_full_sets(texts, size), "candidate-sets")
+    members = wanted.groupBy("rep").agg(F.max("n").alias("n"))      # one row, but for an id with several texts
+    candidates = materialise(_merged(pairs, members, "rep").withColumn("part", F.col("rep")), "candidates")
 
     first = connected(_first_wave(candidates.filter(F.col("band") < FIRST_WAVE), sets, percent))
-    labelled = candidates.drop("part").join(first.select(F.col("high").alias("rep"), F.col("low").alias("head")), "rep", "left")
-    labelled = labelled.withColumn("part", F.coalesce("head", "rep")).drop("head")
+    heads = first.select(F.col("high").alias("rep"), F.col("low").alias("head"))
+    labelled = _merged(candidates, heads, "rep", "left").withColumn("part", F.coalesce("head", "rep")).drop("head")
     links = materialise(_second_wave(labelled, sets, percent), "second-links")
     final = connected(first.select(F.col("high").alias("a"), F.col("low").alias("b")).unionAll(links.select("a", "b")))
 
-    groups = classes.select("digest", "rep", "copies").join(
-        final.select(F.col("high").alias("rep"), "low"), "rep", "left").filter("copies > 1 OR low IS NOT NULL")
-    groups = materialise(groups.select("digest", F.coalesce("low", "rep").alias("component")), "shingle-groups")
-    found = features.select("doc", "n", "digest").join(groups, "digest", "left")
+    groups = _merged(classes.select("digest", "rep", "copies"), final.select(F.col("high").alias("rep"), "low"), "rep", "left")
+    groups = groups.filter("copies > 1 OR low IS NOT NULL").select("digest", F.coalesce("low", "rep").alias("component"))
+    found = _merged(features.select("doc", "n", "digest"), groups, "digest", "left")
     return found.select("doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component"))
 
 
@@ -237,7 +243,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     (gone,) = fresh(df, "copy_doc")
     found = near_duplicates(df, id_col, text)
     copies = materialise(found.filter(F.col("doc") != F.col("component")).select(F.col("doc").alias(gone)).distinct(), "copies")
-    return df.join(copies, F.col(id_col) == F.col(gone), "left_anti")
+    return df.join(copies.hint("merge"), F.col(id_col) == F.col(gone), "left_anti")
 
 
 def group_rows(df: DataFrame) -> DataFrame:
