@@ -47,10 +47,13 @@ class RecentCache:
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
-    def missing(self, keys) -> list:
-        """Distinct ``keys`` that are unknown; known ones are ready in ``new`` afterwards."""
+    def age(self) -> None:
+        """To be called before a piece of work: a full generation becomes the old one."""
         if len(self.new) > self.size:
             self.old, self.new = self.new, {}
+
+    def missing(self, keys) -> list:
+        """Distinct ``keys`` that are unknown; known ones are ready in ``new`` afterwards."""
         unknown = []
         for key in set(keys).difference(self.new):
             value = self.old.get(key)

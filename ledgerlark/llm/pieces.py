@@ -164,6 +164,7 @@ class PieceCodec:
             keys = [c[1:] for c in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + marked)]
         else:
             keys = marked.split(SPACE)
+        self.chunks.age()
         for key in self.chunks.missing(keys):
             self.chunks.new[key] = array(self.code, self.encode_chunk(SPACE + key)).tobytes()
         return array(self.code, b"".join(map(self.chunks.new.__getitem__, keys)))

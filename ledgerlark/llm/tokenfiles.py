@@ -58,26 +58,40 @@ class ByteBpe:
         self.lengths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, number in vocabulary.items():
             self.lengths[number] = len(added[number].content.encode()) if number in added else len(token)
-        self.units = RecentCache(CHUNK_CACHE)
+        self.units = RecentCache(CHUNK_CACHE)      # what follows a space, with the space's part of its ids
+
+    def _ids(self, coded) -> bytes:
+        return np.array(coded.ids, dtype=self.kind).tobytes()
 
     def _learn(self, units: list[str]) -> None:
+        """Remember new units; many of them are handed to the library as one text."""
         groups = [units[a:a + JOINED] for a in range(0, len(units), JOINED)]
         texts = ["".join([" " + u for u in g]) for g in groups]
         for group, coded in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(coded.ids, dtype=self.kind)
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(u.encode()) + 1 for u in group])) + 1
-            raw, size, begin = ids.tobytes(), ids.itemsize, 0
+            raw, size, begin = self._ids(coded), np.dtype(self.kind).itemsize, 0
+            places = np.cumsum(self.lengths[np.frombuffer(raw, dtype=self.kind)])
+            ends = np.searchsorted(places, np.cumsum([len(u.encode()) + 1 for u in group])) + 1
             for unit, end in zip(group, ends.tolist()):
                 self.units.new[unit] = raw[begin * size:end * size]
                 begin = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of type ``kind``."""
+        self.units.age()
         split = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
         first = self.library.encode_batch_fast([s[0] for s in split], add_special_tokens=False)
-        self._learn(self.units.missing(u for s in split for u in s[1:]))
-        known = self.units.new.__getitem__
-        return [np.array(f.ids, dtype=self.kind).tobytes() + b"".join(map(known, s[1:])) for f, s in zip(first, split)]
+        units = [u for s in split for u in s[1:]]
+        ids = list(map(self.units.new.get, units))
+        unknown = [n for n, i in enumerate(ids) if i is None]
+        self._learn(self.units.missing([units[n] for n in unknown]))
+        known = self.units.new
+        for n in unknown:
+            ids[n] = known[units[n]]
+        out, at = [], 0
+        for start, parts in zip(first, split):
+            out.append(self._ids(start) + b"".join(ids[at:at + len(parts) - 1]))
+            at += len(parts) - 1
+        return out
 
 
 @functools.lru_cache(maxsize=2)
