@@ -32,10 +32,13 @@ class Table:
         self.starts = np.concatenate(([0], np.cumsum(slots)[:-1])).astype(np.uint64)
         self.place = np.zeros(int(tokens.max()) + 1 if len(tokens) else 1, dtype=np.int32)
         self.place[tokens] = np.arange(len(tokens))
+        # By slot, for decoding: the token's number, its slots, and the place of the slot among them.
         self.of_slot = np.repeat(np.arange(len(tokens), dtype=np.int32), slots)
+        self.share = np.asarray(slots, dtype=np.int32)[self.of_slot]
+        self.within = np.arange(len(self.of_slot), dtype=np.int32) - self.starts.astype(np.int32)[self.of_slot]
 
     @classmethod
-    def from_counts(cls, tokens: np.ndarray, counts: np.ndarray, precision: int = 20) -> Table:
+    def from_counts(cls, tokens: np.ndarray, counts: np.ndarray, precision: int = 17) -> Table:
         order = np.argsort(tokens)
         tokens, counts = np.asarray(tokens)[order], np.asarray(counts, dtype=np.float64)[order]
         while len(tokens) > 1 << (precision - 2):
@@ -67,9 +70,10 @@ def encode(ids: np.ndarray, table: Table) -> bytes:
     for step in range(steps - 1, -1, -1):
         at = slice(step * lanes, min(n, (step + 1) * lanes))
         x = state[:at.stop - at.start]
-        full = x >= limit[at]
-        words[step] = x[full].astype(np.uint32)
-        x[full] >>= np.uint64(32)
+        full = np.flatnonzero(x >= limit[at])
+        spilled = x[full]
+        words[step] = spilled.astype(np.uint32)
+        x[full] = spilled >> np.uint64(32)
         f = slots[at]
         whole = x // f
         x[:] = (whole << shift) + (x - whole * f) + starts[at]
@@ -99,22 +103,25 @@ def decode(block: bytes, table: Table, first: int = 0, count: int | None = None)
     body = memoryview(block)[at + 4:]
     if struct.unpack_from("<I", block, at)[0] != zlib.crc32(body):
         raise ValueError("damaged block")
-    states = np.frombuffer(body, "<u8", parts * lanes).reshape(-1, lanes) if parts else np.zeros((0, lanes), np.uint64)
-    words = np.frombuffer(body, "<u4", n_words, 8 * parts * lanes).astype(np.uint64)
+    # States stay below 2**63, so signed integers do, and they need no conversion to be places in the table.
+    states = np.frombuffer(body, "<i8", parts * lanes).reshape(-1, lanes) if parts else np.zeros((0, lanes), np.int64)
+    words = np.frombuffer(body, "<u4", n_words, 8 * parts * lanes).astype(np.int64)
     last = parts if count is None else min(parts, first + count)
-    out = np.zeros(max(0, min(n, last * part_steps * lanes) - first * part_steps * lanes), dtype=np.int32)
-    shift, mask, base = np.uint64(precision), np.uint64((1 << precision) - 1), first * part_steps * lanes
+    base = first * part_steps * lanes
+    out = np.zeros(max(0, min(n, last * part_steps * lanes) - base), dtype=np.int32)
+    mask, floor = (1 << precision) - 1, int(_LOW)
     for part in range(first, last):
-        state, word = states[part].astype(np.uint64), int(index[part, 0])
+        state, word = states[part].astype(np.int64), int(index[part, 0])
         for step in range(part * part_steps, min((part + 1) * part_steps, -(-n // lanes))):
             begin, end = step * lanes, min(n, (step + 1) * lanes)
             x = state[:end - begin]
             low = x & mask
-            place = table.of_slot[low]
-            out[begin - base:end - base] = place
-            x[:] = table.slots[place] * (x >> shift) + low - table.starts[place]
-            short = np.flatnonzero(x < _LOW)
-            x[short] = (x[short] << np.uint64(32)) | words[word:word + len(short)]
+            out[begin - base:end - base] = table.of_slot[low]
+            x >>= precision
+            x *= table.share[low]
+            x += table.within[low]
+            short = np.flatnonzero(x < floor)
+            x[short] = x[short] << 32 | words[word:word + len(short)]
             word += len(short)
     ids = table.tokens[out] if len(out) else np.zeros(0, np.uint32)
     for part in range(first, last):

@@ -31,7 +31,7 @@ from . import rans
 from .batches import RecentCache, record, slices
 
 BLOCK_TOKENS = 1 << 17
-CHUNK_CACHE = 400_000
+CHUNK_CACHE = 700_000
 JOINED = 128               # new chunks handed to the library as one text
 
 #: A space before a character that is no white space always begins a new unit of the splitting pattern.
@@ -79,7 +79,8 @@ class ByteBpe:
         """Ids of each text as little-endian integers of type ``kind``."""
         self.units.age()
         split = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        first = self.library.encode_batch_fast([s[0] for s in split], add_special_tokens=False)
+        begins = list({s[0] for s in split})
+        first = dict(zip(begins, map(self._ids, self.library.encode_batch_fast(begins, add_special_tokens=False))))
         units = [u for s in split for u in s[1:]]
         ids = list(map(self.units.new.get, units))
         unknown = [n for n, i in enumerate(ids) if i is None]
@@ -88,8 +89,8 @@ class ByteBpe:
         for n in unknown:
             ids[n] = known[units[n]]
         out, at = [], 0
-        for start, parts in zip(first, split):
-            out.append(self._ids(start) + b"".join(ids[at:at + len(parts) - 1]))
+        for parts in split:
+            out.append(first[parts[0]] + b"".join(ids[at:at + len(parts) - 1]))
             at += len(parts) - 1
         return out
 
@@ -190,7 +191,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc, start, n_tokens, ids) of every document: ids before it, its ids as little-endian unsigned 32-bit integers."""
     entries = spark.read.parquet(f"{path}/table").orderBy("token").collect()       # at most one row per vocabulary entry
     plain = (np.array([r["token"] for r in entries], dtype=np.int64), np.array([r["slots"] for r in entries], dtype=np.int64),
-             entries[0]["precision"] if entries else 20)
+             entries[0]["precision"] if entries else 17)
     blocks = spark.read.parquet(f"{path}/blocks")
     kind = blocks.schema["docs"].dataType.elementType.simpleString()
 
