@@ -1,8 +1,8 @@
 """Licence wording by template markup compiled to token automata (operator 8).
 
 A template is running text with optional regions ``<<optional>> ... <<end>>`` and replaceable regions ``<<any 12>>`` (up
-to twelve words) or ``<<one of|words|here>>``. It becomes an automaton over words. Texts are searched for the longest
-run of fixed words of each template; around every place of it the automaton runs to both ends, and the
+to twelve words) or ``<<one of|words|here>>``. It becomes an automaton over words. Texts are searched for the first words
+of the longest fixed run of each template; around every place of them the automaton runs to both ends, and the
 template is accepted only if all mandatory words stand there exactly and in order.
 
 Defined cases. Null and empty texts have no words, no labels and score 0. Rows are handled one by one, so repeated
@@ -61,6 +61,8 @@ TEMPLATES = {
         substantial portions of the Software.""",
 }
 
+ANCHOR_WORDS = 6           # fixed words that a place must show before an automaton is run there
+
 _MARK = re.compile(r"<<(.*?)>>", re.S)
 
 
@@ -100,7 +102,7 @@ class Template:
                 raise ValueError(f"unknown markup {part!r} in {label}")
         if open_at:
             raise ValueError(f"an optional region of {label} has no end")
-        anchor = max(runs, key=len)
+        anchor = max(runs, key=len)[:ANCHOR_WORDS]
         if not anchor:
             raise ValueError(f"{label} has no fixed words")
         self.anchor = b" " + b" ".join(w for _, w in anchor) + b" "
@@ -203,7 +205,7 @@ def find_licenses(df: DataFrame, text: str = "text", templates: dict[str, str] |
     """Add the number of words, the findings with word and character places, and the score to each row.
 
     The score is 1 for an accepted template, else the largest share of a template's mandatory words met in order around
-    its fixed run, and at least 0.5 where a phrase stands.
+    its fixed words, and at least 0.5 where a phrase stands.
     """
     names = (n_words, licenses, score)
     wording, phrases = tuple((TEMPLATES if templates is None else templates).items()), PHRASES if phrases is None else phrases
