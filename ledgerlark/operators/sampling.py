@@ -1,9 +1,10 @@
 """Exact, deterministic samples, splits and folds.
 
-Rows are ordered by ``(hash(id, seed), id)``. A quota is turned into the order's cut-off row: one
-map-side aggregation counts hash bins, a second job ranks only the bins that hold a cut-off, and the
-selection itself is a row-wise comparison with literals. No row is shuffled to be sampled, and sizes
-are exact at any scale. Ids must be unique (drop duplicates first).
+Rows are ordered by ``(hash(id, seed), id, hash of the whole row)``. A quota is turned into the order's cut-off
+row: bins of the order are counted map-side and narrowed until a few distinct keys are left, and the selection is a
+row-wise comparison with literals. No row is shuffled to be sampled, and sizes are exact at any scale, also with
+missing or repeated ids: rows that share an id are told apart by their content, and of rows that are equal in
+every column the wanted number is made anew from one of them.
 """
 
 from __future__ import annotations
@@ -12,27 +13,31 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlark.functions.hashing import HASH_BITS, order_hash
 
 BIN_BITS = 14
-_HASH = "_order_hash"
+FETCH = 5_000            # distinct keys read from the bins that hold a cut-off
+_HASH, _ID, _ROW = "_order_hash", "_order_id", "_order_row"
 
 
 @dataclass(frozen=True)
 class CutOff:
-    """The row at 1-based ``rank`` of a stratum."""
+    """The row at 1-based ``rank`` of a stratum: its key, and which of the ``tied`` rows with that key it is."""
 
     stratum: object
     rank: int
     hash: int
     row_id: object
+    row: int
+    taken: int = 1
+    tied: int = 1
 
 
 @dataclass(frozen=True)
 class HashOrder:
-    """The order rows are drawn in."""
+    """The order rows are drawn in. Without the id column, rows are drawn by their content."""
 
     row_id: str = "transaction_id"
     seed: int = 42
@@ -41,14 +46,25 @@ class HashOrder:
     def hash(self) -> Column:
         return order_hash(F.col(self.row_id), self.seed, self.method)
 
-    def hashed(self, df: DataFrame) -> DataFrame:
-        """``df`` with the hash as a column, computed once however often it is compared."""
-        return df.withColumn(_HASH, self.hash())
+    def keyed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the key as columns, computed once however often it is compared."""
+        content = F.xxhash64(*[F.col(f"`{f.name}`") for f in sorted(df.schema, key=lambda f: f.name)
+                               if "map<" not in f.dataType.simpleString()])
+        if self.row_id not in df.columns:
+            return df.withColumn(_ROW, content).withColumns(
+                {_HASH: order_hash(F.col(_ROW), self.seed, self.method), _ID: F.lit(None).cast("long")})
+        return df.withColumns({_HASH: self.hash(), _ID: F.col(self.row_id), _ROW: content})
 
     def after(self, cut: CutOff) -> Column:
-        """True for rows of a hashed frame later than the cut-off row."""
-        h = F.col(_HASH)
-        return (h > cut.hash) | ((h == cut.hash) & (F.col(self.row_id) > F.lit(cut.row_id)))
+        """True for rows of a keyed frame later than the cut-off's key; rows without id come last."""
+        same_hash = F.col(_HASH) == cut.hash
+        same_id = F.col(_ID).eqNullSafe(F.lit(cut.row_id))
+        later_id = F.lit(False) if cut.row_id is None else F.coalesce(F.col(_ID) > F.lit(cut.row_id), F.lit(True))
+        return (F.col(_HASH) > cut.hash) | (same_hash & (later_id | (same_id & (F.col(_ROW) > cut.row))))
+
+    def at(self, cut: CutOff) -> Column:
+        """True for the rows with the cut-off's key."""
+        return (F.col(_HASH) == cut.hash) & F.col(_ID).eqNullSafe(F.lit(cut.row_id)) & (F.col(_ROW) == cut.row)
 
 
 def stratum_sizes(df: DataFrame, stratum: str | None) -> dict[object, int]:
@@ -56,48 +72,128 @@ def stratum_sizes(df: DataFrame, stratum: str | None) -> dict[object, int]:
     return {r["s"]: r["count"] for r in df.groupBy(key.alias("s")).count().collect()}
 
 
+@dataclass
+class _Search:
+    stratum: object
+    rank: int
+    left: int              # rank among the rows that are still inside
+    size: int
+    digits: tuple = ()
+
+
+def _digits(bin_bits: int) -> list[Column]:
+    """The key as digits of few values each, most significant first."""
+    low = HASH_BITS - bin_bits
+    half = (low + 1) // 2
+    row = F.col(_ROW)
+    return [F.shiftright(_HASH, low), F.shiftright(_HASH, low - half).bitwiseAND((1 << half) - 1),
+            F.col(_HASH).bitwiseAND((1 << (low - half)) - 1), F.col(_ID), F.shiftright(row, 51),
+            *[F.shiftright(row, n).bitwiseAND((1 << 13) - 1) for n in (38, 25, 12)], row.bitwiseAND((1 << 12) - 1)]
+
+
+def _position(found: list[tuple[object, int]], left: int) -> tuple[object, int, int]:
+    """The digit that holds the row ``left``, its rank there, and the digit's rows."""
+    for digit, n in sorted(found, key=lambda f: (f[0] is None, f[0] if f[0] is not None else 0)):
+        if left <= n:
+            return digit, left, n
+        left -= n
+    raise ValueError("the rows changed between two reads; write the table before sampling from it")
+
+
 def cut_offs(df: DataFrame, order: HashOrder, stratum: str | None,
              ranks: Callable[[dict[object, int]], dict[object, list[int]]],
-             bin_bits: int = BIN_BITS) -> list[CutOff]:
-    """Find the rows at the given ranks of each stratum (a label column of few values).
+             bin_bits: int = BIN_BITS, fetch: int = FETCH) -> list[CutOff]:
+    """Find the rows at the given ranks of each stratum (a label column of few values; missing labels are one).
 
     ``ranks`` maps the stratum sizes to the 1-based ranks wanted; out-of-range ranks are skipped.
     """
-    shift = HASH_BITS - bin_bits
-    keyed = df.select((F.col(stratum) if stratum else F.lit(0)).alias("s"), order.hash().alias("h"),
-                      F.col(order.row_id).alias("row_id")).withColumn("b", F.shiftright("h", shift))
+    keyed = order.keyed(df).select((F.col(stratum) if stratum else F.lit(0)).alias("s"), _HASH, _ID, _ROW)
+    digits = _digits(bin_bits)
     bins: dict[object, list[tuple[int, int]]] = {}
-    for r in keyed.groupBy("s", "b").count().collect():
+    for r in keyed.groupBy("s", digits[0].alias("b")).count().collect():
         bins.setdefault(r["s"], []).append((r["b"], r["count"]))
     sizes = {s: sum(n for _, n in found) for s, found in bins.items()}
-
-    wanted = []
+    searches = []
     for s, targets in ranks(sizes).items():
-        found, i, before = sorted(bins.get(s, [])), 0, 0
         for rank in sorted(t for t in set(targets) if 1 <= t <= sizes.get(s, 0)):
-            while before + found[i][1] < rank:
-                before += found[i][1]
-                i += 1
-            wanted.append((s, found[i][0], rank - before, rank))
-    if not wanted:
-        return []
-
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField("s", keyed.schema["s"].dataType), T.StructField("b", keyed.schema["b"].dataType),
-                           T.StructField("nth", T.IntegerType()), T.StructField("rank", T.LongType())])
-    targets = F.broadcast(spark.createDataFrame(wanted, schema))          # one row per cut-off
-    in_order = Window.partitionBy("s", "b").orderBy("h", "row_id")
-    rows = (keyed.join(targets.select("s", "b").distinct(), ["s", "b"], "left_semi")
-            .withColumn("nth", F.row_number().over(in_order)).join(targets, ["s", "b", "nth"]).collect())
-    return sorted((CutOff(r["s"], r["rank"], r["h"], r["row_id"]) for r in rows),
-                  key=lambda c: (str(c.stratum), c.rank))
+            digit, left, size = _position(bins[s], rank)
+            searches.append(_Search(s, rank, left, size, (digit,)))
+
+    def inside(prefix: tuple) -> Column:
+        test = F.col("s").eqNullSafe(F.lit(prefix[0]))
+        for column, digit in zip(digits, prefix[1]):
+            test = test & column.eqNullSafe(F.lit(digit))
+        return test
+
+    def prefixes(some: list[_Search]) -> list[tuple]:
+        return list(dict.fromkeys((x.stratum, x.digits) for x in some))
+
+    def tagged(some: list[tuple]) -> DataFrame:
+        number = F.coalesce(*[F.when(inside(p), n) for n, p in enumerate(some)])
+        return keyed.withColumn("p", number).filter(F.col("p").isNotNull())
+
+    depth, going, cuts = 1, searches, []
+    while going:
+        small = [p for p in prefixes(going) if next(x.size for x in going if (x.stratum, x.digits) == p) <= fetch or depth == len(digits)]
+        if small:
+            rows = tagged(small).groupBy("p", _HASH, _ID, _ROW).count().orderBy("p", _HASH, F.col(_ID).asc_nulls_last(), _ROW).collect()
+            for x in [x for x in going if (x.stratum, x.digits) in small]:
+                left = x.left
+                for r in (r for r in rows if small[r["p"]] == (x.stratum, x.digits)):
+                    if left <= r["count"]:
+                        cuts.append(CutOff(x.stratum, x.rank, r[_HASH], r[_ID], r[_ROW], left, r["count"]))
+                        break
+                    left -= r["count"]
+                else:
+                    raise ValueError("the rows changed between two reads; write the table before sampling from it")
+        going = [x for x in going if (x.stratum, x.digits) not in small]
+        if going:
+            wanted = prefixes(going)
+            found: dict[tuple, list] = {}
+            for r in tagged(wanted).groupBy("p", digits[depth].alias("b")).count().collect():
+                found.setdefault(wanted[r["p"]], []).append((r["b"], r["count"]))
+            for x in going:
+                digit, x.left, x.size = _position(found[x.stratum, x.digits], x.left)
+                x.digits = (*x.digits, digit)
+            depth += 1
+    return sorted(cuts, key=lambda c: (str(c.stratum), c.rank))
+
+
+def _numbered(rows: DataFrame, order: HashOrder, cuts: list[CutOff], label: str | None, name: str) -> DataFrame:
+    """``rows`` with the number of their stratum's cut-offs that they lie behind.
+
+    The rows with a split key are equal in all columns; one of them is repeated as often as it was there.
+    """
+    def mine(cut: CutOff) -> Column:
+        return F.col(label).eqNullSafe(F.lit(cut.stratum)) if label else F.lit(True)
+
+    keyed = order.keyed(rows)
+    passed = sum(((mine(c) & order.after(c)).cast("int") for c in cuts), F.lit(0))
+    split: dict[tuple, list[CutOff]] = {}
+    for c in cuts:
+        if c.taken < c.tied:
+            split.setdefault((c.stratum, c.hash, c.row_id, c.row), []).append(c)
+    plain = keyed
+    for own in split.values():
+        plain = plain.filter(~(mine(own[0]) & order.at(own[0])))
+    out = plain.withColumn(name, passed)
+    for own in split.values():
+        first = own[0]
+        one = keyed.filter(mine(first) & order.at(first)).limit(1).withColumn("_one", F.lit(1))
+        # Cut-offs whose key is smaller, or equal and wholly before, are passed by every one of these rows.
+        behind = [c for c in cuts if c.stratum == first.stratum and c.rank < min(o.rank for o in own)]
+        numbers = rows.sparkSession.range(first.tied).select(F.lit(1).alias("_one"), (F.col("id") + 1).alias("_nth"))
+        again = numbers.join(F.broadcast(one), "_one").withColumn(                  # a single row
+            name, F.lit(len(behind)) + sum(((F.col("_nth") > c.taken).cast("int") for c in own), F.lit(0)))
+        out = out.unionByName(again.drop("_one", "_nth"))
+    return out.drop(_HASH, _ID, _ROW)
 
 
 def take(df: DataFrame, n: int, order: HashOrder = HashOrder()) -> DataFrame:
     """A uniform sample of exactly ``n`` rows without replacement (all rows when there are fewer)."""
     cuts = cut_offs(df, order, None, lambda sizes: {0: [n]}) if n > 0 else []
     if cuts:
-        return order.hashed(df).filter(~order.after(cuts[0])).drop(_HASH)
+        return _numbered(df, order, cuts, None, "_passed").filter("_passed = 0").drop("_passed")
     return df if n > 0 else df.limit(0)
 
 
@@ -116,16 +212,21 @@ def mark_split(df: DataFrame, fraction: float, label: str = "is_fraud", order: H
                name: str = "is_test") -> DataFrame:
     """Flag ``fraction`` of the rows, stratified by label: the hold-out of a train/test split.
 
-    The flagged total is ``ceil(n * fraction)``; each label keeps its share of the other part.
+    The flagged total is ``ceil(n * fraction)``; each label keeps its share of the other part. Rows without a
+    label are a stratum of their own.
     """
+    quota: dict[object, int] = {}
+
     def kept(sizes):
-        n = sum(sizes.values())
-        return {s: [k] for s, k in allocate(sizes, n - math.ceil(n * fraction)).items()}
+        quota.update(allocate(sizes, sum(sizes.values()) - math.ceil(sum(sizes.values()) * fraction)) if sizes else {})
+        return {s: [k] for s, k in quota.items()}
 
-    held_out = F.lit(True)
-    for cut in cut_offs(df, order, label, kept):
-        held_out = F.when(F.col(label) == F.lit(cut.stratum), order.after(cut)).otherwise(held_out)
-    return order.hashed(df).withColumn(name, held_out).drop(_HASH)
+    cuts = cut_offs(df, order, label, kept)
+    empty = F.lit(False)       # strata of which nothing is kept have no cut-off
+    for s in (s for s, k in quota.items() if k == 0):
+        empty = empty | F.col(label).eqNullSafe(F.lit(s))
+    marked = _numbered(df, order, cuts, label, "_passed")
+    return marked.withColumn(name, (F.col("_passed") > 0) | empty).drop("_passed")
 
 
 def stratified_split(df: DataFrame, fraction: float, label: str = "is_fraud",
@@ -137,7 +238,10 @@ def stratified_split(df: DataFrame, fraction: float, label: str = "is_fraud",
 
 def mark_folds(df: DataFrame, k: int, label: str = "is_fraud", order: HashOrder = HashOrder(),
                name: str = "fold") -> DataFrame:
-    """Stratified K folds numbered from 0: per label, fold sizes differ by at most one."""
+    """Stratified K folds numbered from 0: per label, fold sizes differ by at most one.
+
+    A label of fewer rows than folds fills the first folds. Rows without a label are a stratum of their own.
+    """
     def ends(sizes):
         out = {}
         for s, n in sizes.items():
@@ -145,12 +249,7 @@ def mark_folds(df: DataFrame, k: int, label: str = "is_fraud", order: HashOrder
             out[s] = [(i + 1) * size + min(i + 1, extra) for i in range(k - 1)]
         return out
 
-    fold = F.lit(0)
-    cuts = cut_offs(df, order, label, ends)
-    for s in {c.stratum for c in cuts}:
-        passed = sum((order.after(c).cast("int") for c in cuts if c.stratum == s), F.lit(0))
-        fold = F.when(F.col(label) == F.lit(s), passed).otherwise(fold)
-    return order.hashed(df).withColumn(name, fold).drop(_HASH)
+    return _numbered(df, order, cut_offs(df, order, label, ends), label, name)
 
 
 def downsample_negatives(df: DataFrame, ratio: float, label: str = "is_fraud",
@@ -166,16 +265,16 @@ def downsample_negatives(df: DataFrame, ratio: float, label: str = "is_fraud",
         negatives, positives = sizes.get(0, 0), sizes.get(1, 0)
         return {0: [min(negatives, int(max(negatives * ratio, positives)))]}
 
-    cuts = cut_offs(df.filter(F.col(label).isin(0, 1)), order, label, quota)
+    labelled = df.filter(F.col(label).isin(0, 1))
+    cuts = cut_offs(labelled, order, label, quota)
     if not cuts:
         return df
-    kept = (F.col(label) == 1) | ((F.col(label) == 0) & ~order.after(cuts[0]))
-    return order.hashed(df).filter(kept).drop(_HASH)
+    return _numbered(labelled, order, cuts, label, "_passed").filter("_passed = 0").drop("_passed")
 
 
 def shuffled(df: DataFrame, order: HashOrder = HashOrder()) -> DataFrame:
     """Random row order, spread evenly: a range sort by the hash."""
-    return df.orderBy(order.hash(), F.col(order.row_id))
+    return order.keyed(df).orderBy(_HASH, _ID, _ROW).drop(_HASH, _ID, _ROW)
 
 
 def most_recent(df: DataFrame, n: int, column: str = "transaction_time",

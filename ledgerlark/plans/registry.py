@@ -630,6 +630,42 @@ def stratified_split(spark, sf_dir):
     return sampling.mark_split(rows, 0.2, order=ORDER)
 
 
+def _untidy_ids(spark, sf_dir) -> DataFrame:
+    """Raw rows of which some share an id and others have none."""
+    return txn_raw(spark, sf_dir).select("is_fraud", "amt", "cc_num", F.nullif(F.trim("trans_num"), F.lit("")).alias("trans_num"))
+
+
+@query("X1", with_views("txn_raw") + _split_sql(0.5, 42, "txn_raw").split(",\nmarked")[0] + """
+SELECT l AS is_fraud, part = 'test' AS is_test, CAST(CASE WHEN part = 'test' THEN c - kept ELSE kept END AS BIGINT) AS n
+FROM quota JOIN sizes USING (l), (VALUES ('test'), ('train')) AS parts(part)
+""")
+def split_with_missing_ids(spark, sf_dir):
+    marked = sampling.mark_split(_untidy_ids(spark, sf_dir), 0.5, order=HashOrder("trans_num"))
+    return marked.groupBy("is_fraud", "is_test").agg(F.count("*").alias("n"))
+
+
+@query("X2", with_views("txn_raw") + """,
+sizes AS (SELECT is_fraud, count(*) AS c FROM txn_raw GROUP BY is_fraud)
+SELECT is_fraud, CAST(fold AS INTEGER) AS fold, CAST(c // 10 + CASE WHEN fold < c % 10 THEN 1 ELSE 0 END AS BIGINT) AS n
+FROM sizes, range(10) AS folds(fold) WHERE c // 10 + CASE WHEN fold < c % 10 THEN 1 ELSE 0 END > 0
+""")
+def folds_with_repeated_ids(spark, sf_dir):
+    marked = sampling.mark_folds(_untidy_ids(spark, sf_dir), 10, order=HashOrder("cc_num"))
+    return marked.groupBy("is_fraud", "fold").agg(F.count("*").alias("n"))
+
+
+@query("X4 X5", with_views("txn_raw") + "SELECT least(2500, count(*)) AS n, CAST(0 AS BIGINT) AS unknown FROM txn_raw")
+def sample_with_repeated_ids(spark, sf_dir):
+    """Ids repeat a hundred times or are missing; the sample's size is exact and it holds only rows of the table."""
+    rows = _untidy_ids(spark, sf_dir)
+    drawn = sampling.take(rows, 2500, HashOrder("cc_num"))
+    counted = drawn.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    there = rows.groupBy(*rows.columns).agg(F.count("*").alias("m"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c in rows.columns]
+    joined = counted.alias("d").join(there.alias("t"), same, "left")
+    return joined.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("m").isNull() | (F.col("n") > F.col("m"))).alias("unknown"))
+
+
 @query("X3", with_views("txn") + _split_sql(0.2, 42) + """, train AS (SELECT record_id, is_fraud FROM marked WHERE NOT is_test)"""
        + _split_sql(0.1, 43, "train").replace("sizes", "sizes2").replace("shares", "shares2").replace("quota", "quota2")
        .replace("marked", "marked2") + " SELECT record_id, is_fraud, is_test AS is_validation FROM marked2")

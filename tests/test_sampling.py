@@ -85,3 +85,54 @@ def test_class_weights():
 def test_allocation_sums_up():
     assert sampling.allocate({0: 7, 1: 2}, 5) == {0: 4, 1: 1}
     assert sampling.allocate({0: 10}, 3) == {0: 3}
+
+
+# --- missing, repeated and absent ids -------------------------------------------------------
+
+@pytest.fixture(scope="module", params=["none", "half missing", "all missing", "few ids", "equal rows", "no column"])
+def untidy(request, spark):
+    """2000 rows, 300 positives, whose ids do not tell them apart."""
+    ids = {"none": F.col("n"), "half missing": F.when(F.col("n") % 2 == 0, F.col("n")), "all missing": F.lit(None).cast("long"),
+           "few ids": F.col("n") % 4, "equal rows": F.lit(7).cast("long"), "no column": F.col("n")}[request.param]
+    df = spark.range(2000).withColumnRenamed("id", "n").select(ids.alias("id"), (F.col("n") < 300).cast("int").alias("is_fraud"), "n")
+    if request.param == "equal rows":
+        df = df.withColumn("n", F.lit(1).cast("long"))
+    return df.drop("id") if request.param == "no column" else df
+
+
+@pytest.mark.parametrize("n", [1, 700, 1500, 1999])
+def test_samples_of_untidy_ids_have_their_size(untidy, n):
+    got = sampling.take(untidy.repartition(3), n, ORDER)
+    assert got.count() == n and got.columns == untidy.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, sampling.take(untidy, n, ORDER).collect()), key=repr)
+
+
+@pytest.mark.parametrize("fraction", [0.2, 0.5])
+def test_splits_of_untidy_ids_are_exact(untidy, fraction):
+    assert counts(sampling.mark_split(untidy, fraction, order=ORDER), "is_fraud", "is_test") == {
+        (0, True): 1700 * fraction, (0, False): 1700 * (1 - fraction), (1, True): 300 * fraction, (1, False): 300 * (1 - fraction)}
+
+
+def test_folds_of_untidy_ids_are_even_and_lose_nothing(untidy):
+    folds = sampling.mark_folds(untidy, 10, order=ORDER)
+    assert counts(folds, "is_fraud", "fold") == {(y, f): (30 if y else 170) for y in (0, 1) for f in range(10)}
+    assert sorted(map(tuple, folds.drop("fold").collect()), key=repr) == sorted(map(tuple, untidy.collect()), key=repr)
+
+
+def test_downsampling_of_untidy_ids(untidy):
+    assert counts(sampling.downsample_negatives(untidy, 0.5, order=ORDER), "is_fraud") == {(0,): 850, (1,): 300}
+
+
+def test_missing_labels_are_a_stratum(rows):
+    some = rows.withColumn("is_fraud", F.when(F.col("id") >= 200, F.col("is_fraud")).otherwise(None))
+    folds = counts(sampling.mark_folds(some, 4, order=ORDER), "is_fraud", "fold")
+    assert [folds[None, f] for f in range(4)] == [50] * 4 and sum(folds.values()) == 1000
+    assert counts(sampling.mark_split(some, 0.25, order=ORDER).filter("is_fraud IS NULL"), "is_test") == {(True,): 50, (False,): 150}
+
+
+def test_narrowing_finds_the_same_rows(untidy):
+    def wanted(sizes):
+        return {0: [5, 500, 1700], 1: [1, 300, 301]}
+
+    far = sampling.cut_offs(untidy, ORDER, "is_fraud", wanted, fetch=1)
+    assert far == sampling.cut_offs(untidy, ORDER, "is_fraud", wanted) and len(far) == 5
