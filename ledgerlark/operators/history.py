@@ -4,12 +4,12 @@ A card with few rows is one window group. For a card with many, sliding frames w
 steps in a single task, so its rows are cut into time slices, with the same result in linear time:
 
 * row frames (last k rows): the group is (card, slice), with the k rows before the slice copied in.
-* time frames (``[t - span, t)``): the total of the whole slices in the frame, plus what entered in the
-  row's own slice, minus what left in it; the leaving events are the old rows moved forward by ``span``.
-  Groups are (card, slice), pre-counted by distinct time.
+* time frames (``[t - span, t)``): what entered in the row's own slice before it, plus the end of the slice in which the
+  frame begins, plus the whole slices between. Nothing is ever subtracted, so an amount that has left the frame leaves
+  no trace. Sums over whole slices are put together from two blocks as long as the frame, again by adding only.
 
-Cards with few rows have a single slice, so all rows go through one shuffle on (card, slice). Rows without
-a card have no history; they are spread over salts instead of forming one group.
+Rows without a card or a time have no history and are in nobody's; they are spread over salts instead of forming
+one group.
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ MINUTE = 60 * SECOND
 HOUR = 60 * MINUTE
 DAY = 24 * HOUR
 WEEK = 7 * DAY
-NO_CARD_SALTS = 10_000
+NO_HISTORY_SALTS = 10_000
 SLICE_ROWS = 5_000_000   # rows of one slice that one task may sort
+SLICE_BLOCK = 1024       # slices whose last rows are passed on in one window
 _HELPERS = ("_t", "_slice", "_hot")
 
 
@@ -41,42 +42,48 @@ class Entity:
     amount: str = "amount"
 
 
-def fitting_slice(df: DataFrame, e: Entity, hot: list, slice_rows: int = SLICE_ROWS) -> int:
-    """The longest of hour, minute and second whose fullest slice of a hot card is still small."""
-    if not hot:
-        return HOUR
-    rows = flag_hot(df.select(e.key, F.unix_micros(F.col(e.time)).alias("_t")), e.key, hot, "_hot").filter("_hot")
+def fitting_slice(hot_rows: DataFrame, e: Entity, slice_rows: int = SLICE_ROWS) -> int:
+    """The longest of hour, minute and second whose fullest slice of a card is still small."""
     for size in (HOUR, MINUTE):
-        fullest = (rows.groupBy(e.key, F.floor(F.col("_t") / size)).count().agg(F.max("count")).first()[0] or 0)
+        fullest = (hot_rows.groupBy(e.key, F.floor(F.col("_t") / size)).count().agg(F.max("count")).first()[0] or 0)
         if fullest <= slice_rows:
             return size
     return SECOND
 
 
-def _sliced(df: DataFrame, e: Entity, hot: list, slice_size: int) -> DataFrame:
-    """Adds the time in microseconds, the slice and whether the card is cut into slices."""
-    timed = flag_hot(df.withColumn("_t", F.unix_micros(F.col(e.time))), e.key, hot, "_hot")
-    salt = F.pmod(F.xxhash64(e.row_id), F.lit(NO_CARD_SALTS))
-    return timed.withColumn("_slice", F.when(F.col(e.key).isNull(), salt)
-                            .when(F.col("_hot"), F.floor(F.col("_t") / slice_size)).otherwise(0).cast("bigint"))
+def _known(e: Entity) -> Column:
+    return F.col(e.key).isNotNull() & F.col("_t").isNotNull()
 
 
 # --- row frames -----------------------------------------------------------------------------
 
-def _copies(sliced: DataFrame, e: Entity, halo: int) -> DataFrame:
+def _last(rows: Column, n: int) -> Column:
+    """The last ``n`` of an array."""
+    return F.slice(rows, F.greatest(F.size(rows) - n + 1, F.lit(1)), F.lit(n))
+
+
+def _copies(rows: DataFrame, e: Entity, halo: int) -> DataFrame:
     """For every slice of a hot card, the ``halo`` rows before it, as rows of that slice.
 
-    Only the last ``halo`` rows of each slice can be needed by a later one, so the card-wide numbering
-    runs over those few rows.
+    Only the last ``halo`` rows of each slice can be needed by a later one. They are passed on from slice to slice
+    within blocks of slices, and from block to block of a card.
     """
     latest = Window.partitionBy(e.key, "_slice").orderBy(F.desc("_t"), F.desc(e.row_id))
-    tails = (sliced.filter("_hot").select(e.key, e.time, e.row_id, e.amount, "_t", "_slice")
-             .withColumn("_nth", F.row_number().over(latest)).filter(F.col("_nth") <= halo).drop("_nth"))
-    numbered = tails.withColumn("_pos", F.row_number().over(Window.partitionBy(e.key).orderBy("_t", e.row_id)))
-    back = F.sequence(F.col("_first") - halo, F.col("_first") - 1)
-    wanted = (numbered.groupBy(e.key, "_slice").agg(F.min("_pos").alias("_first"))
-              .select(e.key, "_slice", F.explode(back).alias("_pos")).filter(F.col("_pos") > 0))
-    return numbered.drop("_slice", "_hot").join(wanted, [e.key, "_pos"]).drop("_pos")
+    row = F.struct("_t", e.row_id, e.time, e.amount)
+    tails = (rows.withColumn("_nth", F.row_number().over(latest)).filter(F.col("_nth") <= halo)
+             .groupBy(e.key, "_slice").agg(F.sort_array(F.collect_list(row)).alias("_tail"))
+             .withColumn("_block", F.floor(F.col("_slice") / SLICE_BLOCK)))
+    # Every slice that is there holds a row, so the last ``halo`` slices hold enough.
+    inside = Window.partitionBy(e.key, "_block").orderBy("_slice").rowsBetween(-halo, -1)
+    near = tails.withColumn("_near", _last(F.flatten(F.collect_list("_tail").over(inside)), halo))
+    end = Window.partitionBy(e.key, "_block").orderBy(F.desc("_slice"))
+    ends = (tails.withColumn("_nth", F.row_number().over(end)).filter(F.col("_nth") <= halo)
+            .groupBy(e.key, "_block").agg(_last(F.sort_array(F.flatten(F.collect_list("_tail"))), halo).alias("_end")))
+    before = Window.partitionBy(e.key).orderBy("_block").rowsBetween(-halo, -1)
+    carried = ends.select(e.key, "_block", _last(F.flatten(F.collect_list("_end").over(before)), halo).alias("_carried"))
+    found = near.join(carried, [e.key, "_block"]).select(
+        e.key, "_slice", F.explode(_last(F.concat("_carried", "_near"), halo)).alias("_row"))
+    return found.select(e.key, "_slice", "_row.*")
 
 
 def _add_row_frames(sliced: DataFrame, e: Entity, back: int, copies: DataFrame | None = None) -> DataFrame:
@@ -85,10 +92,9 @@ def _add_row_frames(sliced: DataFrame, e: Entity, back: int, copies: DataFrame |
         rows = (sliced.withColumn("_copy", F.lit(False))
                 .unionByName(copies.withColumn("_copy", F.lit(True)), allowMissingColumns=True))
     in_order = Window.partitionBy(e.key, "_slice").orderBy("_t", e.row_id)
-    known = F.col(e.key).isNotNull()
     rows = rows.withColumns({
-        "recent_avg": F.when(known, F.avg(e.amount).over(in_order.rowsBetween(1 - back, 0))),
-        "previous_time": F.when(known, F.lag(e.time).over(in_order)),
+        "recent_avg": F.when(_known(e), F.avg(e.amount).over(in_order.rowsBetween(1 - back, 0))),
+        "previous_time": F.when(_known(e), F.lag(e.time).over(in_order)),
     })
     return rows if copies is None else rows.filter(~F.col("_copy")).drop("_copy")
 
@@ -97,43 +103,57 @@ def _add_row_frames(sliced: DataFrame, e: Entity, back: int, copies: DataFrame |
 
 def _windowed_frames(rows: DataFrame, e: Entity, spans: dict[str, int]) -> DataFrame:
     by_time = Window.partitionBy(e.key, "_slice").orderBy("_t")
-    known, out = F.col(e.key).isNotNull(), {}
+    out = {}
     for name, span in spans.items():
         frame = by_time.rangeBetween(-span, -1)
-        out[f"{name}_count"] = F.when(known, F.count(e.amount).over(frame)).otherwise(0)
-        out[f"{name}_sum"] = F.when(known, F.sum(e.amount).over(frame))
+        out[f"{name}_count"] = F.when(_known(e), F.count(e.amount).over(frame)).otherwise(0)
+        out[f"{name}_sum"] = F.when(_known(e), F.sum(e.amount).over(frame))
     return rows.withColumns(out) if out else rows
 
 
+def _asked(totals: DataFrame, questions: DataFrame, group: list[str], at: str, from_the_end: bool) -> DataFrame:
+    """For each question (group, at, owner), the sums of ``n`` and ``s`` of its group up to and with ``at``, or from it on."""
+    rows = (totals.select(*group, at, "n", "s", F.lit(None).cast("long").alias("owner"))
+            .unionByName(questions.select(*group, at, F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("s"), "owner")))
+    order = Window.partitionBy(*group).orderBy(F.desc(at) if from_the_end else at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumns({"n": F.sum("n").over(order), "s": F.sum("s").over(order)}).filter(F.col("owner").isNotNull())
+
+
+def _whole_slices(slices: DataFrame, e: Entity, width: int) -> DataFrame:
+    """(card, _slice, n, s): the ``width - 1`` slices before each slice of ``slices``."""
+    size = width - 1
+    block = F.floor(F.col("_slice") / size)
+    totals = slices.withColumn("_block", block)
+    first = slices.select(e.key, F.col("_slice").alias("owner"), (F.col("_slice") - size).alias("_slice")).withColumn("_block", block)
+    last = slices.select(e.key, F.col("_slice").alias("owner"), (F.col("_slice") - 1).alias("_slice")).withColumn("_block", block)
+    last = last.filter(F.pmod(F.col("owner"), F.lit(size)) != 0)     # else the frame is one whole block
+    parts = _asked(totals, first, [e.key, "_block"], "_slice", True).unionByName(_asked(totals, last, [e.key, "_block"], "_slice", False))
+    return parts.groupBy(e.key, F.col("owner").alias("_slice")).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+
+
 def _slice_frames(rows: DataFrame, e: Entity, spans: dict[str, int], slice_size: int) -> DataFrame:
-    """(card, _t, counts and sums) of hot cards."""
-    moments = rows.groupBy(e.key, "_slice", "_t").agg(F.count(e.amount).alias("n"), F.sum(e.amount).alias("s"))
+    """(card, _slice, _t, counts and sums) of hot cards."""
+    moments = materialise(rows.groupBy(e.key, "_slice", "_t").agg(F.count(e.amount).alias("n"), F.sum(F.col(e.amount).cast("double")).alias("s")), "moments")
     slices = moments.groupBy(e.key, "_slice").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    frames = None
+    before = Window.partitionBy(e.key, "_slice").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    frames = moments.select(e.key, "_slice", "_t", F.sum("n").over(before).alias("own_n"), F.sum("s").over(before).alias("own_s"))
     for name, span in spans.items():
         if span % slice_size:
             raise ValueError("the slice size must divide every span")
         width = span // slice_size
-        whole = Window.partitionBy(e.key).orderBy("_slice").rangeBetween(-width, -1)
-        base = slices.select(e.key, "_slice", F.coalesce(F.sum("n").over(whole), F.lit(0)).alias("base_n"),
-                             F.coalesce(F.sum("s").over(whole), F.lit(0.0)).alias("base_s"))
-        entering = moments.select(e.key, "_slice", "_t", "n", "s", F.lit(True).alias("own"))
-        leaving = moments.select(e.key, (F.col("_slice") + width).alias("_slice"), (F.col("_t") + span).alias("_t"),
-                                 (-F.col("n")).alias("n"), (-F.col("s")).alias("s"), F.lit(False).alias("own"))
-        inside = Window.partitionBy(e.key, "_slice").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
-        frame = (entering.unionByName(leaving)
-                 .withColumns({"run_n": F.coalesce(F.sum("n").over(inside), F.lit(0)),
-                               "run_s": F.coalesce(F.sum("s").over(inside), F.lit(0.0))})
-                 .filter("own").join(base, [e.key, "_slice"])
-                 .withColumn("frame_n", F.col("base_n") + F.col("run_n"))
-                 .select(e.key, "_slice", "_t", F.col("frame_n").alias(f"{name}_count"),
-                         F.when(F.col("frame_n") > 0, F.col("base_s") + F.col("run_s")).alias(f"{name}_sum")))
-        frames = frame if frames is None else frames.join(frame, [e.key, "_slice", "_t"])
-    return frames
-
-
-def _add_slice_frames(large: DataFrame, e: Entity, spans: dict[str, int], slice_size: int, source: DataFrame) -> DataFrame:
-    return large.join(_slice_frames(source, e, spans, slice_size), [e.key, "_slice", "_t"])
+        edge = moments.select(e.key, (F.col("_slice") - width).alias("_slice"), (F.col("_t") - span).alias("_t"), F.col("_t").alias("owner"))
+        edge = _asked(moments, edge, [e.key, "_slice"], "_t", True).select(
+            e.key, (F.col("_slice") + width).alias("_slice"), F.col("owner").alias("_t"), F.col("n").alias("edge_n"), F.col("s").alias("edge_s"))
+        frames = frames.join(edge, [e.key, "_slice", "_t"], "left")
+        parts = ["own", "edge"]
+        if width > 1:
+            whole = _whole_slices(slices, e, width).select(e.key, "_slice", F.col("n").alias("whole_n"), F.col("s").alias("whole_s"))
+            frames, parts = frames.join(whole, [e.key, "_slice"], "left"), [*parts, "whole"]
+        n = sum((F.coalesce(f"{p}_n", F.lit(0)) for p in parts), F.lit(0)).cast("long")
+        total = sum((F.coalesce(f"{p}_s", F.lit(0.0)) for p in parts), F.lit(0.0))
+        frames = frames.withColumns({f"{name}_count": n, f"{name}_sum": F.when(n > 0, total)}).drop(
+            *(f"{p}_{x}" for p in parts if p != "own" for x in "ns"))
+    return frames.drop("own_n", "own_s")
 
 
 # --- public frames --------------------------------------------------------------------------
@@ -142,23 +162,34 @@ def _frames(df: DataFrame, e: Entity, spans: dict[str, int], back: int | None, h
             slice_size: int | None) -> DataFrame:
     """Row frames (when ``back`` is given) and time frames, helper columns kept.
 
-    Rows of hot cards and the others are filtered apart before any shuffle, so each row is shuffled on
-    one road only.
+    The source is read to count the cards, to write the rows of hot cards, and for the others; each row is
+    shuffled on one road only. ``hot`` names the hot cards instead of counting.
     """
-    hot = hot_keys(df, e.key, hot_rows) if hot is None else hot
-    slice_size = slice_size or fitting_slice(df, e, hot)
-    rows = _sliced(df, e, hot, slice_size)
-    cold, large = rows.filter(~F.col("_hot")) if hot else rows, rows.filter("_hot")
+    if hot is None:
+        listed = hot_keys(df, e.key, hot_rows)
+        listed = None if listed.isEmpty() else listed
+    else:
+        kind = df.schema[e.key].dataType.simpleString()
+        listed = df.sparkSession.createDataFrame([(k,) for k in hot], f"`{e.key}` {kind}") if hot else None
+    rows = flag_hot(df.withColumn("_t", F.unix_micros(F.col(e.time))), e.key, listed, "_hot")
+    rows = rows.withColumn("_hot", F.col("_hot") & F.col("_t").isNotNull())
+    salt = -1 - F.pmod(F.xxhash64(e.row_id), F.lit(NO_HISTORY_SALTS))
+    cold = rows.filter(~F.col("_hot")) if listed is not None else rows
+    cold = cold.withColumn("_slice", F.when(_known(e), 0).otherwise(salt).cast("bigint"))
     if back:
         cold = _add_row_frames(cold, e, back)
     cold = _windowed_frames(cold, e, spans)
-    if not hot:
+    if listed is None:
         return cold
+    large = materialise(rows.filter("_hot"), "hot-rows")
+    slice_size = slice_size or fitting_slice(large, e)
+    large = large.withColumn("_slice", F.floor(F.col("_t") / slice_size).cast("bigint"))
+    narrow = large.select(e.key, e.time, e.row_id, e.amount, "_t", "_slice")
     framed = large
     if back:
-        framed = _add_row_frames(large, e, back, materialise(_copies(large, e, max(back - 1, 1)), "copies"))
+        framed = _add_row_frames(large, e, back, materialise(_copies(narrow, e, max(back - 1, 1)), "copies"))
     if spans:
-        framed = _add_slice_frames(framed, e, spans, slice_size, large)
+        framed = framed.join(_slice_frames(narrow, e, spans, slice_size), [e.key, "_slice", "_t"])
     return cold.unionByName(framed)
 
 

@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
+
+from ledgerlark.session import materialise
 
 # Sliding frames re-aggregate the frame for every row, so a long group costs rows x frame; the sliced road is
-# linear. A key is therefore hot long before it fills a task.
+# linear. A key is therefore hot long before it fills a task. Both roads give the same result.
 HOT_ROWS = 20_000
-MAX_HOT_KEYS = 500_000   # a key outside the largest 500,000 holds less than 1/500,000 of all rows
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> list:
-    """Keys with at least ``hot_rows`` rows, at most ``max_keys`` of them, largest first.
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """A written table of the keys with at least ``hot_rows`` rows.
 
     The count is combined map-side, so the shuffle carries one row per key and input partition.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") >= hot_rows)
-    return [r[0] for r in counts.orderBy(F.desc("count"), key).limit(max_keys).collect()]
+    return materialise(counts.select(key), "hot-keys")
 
 
-def flag_hot(df: DataFrame, key: str, keys: list, name: str) -> DataFrame:
-    """Marks rows of the listed keys. The list is bounded by ``MAX_HOT_KEYS``, hence safe to broadcast."""
-    if not keys:
+def flag_hot(df: DataFrame, key: str, hot: DataFrame | None, name: str) -> DataFrame:
+    """Marks the rows of the listed keys. The list is a written table, so the planner knows its size and broadcasts it
+    only while it is small; a longer one takes a shuffle join whose skewed partitions are split."""
+    if hot is None:
         return df.withColumn(name, F.lit(False))
-    listed = df.sparkSession.createDataFrame([(k, True) for k in keys], _pair_schema(df, key, name))
-    return df.join(F.broadcast(listed), key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
-
-
-def _pair_schema(df: DataFrame, key: str, name: str) -> T.StructType:
-    return T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(name, T.BooleanType())])
+    listed = hot.select(F.col(key), F.lit(True).alias(name))
+    return df.join(listed, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))

@@ -510,7 +510,40 @@ def behaviour_history(spark, sf_dir):
 def behaviour_history_of_hot_cards(spark, sf_dir):
     """The same history with the busiest cards routed through slices."""
     rows = _history_rows(spark, sf_dir)
-    return _behaviour(history.add_behaviour(rows, hot=history.hot_keys(rows, "card_number", 1, 25)))
+    return _behaviour(history.add_behaviour(rows, hot_rows=rows.count() // 140))
+
+
+_UNTIDY_HISTORY_SQL = with_views("txn") + f""",
+untidy AS (SELECT record_id, transaction_id, card_number, CASE WHEN record_id % 37 = 0 THEN NULL ELSE transaction_time END AS transaction_time,
+  CASE WHEN record_id % 499 = 0 THEN 1e12 ELSE amount END AS amount FROM txn),
+known AS (SELECT record_id, count(amount) {_DAY_FRAME} AS user_activity_24h, avg(amount) {_WEEK_FRAME} AS a,
+  round((epoch_us(transaction_time) - epoch_us({_LAST})) / 1000000, 6) AS time_since_last_txn,
+  round(coalesce(amount / nullif(avg(amount) {_ROW_FRAME}, 0), 1), 6) AS amount_to_avg_ratio
+  FROM untidy WHERE transaction_time IS NOT NULL AND card_number IS NOT NULL)
+SELECT record_id, user_activity_24h, CASE WHEN a > 1e6 THEN round(a) ELSE round(a, 6) END AS rolling_avg_7d, time_since_last_txn,
+  amount_to_avg_ratio FROM known
+UNION ALL SELECT record_id, 0, NULL, NULL, 1.0 FROM untidy WHERE transaction_time IS NULL OR card_number IS NULL"""
+
+
+def _untidy_history(spark, sf_dir, **routing) -> DataFrame:
+    """History over rows of which some have no time and some a huge amount."""
+    rows = _history_rows(spark, sf_dir).withColumns({
+        "transaction_time": F.when(F.col("record_id") % 37 != 0, F.col("transaction_time")),
+        "amount": F.when(F.col("record_id") % 499 == 0, 1e12).otherwise(F.col("amount"))})
+    found = history.add_behaviour(rows, **routing)
+    mean = F.col("rolling_avg_7d")
+    return _rounded(found.withColumn("rolling_avg_7d", F.when(mean > 1e6, F.round(mean)).otherwise(F.round(mean, 6))),
+                    "time_since_last_txn", "amount_to_avg_ratio").select(*_BEHAVIOUR_COLUMNS)
+
+
+@query("W1 W2 W3 W5", _UNTIDY_HISTORY_SQL)
+def history_of_untidy_rows(spark, sf_dir):
+    return _untidy_history(spark, sf_dir, hot=[])
+
+
+@query("W1 W2 W3 W5 (cards cut into slices)", _UNTIDY_HISTORY_SQL)
+def history_of_untidy_rows_of_hot_cards(spark, sf_dir):
+    return _untidy_history(spark, sf_dir, hot_rows=txn(spark, sf_dir).count() // 140)
 
 
 @query("W1 W2 F2 F3 F4 F9", with_views("txn") + f"""

@@ -4,6 +4,9 @@ import random
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
+from ledgerlark.operators import history
 from ledgerlark.operators.history import Entity, add_behaviour, add_user_activity, fitting_slice
 from ledgerlark.operators.hotkeys import hot_keys
 
@@ -66,12 +69,41 @@ def test_left_edge_is_inside_and_ties_are_outside(spark):
 
 def test_hot_cards_are_found_by_size(spark):
     df = rows(spark)
-    assert hot_keys(df, "card_number", hot_rows=100) == ["hot"]
-    assert hot_keys(df, "card_number", hot_rows=10_000) == []
-    assert len(hot_keys(df, "card_number", hot_rows=1, max_keys=3)) == 3
+    found = lambda n: {r[0] for r in hot_keys(df, "card_number", n).collect()}
+    assert found(100) == {"hot"} and found(10_000) == set()
+    assert len(found(1)) == df.filter("card_number IS NOT NULL").select("card_number").distinct().count()
 
 
-def test_slices_get_shorter_for_bursts(spark):
+def test_counted_hot_cards_change_nothing(spark):
     df = rows(spark)
-    assert fitting_slice(df, Entity(), ["hot"], 1000) == 3_600_000_000
-    assert fitting_slice(df, Entity(), ["hot"], 0) == 1_000_000
+    cold, hot = ({r["transaction_id"]: r for r in add_behaviour(df, hot_rows=n).collect()} for n in (10_000, 20))
+    assert cold.keys() == hot.keys()
+    assert all(same(hot[i][c], r[c]) for i, r in cold.items() for c in COLUMNS)
+
+
+def test_slices_get_shorter_for_bursts(spark):
+    df = rows(spark).filter("card_number = 'hot'").withColumn("_t", F.unix_micros("transaction_time"))
+    assert fitting_slice(df, Entity(), 1000) == 3_600_000_000
+    assert fitting_slice(df, Entity(), 0) == 1_000_000
+
+
+@pytest.mark.parametrize("slice_size", [history.SECOND, history.MINUTE, history.HOUR, history.DAY])
+@pytest.mark.parametrize("odd", [1e15, float("inf")])
+def test_an_odd_amount_leaves_no_trace_on_either_road(spark, slice_size, odd, monkeypatch):
+    """Rows without time stay; what has left a frame does not touch it."""
+    monkeypatch.setattr(history, "SLICE_BLOCK", 3)
+    rng = random.Random(3)
+    data = [(f"t{i:03d}", "c1", START + dt.timedelta(seconds=rng.randrange(0, 30 * 86400)), 0.01) for i in range(150)]
+    data += [("odd", "c1", START + dt.timedelta(days=5), odd), ("no time", "c1", None, 3.0), ("no time either", "c1", None, 4.0)]
+    df = spark.createDataFrame(data, "transaction_id string, card_number string, transaction_time timestamp, amount double")
+    cold, hot = ({r["transaction_id"]: r for r in add_behaviour(df, hot=h, slice_size=slice_size).collect()} for h in ([], ["c1"]))
+    assert len(cold) == len(hot) == len(data)
+    week = dt.timedelta(days=7)
+    for name, r in cold.items():
+        other = hot[name]
+        for c in COLUMNS:
+            assert same(other[c], r[c]) or (r[c] != r[c] and other[c] != other[c]) or abs(other[c] - r[c]) <= 1e-9 * abs(r[c]), (c, name)
+        if r["transaction_time"] is None:
+            assert [r[c] for c in COLUMNS] == [0, None, None, 1.0]
+        elif r["transaction_time"] - START - dt.timedelta(days=5) > week and r["rolling_avg_7d"] is not None:
+            assert other["rolling_avg_7d"] == pytest.approx(0.01, rel=1e-12)
