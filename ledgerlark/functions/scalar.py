@@ -14,19 +14,22 @@ def blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def not_nan(c: Column) -> Column:
-    """NaN to NULL, evaluating ``c`` once: repeated expressions outgrow the compiled method."""
-    return F.nanvl(c, F.lit(None).cast("double"))
+def finite(c: Column) -> Column:
+    """NaN and infinities to NULL, with few evaluations of ``c``: repeated expressions outgrow the compiled method.
+
+    Zero times an infinity is NaN. One infinite value would make means and deviations of its whole column useless.
+    """
+    return F.nanvl(c * 0 + c, F.lit(None).cast("double"))
 
 
 def to_double(c: Column) -> Column:
-    """Lenient number parse: anything unreadable, and NaN, becomes NULL.
+    """Lenient number parse: anything unreadable, NaN and infinities become NULL.
 
     Java reads a trailing type letter (``1d``) and hexadecimal floats as numbers; those texts are
     not numbers here.
     """
     text = c.cast("string")
-    return not_nan(F.when(~text.rlike(r"[0-9.][dDfF]\s*$|0[xX]"), text.try_cast("double")))
+    return finite(F.when(~text.rlike(r"[0-9.][dDfF]\s*$|0[xX]"), text.try_cast("double")))
 
 
 def to_long(c: Column) -> Column:
@@ -35,10 +38,10 @@ def to_long(c: Column) -> Column:
 
 
 def as_double(c: Column, dtype: T.DataType) -> Column:
-    """``to_double`` for text; numeric columns only lose their NaN."""
+    """``to_double`` for text; numeric columns only lose what is not finite."""
     if isinstance(dtype, T.StringType):
         return to_double(c)
-    return not_nan(c.cast("double"))
+    return finite(c.cast("double"))
 
 
 def to_event_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:

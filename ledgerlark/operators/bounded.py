@@ -1,27 +1,17 @@
-"""Joins with a side that is usually small: broadcast after its size is known, else a shuffle join.
-
-Without this the large side would be shuffled by a possibly skewed key before anything is known about
-the small one.
-"""
+"""Joins with a side that is usually small: written once, then broadcast or shuffled by its size in bytes."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-MAX_BROADCAST_ROWS = 200_000
+from pyspark.sql import Column, DataFrame
 
+from ledgerlark.session import materialise
 
-def fetch_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> list | None:
-    """The rows, or None when there are more than ``max_rows``."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
 
+def join_small(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str) -> DataFrame:
+    """``left.join(right)`` with ``right`` written first.
 
-def join_small(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str,
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``left.join(right)`` with ``right`` computed once and broadcast when it has at most ``max_rows``
-    narrow rows; a larger ``right`` takes a shuffle join, whose skewed partitions adaptive execution splits."""
-    rows = fetch_bounded(right, max_rows)
-    if rows is not None:
-        right = F.broadcast(left.sparkSession.createDataFrame(rows, right.schema))
-    return left.join(right, on, how)
+    The planner then knows its size in bytes before anything of the large side is shuffled, and broadcasts it
+    below the session's threshold. A larger one takes a shuffle join, whose skewed partitions adaptive execution
+    splits. No row passes through the driver.
+    """
+    return left.join(materialise(right, "small-side"), on, how)

@@ -18,11 +18,13 @@ from ledgerlark.schema import HIGH_RISK_MERCHANTS, WINSORISED_COLUMNS
 def drop_duplicates_keep_first(df: DataFrame, key: str = "trans_num", order: str = "record_id") -> DataFrame:
     """The row with the smallest ``order`` of each key; missing keys count as one key.
 
-    An aggregation rather than a window: copies collapse before the shuffle, so a key with a third of
+    Rows without an order come last; of equal ones the row with the smallest content hash is first. An aggregation rather than a window: copies collapse before the shuffle, so a key with a third of
     all rows sends one row per input partition.
     """
     others = [c for c in df.columns if c != key]
-    firsts = df.groupBy(key).agg(F.min_by(F.struct(*others), F.col(order)).alias("first"))
+    content = F.xxhash64(*[F.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
+    place = F.struct(F.col(order).isNull(), F.col(order), content)
+    firsts = df.groupBy(key).agg(F.min_by(F.struct(*others), place).alias("first"))
     return firsts.select(*[F.col(key) if c == key else F.col(f"first.{c}").alias(c) for c in df.columns])
 
 

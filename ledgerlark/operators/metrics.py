@@ -12,22 +12,24 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlark.operators.bounded import MAX_BROADCAST_ROWS
-
 MIN_RANGES = 256
 
 
-def _plan_ranges(scored: DataFrame, score: str, by: list[str], ranges: int | None) -> tuple[list[float], bool]:
-    """(range borders, whether groups x ranges fit a broadcast), from one sketch pass.
+def present(score: Column) -> Column:
+    """A missing or NaN score is the lowest: such a row is found last and never predicted positive."""
+    return F.coalesce(F.nanvl(score.cast("double"), F.lit(None)), F.lit(float("-inf")))
+
+
+def _plan_ranges(scored: DataFrame, score: str, ranges: int | None) -> list[float]:
+    """Range borders, from one sketch pass.
 
     Borders are literals fixed before the curve is planned, so a retried task cuts the same ranges. There
     are as many ranges as shuffle partitions: a larger cluster gets smaller ranges.
     """
     ranges = ranges or max(MIN_RANGES, int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     at = [i / ranges for i in range(1, ranges)]
-    groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
-    found, n_groups = scored.agg(F.percentile_approx(score, at, max(10_000, 4 * ranges)), groups).first()
-    return sorted(set(found or [])), n_groups * ranges <= MAX_BROADCAST_ROWS
+    found = scored.agg(F.percentile_approx(score, at, max(10_000, 4 * ranges))).first()[0] or []
+    return sorted({v for v in found if abs(v) != float("inf")})
 
 
 def _with_range(counted: DataFrame, score: str, splits: list[float]) -> DataFrame:
@@ -42,11 +44,12 @@ def curve(scored: DataFrame, label: str = "label", score: str = "score", by: Seq
     """One row per (group, distinct score) as threshold, with the counts at ``score >= threshold``.
 
     Columns: ``by``, threshold, pos and neg at exactly this score, tp, fp, positives, negatives,
-    precision, recall. Without positives recall is 1, as nothing can be missed.
+    precision, recall. Without positives recall is 1, as nothing can be missed. Rows without a score count at
+    the threshold minus infinity.
     """
     by = list(by)
-    scored = scored.filter(F.col(score).isNotNull())
-    splits, few = _plan_ranges(scored, score, by, ranges)
+    scored = scored.withColumn(score, present(F.col(score)))
+    splits = _plan_ranges(scored, score, ranges)
     counted = (scored.groupBy(*by, F.col(score).alias("threshold"))
                .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
     counted = _with_range(counted, "threshold", splits)
@@ -62,7 +65,7 @@ def curve(scored: DataFrame, label: str = "label", score: str = "score", by: Seq
     inside = (Window.partitionBy(*by, "_range").orderBy(F.desc("threshold"))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (counted.withColumns({"_tp": F.sum("pos").over(inside), "_fp": F.sum("neg").over(inside)})
-            .join(F.broadcast(offsets) if few else offsets, [*by, "_range"])
+            .join(offsets, [*by, "_range"])
             .withColumns({"tp": F.col("_tp") + F.col("_tp_above"), "fp": F.col("_fp") + F.col("_fp_above")})
             .withColumns({"precision": F.col("tp") / (F.col("tp") + F.col("fp")),
                           "recall": F.when(F.col("positives") > 0, F.try_divide("tp", "positives")).otherwise(1.0)})
@@ -114,7 +117,7 @@ def threshold_metrics(scored: DataFrame, threshold: float | Column = 0.5, label:
     ``threshold`` may be a column, e.g. a threshold per group.
     """
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    counts = scored.groupBy(*by).agg(*[c.alias(n) for n, c in _confusion(label, F.col(score) >= limit).items()])
+    counts = scored.groupBy(*by).agg(*[c.alias(n) for n, c in _confusion(label, present(F.col(score)) >= limit).items()])
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     b2 = beta * beta
     return counts.withColumns({
@@ -126,7 +129,7 @@ def threshold_metrics(scored: DataFrame, threshold: float | Column = 0.5, label:
 
 def confusion_matrix(scored: DataFrame, threshold: float = 0.5, label: str = "label", score: str = "score") -> DataFrame:
     """Four rows (label, prediction, count), zero-filled."""
-    counts = scored.agg(*[c.alias(n) for n, c in _confusion(label, F.col(score) >= threshold).items()])
+    counts = scored.agg(*[c.alias(n) for n, c in _confusion(label, present(F.col(score)) >= threshold).items()])
     cells = [F.struct(F.lit(y).alias("label"), F.lit(p).alias("prediction"), F.col(n).alias("count"))
              for n, y, p in (("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1))]
     return counts.select(F.explode(F.array(*cells)).alias("r")).select("r.*")

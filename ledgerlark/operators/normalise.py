@@ -31,7 +31,7 @@ def apply_aliases(df: DataFrame) -> DataFrame:
 def require_columns(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the rows lack {', '.join(missing)}")
     return df
 
 

@@ -14,7 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SMALL = 200_000          # values that may be fetched, or held in one aggregation buffer
+SMALL = 200_000          # values that may be held in one aggregation buffer
+FETCH = 5_000            # values that all searches together may read to the driver
 SKETCH_ACCURACY = 10_000
 
 
@@ -113,10 +114,11 @@ def order_statistics(df: DataFrame, ranks: dict[str, list[int]], small: int = SM
     searches = [_Search(c, k, counts[c]) for c, ks in ranks.items() for k in ks if 0 <= k < counts[c]]
     pending = searches
     while pending:
-        near = [s for s in pending if s.inside <= small]
+        limit = min(small, FETCH // len(pending))
+        near = [s for s in pending if s.inside <= limit]
         if near:
             _fetch(df, near)
-        far = [s for s in pending if s.inside > small]
+        far = [s for s in pending if s.inside > limit]
         if far:
             _narrow(df, far, accuracy)
         pending = [s for s in far if s.value is None]

@@ -188,5 +188,5 @@ def require_features(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Columns in the model's order; a missing one is an error at plan time."""
     missing = [c for c in expected if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}. Available: {df.columns}")
+        raise ValueError(f"the model needs {', '.join(missing)}; the rows have {', '.join(df.columns)}")
     return df.select(*expected)

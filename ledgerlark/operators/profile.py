@@ -121,9 +121,9 @@ def check_positives(df: DataFrame, label: str = "is_fraud", low: int = 10) -> in
 
     positives = df.agg(F.sum(label)).first()[0] or 0
     if positives == 0:
-        raise ValueError("No fraud samples present in the training data.")
+        raise ValueError("no positive rows to train on")
     if positives < low:
-        warnings.warn(f"Low positive samples: {positives}", stacklevel=2)
+        warnings.warn(f"only {positives} positive rows", stacklevel=2)
     return positives
 
 

@@ -58,7 +58,7 @@ def load_config(path: str) -> dict:
 def model_section(config: Mapping, name: str) -> Mapping:
     section = (config.get("models") or {}).get(name)
     if not section:
-        raise ValueError(f"Configuration is missing `models.{name}` settings.")
+        raise ValueError(f"no section models.{name} in the configuration")
     return section
 
 
@@ -73,6 +73,8 @@ def configured_settings(config: Mapping, name: str) -> dict:
     settings = {ours: section[theirs] for theirs, ours in SETTING_NAMES.items() if theirs in section}
     if "early_stopping_rounds" in section:
         settings["early_stopping"] = section["early_stopping_rounds"] > 0
+    if "high_risk_merchants" in config:
+        settings["high_risk_merchants"] = list(config["high_risk_merchants"])
     return settings
 
 
@@ -117,4 +119,5 @@ def run_scoring(spark: SparkSession, config: Mapping, checkpoint: str, name: str
     model = ScoringModel.load(spark, section["path"])
     if "prediction_threshold" in section:
         model.threshold = float(section["prediction_threshold"])
-    return start_scoring(spark, config["kafka"], output or config["kafka"], model, checkpoint, once)
+    listed = {"merchants": list(config["high_risk_merchants"])} if "high_risk_merchants" in config else {}
+    return start_scoring(spark, config["kafka"], output or config["kafka"], model, checkpoint, once, **listed)

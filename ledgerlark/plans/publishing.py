@@ -1,4 +1,4 @@
-"""The publish job: sample raw rows, shape them into messages, write them to a topic."""
+"""The publish job: take raw rows, shape them into messages, write them to a topic."""
 
 from __future__ import annotations
 
@@ -9,19 +9,16 @@ from pyspark.sql import DataFrame
 from ledgerlark.operators.sampling import HashOrder, shuffled, take
 from ledgerlark.sources.messages import publish, to_envelope, transaction_payload, with_ordinal
 
-DEFAULT_ROWS = 10_000
-
 
 def publish_rows(raw: DataFrame, config: Mapping, limit: int | None = None, seed: int = 42,
                  index: str | None = None, topic: str | None = None) -> DataFrame:
-    """Publish a uniform sample of the raw rows; without a limit 10,000 of them in random order.
+    """Publish all raw rows in random order, or a uniform sample of ``limit`` of them.
 
     Returns the published envelope.
     """
     order = HashOrder("ordinal", seed)
-    rows = take(with_ordinal(raw), limit or DEFAULT_ROWS, order)
-    if not limit:
-        rows = shuffled(rows, order)
+    rows = with_ordinal(raw)
+    rows = shuffled(rows, order) if limit is None else take(rows, limit, order)
     envelope = to_envelope(transaction_payload(rows, index))
     publish(envelope, config, topic)
     return envelope

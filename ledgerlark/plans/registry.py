@@ -15,12 +15,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlark import views
-from ledgerlark.functions.scalar import event_time
+from ledgerlark.functions.scalar import event_time, to_double
 from ledgerlark.operators import (
     clean, features, history, metrics, models, noise, normalise, orderstats, preprocess, profile, sampling, scoring,
 )
 from ledgerlark.operators.sampling import HashOrder
-from ledgerlark.plans import exploration, search, training
+from ledgerlark.plans import exploration, publishing, search, training
 from ledgerlark.schema import BEHAVIOUR_FEATURES, CATEGORICAL_FEATURES, RAW_CSV_COLUMNS, raw_csv_schema
 from ledgerlark.session import materialise, scratch_path
 from ledgerlark.sources import files, messages, runs
@@ -168,6 +168,25 @@ def merged_csv_files(spark, sf_dir):
     return merged.select("cc_num", "merchant", "category", "amt", "trans_num", "is_fraud")
 
 
+@query("S4", with_views("txn_raw") + " SELECT merchant, nullif(amt, '') AS amt, cc_num FROM txn_raw")
+def csv_with_index_column(spark, sf_dir):
+    """A file with a leading index, an unknown column and another order than the declared one."""
+    path = scratch_path(spark, "csv")
+    raw = _raw_rows(spark, sf_dir).withColumn("note", F.lit("x"))
+    files.write_csv(raw.select(F.col("idx").alias("row"), "note", *reversed(RAW_CSV_COLUMNS)), path)
+    return files.read_csv(spark, path, raw_csv_schema()).select("merchant", "amt", "cc_num")
+
+
+@query("S8 X7 P10 P12", with_views("txn_raw") + """
+SELECT trans_num AS key, TRY_CAST(amt AS DOUBLE) AS amount, merchant FROM txn_raw WHERE trans_num <> ''
+""")
+def published_without_limit(spark, sf_dir):
+    config = {"path": scratch_path(spark, "topic")}
+    publishing.publish_rows(_raw_rows(spark, sf_dir), config, index="idx")
+    read = messages.read_messages(spark, config)
+    return read.select("key", F.from_json("value", "amount double, merchant string").alias("d")).select("key", "d.*")
+
+
 @query("S8 X5 X7 P10", with_views("txn_raw") + f""",
 drawn AS (SELECT * FROM txn_raw ORDER BY {_hash('idx')}, idx LIMIT 10000)
 SELECT trans_num AS key, CAST(idx AS BIGINT) AS record_id, trans_num AS transaction_id,
@@ -245,6 +264,26 @@ def _typed(spark, sf_dir) -> DataFrame:
     return exploration.typed(raw)
 
 
+@query("P14", with_views("txn") + """
+SELECT card_number, min(CASE WHEN record_id % 3 <> 0 THEN record_id // 10 END) AS record_id, true AS whole FROM txn GROUP BY card_number
+""")
+def first_of_untidy_duplicates(spark, sf_dir):
+    """Order values are missing or equal; the first row of each card comes out whole."""
+    rows = txn(spark, sf_dir).select("card_number", "transaction_id", F.when(
+        F.col("record_id") % 3 != 0, F.floor(F.col("record_id") / 10)).alias("record_id"))
+    first = clean.drop_duplicates_keep_first(rows, "card_number")
+    return first.select("card_number", "record_id", F.col("transaction_id").isNotNull().alias("whole"))
+
+
+@query("P4 P11", with_views("txn") + """
+SELECT record_id, CASE WHEN record_id % 11 IN (0, 1, 2) THEN NULL ELSE amount END AS amount FROM txn
+""")
+def numbers_that_are_not_finite(spark, sf_dir):
+    text = F.when(F.col("record_id") % 11 == 0, "Infinity").when(F.col("record_id") % 11 == 1, "-1e999").when(
+        F.col("record_id") % 11 == 2, "NaN").otherwise(F.col("amount").cast("string"))
+    return txn(spark, sf_dir).select("record_id", to_double(text).alias("amount"))
+
+
 @query("P14", _typed_sql() + """
 SELECT trans_num, record_id, cc_num, merchant, amt_n AS amt, is_fraud FROM firsts
 """)
@@ -885,6 +924,27 @@ def precision_recall_curve(spark, sf_dir):
     return _rounded(metrics.precision_recall_curve(scored(spark, sf_dir)), "precision", "recall")
 
 
+_GAPS = with_views("scored").replace("scored AS", "all_scored AS") + """,
+scored AS (SELECT * REPLACE (CASE WHEN record_id % 7 = 0 THEN -1.0 ELSE score END AS score) FROM all_scored)"""
+
+
+def _scored_with_gaps(spark, sf_dir) -> DataFrame:
+    return scored(spark, sf_dir).withColumn("score", F.when(F.col("record_id") % 7 != 0, F.col("score")))
+
+
+@query("V2 (missing scores)", _GAPS + _CURVE + " SELECT round(sum(pos / p * tp / (tp + fp)), 6) AS avg_precision FROM curve")
+def average_precision_with_missing_scores(spark, sf_dir):
+    return _rounded(metrics.average_precision(_scored_with_gaps(spark, sf_dir)), "avg_precision")
+
+
+@query("V4 V5 V6 (missing scores)", _GAPS + """
+SELECT CAST(sum(label) FILTER (WHERE score >= 0.3) AS BIGINT) AS tp, count(*) FILTER (WHERE score >= 0.3 AND label = 0) AS fp,
+  CAST(sum(label) FILTER (WHERE score < 0.3) AS BIGINT) AS fn, count(*) FILTER (WHERE score < 0.3 AND label = 0) AS tn FROM scored
+""")
+def confusion_with_missing_scores(spark, sf_dir):
+    return metrics.threshold_metrics(_scored_with_gaps(spark, sf_dir), 0.3).select("tp", "fp", "fn", "tn")
+
+
 @query("V2", with_views("scored") + _CURVE + " SELECT round(sum(pos / p * tp / (tp + fp)), 6) AS avg_precision FROM curve")
 def average_precision(spark, sf_dir):
     return _rounded(metrics.average_precision(scored(spark, sf_dir)), "avg_precision")

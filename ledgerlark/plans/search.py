@@ -30,7 +30,7 @@ def search(transactions: DataFrame, name: str, candidates: list[dict], metric: s
     spec = family(name)
     settings = layered(spec.settings, settings, {"select_features": False})
     order = HashOrder(ROW_ID, settings["seed"])
-    table = prepare(rows_for(transactions, spec), spec, settings, order)
+    table = prepare(rows_for(transactions, spec, settings), spec, settings, order)
     in_train = table.filter(~F.col(HELD_OUT))
     results = None
     for i, candidate in enumerate(candidates, start=1):

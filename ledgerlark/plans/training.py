@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -19,6 +20,7 @@ from ledgerlark.operators.normalise import normalise
 from ledgerlark.operators.profile import check_positives
 from ledgerlark.operators.sampling import HashOrder, add_class_weight, class_weights, mark_folds, mark_split
 from ledgerlark.operators.scoring import ScoringModel
+from ledgerlark.schema import HIGH_RISK_MERCHANTS
 from ledgerlark.session import materialise
 
 ROW_ID = "transaction_id"
@@ -40,14 +42,17 @@ def training_rows(transactions: DataFrame) -> DataFrame:
     return add_training_features(normalise(transactions))
 
 
-def behaviour_rows(transactions: DataFrame, entity: Entity = Entity()) -> DataFrame:
+def behaviour_rows(transactions: DataFrame, entity: Entity = Entity(), merchants: Sequence[str] = HIGH_RISK_MERCHANTS) -> DataFrame:
     """Normalised rows with what the card did before, for the behaviour model."""
     rows = add_behaviour(normalise(transactions), entity)
-    return add_merchant_risk(add_calendar_flags(rows, entity.time), null_as=0)
+    return add_merchant_risk(add_calendar_flags(rows, entity.time), merchants, null_as=0)
 
 
-def rows_for(transactions: DataFrame, spec: Family) -> DataFrame:
-    return behaviour_rows(transactions) if spec.name == "behaviour" else training_rows(transactions)
+def rows_for(transactions: DataFrame, spec: Family, settings: dict | None = None) -> DataFrame:
+    """The family's feature rows; ``high_risk_merchants`` in the settings replaces the known list."""
+    if spec.name != "behaviour":
+        return training_rows(transactions)
+    return behaviour_rows(transactions, merchants=(settings or {}).get("high_risk_merchants", HIGH_RISK_MERCHANTS))
 
 
 def prepare(rows: DataFrame, spec: Family, settings: dict, order: HashOrder) -> DataFrame:
@@ -173,7 +178,7 @@ def train(transactions: DataFrame, name: str, params: dict | None = None, settin
     spec = family(name)
     params, settings = layered(spec.params, params), layered(spec.settings, settings)
     order = order or HashOrder(ROW_ID, settings["seed"])
-    table = prepare(rows_for(transactions, spec), spec, settings, order)
+    table = prepare(rows_for(transactions, spec, settings), spec, settings, order)
     in_train, in_test = table.filter(~F.col(HELD_OUT)), table.filter(HELD_OUT)
     seed = settings["seed"]
 

@@ -27,14 +27,15 @@ def security_options(config: Mapping) -> dict[str, str]:
         user = config.get("username") or os.environ.get("KAFKA_USERNAME", "")
         secret = config.get("password") or os.environ.get("KAFKA_PASSWORD", "")
         options["kafka.sasl.mechanism"] = config.get("sasl_mechanism", "PLAIN")
-        options["kafka.sasl.jaas.config"] = f'{_LOGIN_MODULE} required username="{user}" password="{secret}";'
+        quoted = [v.replace("\\", "\\\\").replace('"', '\\"') for v in (str(user), str(secret))]
+        options["kafka.sasl.jaas.config"] = '{} required username="{}" password="{}";'.format(_LOGIN_MODULE, *quoted)
     return options
 
 
 def _servers(config: Mapping) -> str:
     servers = ",".join(s.strip() for s in str(config.get("bootstrap_servers", "")).split(",") if s.strip())
     if not servers:
-        raise ValueError("Kafka bootstrap servers are not configured.")
+        raise ValueError("no bootstrap_servers in the source or sink settings")
     return servers
 
 
@@ -45,7 +46,7 @@ def source_options(config: Mapping, streaming: bool = False) -> dict[str, str]:
     """
     topic = config.get("test_data", config.get("topic")) if streaming else config.get("topic")
     if not topic:
-        raise ValueError("Kafka topic is not configured.")
+        raise ValueError("no topic in the source settings")
     options = {"kafka.bootstrap.servers": _servers(config), "subscribe": str(topic),
                "startingOffsets": "latest" if streaming else "earliest"}
     if streaming and config.get("max_offsets"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlark.operators.features import add_serving_features
 from ledgerlark.operators.normalise import normalise_messages
 from ledgerlark.operators.scoring import ScoringModel
+from ledgerlark.schema import HIGH_RISK_MERCHANTS
 from ledgerlark.sources.messages import stream_messages, stream_sink, to_envelope
 
 LATENESS = "24 hours"
@@ -25,18 +26,19 @@ def distinct_transactions(df: DataFrame) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(["transaction_id"])
 
 
-def features(messages: DataFrame, lateness: str = LATENESS, null_policy: str = "zero") -> DataFrame:
-    return add_serving_features(transactions(messages, lateness), null_policy=null_policy)
+def features(messages: DataFrame, lateness: str = LATENESS, null_policy: str = "zero",
+             merchants: Sequence[str] = HIGH_RISK_MERCHANTS) -> DataFrame:
+    return add_serving_features(transactions(messages, lateness), merchants, null_policy)
 
 
 def scored(messages: DataFrame, model: ScoringModel, lateness: str = LATENESS, null_policy: str = "null",
-           keep: list[str] | None = None) -> DataFrame:
+           keep: list[str] | None = None, merchants: Sequence[str] = HIGH_RISK_MERCHANTS) -> DataFrame:
     """Message and feature columns plus prediction and probability.
 
     The default NULL policy is the one of training: gaps reach the model's imputation. ``keep`` narrows
     the output before it is serialised.
     """
-    out = model.score(features(messages, lateness, null_policy))
+    out = model.score(features(messages, lateness, null_policy, merchants))
     return out.select(*keep, "prediction", "fraud_probability") if keep else out
 
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.scalar import event_time, to_double, to_event_timestamp, to_long
+from ledgerlark.functions.scalar import as_double, event_time, to_double, to_event_timestamp, to_long
 from ledgerlark.operators import clean, features, normalise, profile
 from ledgerlark.operators.bounded import join_small
 from ledgerlark.schema import REQUIRED_COLUMNS
@@ -15,7 +15,7 @@ def column(spark, values, expression, dtype="string"):
 
 def test_lenient_numbers(spark):
     texts = ["1.5", "", None, "n/a", "NaN", "-3", "1d", "2.f", "0x1p3", "1e3", " 7 ", "inf"]
-    assert column(spark, texts, to_double) == [1.5, None, None, None, None, -3.0, None, None, None, 1000.0, 7.0, float("inf")]
+    assert column(spark, texts, to_double) == [1.5, None, None, None, None, -3.0, None, None, None, 1000.0, 7.0, None]
     assert column(spark, ["-1.9", "1.9", "", "x", "inf", "1e30"], to_long) == [-1, 1, None, None, None, None]
 
 
@@ -101,12 +101,29 @@ def test_rare_values_collapse_and_null_stays(spark):
     assert got == ["None"] + ["a"] * 5 + ["other"] * 4
 
 
-@pytest.mark.parametrize("limit", [1, 100])
-def test_small_and_large_join_sides_agree(spark, limit):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_small_and_large_join_sides_agree(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     left = spark.range(50).withColumn("k", F.col("id") % 10)
     right = spark.createDataFrame([(i, f"v{i}") for i in range(0, 10, 2)], "k long, v string")
-    got = join_small(left, right, "k", "left", limit)
+    got = join_small(left, right, "k", "left")
     assert got.filter("v is not null").count() == 25 and got.count() == 50
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keep_first_without_order_and_with_ties(spark):
+    rows = [("a", None, 5.0), ("b", 2, 1.0), ("b", None, 9.0), ("c", 1, 3.0), ("c", 1, 4.0), ("c", 2, 0.0)]
+    df = spark.createDataFrame(rows, "trans_num string, record_id long, amount double")
+    got = {r["trans_num"]: (r["record_id"], r["amount"]) for r in clean.drop_duplicates_keep_first(df).collect()}
+    assert got["a"] == (None, 5.0) and got["b"] == (2, 1.0) and got["c"] in ((1, 3.0), (1, 4.0))
+    again = {r["trans_num"]: (r["record_id"], r["amount"]) for r in clean.drop_duplicates_keep_first(df.repartition(5)).collect()}
+    assert again == got
+
+
+def test_infinite_numbers_are_missing(spark):
+    df = spark.createDataFrame([("inf", float("inf")), ("1e999", float("nan")), ("-Infinity", float("-inf")), ("2.5", 2.5), ("-0", None)], "t string, n double")
+    got = df.select(to_double(F.col("t")).alias("t"), as_double(F.col("n"), df.schema["n"].dataType).alias("n")).collect()
+    assert [tuple(r) for r in got] == [(None, None), (None, None), (None, None), (2.5, 2.5), (0.0, None)]
 
 
 def test_rules(spark):
@@ -122,9 +139,9 @@ def test_rules(spark):
 
 def test_profile_guards(spark):
     none = spark.createDataFrame([(0,)], "is_fraud int")
-    with pytest.raises(ValueError, match="No fraud"):
+    with pytest.raises(ValueError, match="no positive"):
         profile.check_positives(none)
-    with pytest.warns(UserWarning, match="Low positive"):
+    with pytest.warns(UserWarning, match="positive rows"):
         assert profile.check_positives(spark.createDataFrame([(1,), (0,)], "is_fraud int")) == 1
 
 

@@ -97,3 +97,15 @@ def test_summary_and_best(spark):
     assert (row["mean"], row["std"]) == (2.0, 1.0)
     results = spark.createDataFrame([(1, 0.5), (2, 0.7), (3, 0.7)], "candidate int, ap double")
     assert metrics.best_candidate(results, "ap").first()["candidate"] == 2
+
+
+def test_rows_without_a_score_count_as_lowest(spark):
+    rows = [(1, 0.9), (0, 0.2), (1, None), (0, float("nan"))]
+    df = spark.createDataFrame(rows, "label int, score double")
+    lowest = spark.createDataFrame([(y, s if s is not None and s == s else -1.0) for y, s in rows], "label int, score double")
+    for found in (metrics.average_precision, metrics.roc_auc):
+        assert found(df).first()[0] == pytest.approx(found(lowest).first()[0])
+    at = metrics.threshold_metrics(df, 0.5).first()
+    assert (at["tp"], at["fp"], at["fn"], at["tn"]) == (1, 0, 1, 2) and at["recall"] == 0.5
+    assert sum(r["count"] for r in metrics.confusion_matrix(df).collect()) == 4
+    assert metrics.evaluate(df, threshold=0.5).first()["recall"] == 0.5

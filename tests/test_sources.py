@@ -126,3 +126,61 @@ def test_reservoir_is_uniform(spark):
     df = spark.range(100).cache()
     hits = sum((take(df, 30, HashOrder("id", seed)).select(F.collect_set("id")).first()[0] for seed in range(12)), [])
     assert len(hits) == 360 and len(set(hits)) > 90
+
+
+# --- untidy files and failing sources ---------------------------------------------------------
+
+def _csv(tmp_path, name, *lines):
+    (tmp_path / name).write_text("\n".join(lines) + "\n")
+    return str(tmp_path / name)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    schema = raw_csv_schema()
+    plain = _csv(tmp_path, "plain.csv", "trans_num,amt,merchant", "t1,2.5,m", "t2,,n")
+    indexed = _csv(tmp_path, "indexed.csv", ",trans_num,amt,merchant", "0,t1,2.5,m", "1,t2,,n")
+    moved = _csv(tmp_path, "moved.csv", "merchant,extra,amt,trans_num", "m,x,2.5,t1", "n,y,,t2")
+    wanted = [("t1", "2.5", "m"), ("t2", None, "n")]
+    for path in (plain, indexed, moved):
+        rows = files.read_csv(spark, path, schema)
+        assert sorted(tuple(r) for r in rows.select("trans_num", "amt", "merchant").collect()) == wanted
+        assert set(rows.columns) == {"trans_num", "amt", "merchant"}
+    with pytest.raises(ValueError, match="none of the columns"):
+        files.read_csv(spark, _csv(tmp_path, "other.csv", "a,b", "1,2"), schema)
+
+
+def test_files_with_different_headers_are_an_error(spark, tmp_path):
+    _csv(tmp_path, "a.csv", "trans_num,amt", "t1,1")
+    _csv(tmp_path, "b.csv", "amt,trans_num", "2,t2")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(tmp_path), raw_csv_schema()).collect()
+
+
+def test_any_connector_failure_falls_back(spark):
+    other = spark.range(3)
+
+    def java_failure():
+        return spark._jvm.java.lang.Integer.parseInt("no number")
+
+    def missing_folder():
+        return spark.read.parquet("/no/such/folder")
+
+    for broken in (java_failure, missing_folder, lambda: spark.range(0)):
+        assert files.read_with_fallback(broken, lambda: other).count() == 3
+    with pytest.raises(ValueError):       # a wrong configuration is not hidden
+        files.read_with_fallback(lambda: messages.source_options({}), lambda: other)
+
+
+def test_credentials_are_escaped():
+    options = messages.security_options({"security_protocol": "SASL_SSL", "username": 'a"b', "password": "c\\d"})
+    assert options["kafka.sasl.jaas.config"].endswith('required username="a\\"b" password="c\\\\d";')
+
+
+def test_everything_is_published_without_a_limit(spark, tmp_path):
+    raw = txn_raw(spark, SF).withColumnRenamed("idx", "index")
+    ids = raw.filter("trans_num <> ''").count()
+    for limit, size in ((None, ids), (7, None)):
+        folder = str(tmp_path / f"topic{limit}")
+        sent = publish_rows(raw, {"path": folder}, limit, index="index")
+        read = messages.read_messages(spark, {"path": folder})
+        assert read.count() == sent.count() and (read.count() == size if size else read.count() <= 7)
