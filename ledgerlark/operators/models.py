@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.schema import BASE_NUMERIC, BEHAVIOUR_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
-LABEL, WEIGHT, VALIDATION = "is_fraud", "class_weight", "is_validation"
+LABEL, WEIGHT = "is_fraud", "class_weight"
 MAX_TREE_DEPTH = 30      # MLlib's limit stands in for "unbounded"
 
 
@@ -37,15 +37,25 @@ class Family:
 
 
 def _gbt(params: dict, seed: int, info: dict):
-    kwargs = {}
-    if info.get("validated"):
-        kwargs["validationIndicatorCol"] = VALIDATION
+    """``min_gain`` is a loss reduction summed over a node's rows; MLlib wants it per row, so the root decides its scale."""
     share = params.get("column_share", 1.0)
     return GBTClassifier(
         featuresCol="features", labelCol=LABEL, weightCol=WEIGHT, seed=seed, maxIter=params["iterations"],
         stepSize=params["learning_rate"], maxDepth=params["max_depth"],
         subsamplingRate=params.get("row_share", 1.0), minInstancesPerNode=params.get("min_rows", 1),
-        featureSubsetStrategy="all" if share >= 1 else str(share), maxBins=params.get("max_bins", 32), **kwargs)
+        minInfoGain=params.get("min_gain", 0.0) / max(info["weight_sum"], 1.0),
+        featureSubsetStrategy="all" if share >= 1 else str(share), maxBins=params.get("max_bins", 32))
+
+
+def best_round(losses: list[float], patience: int) -> int:
+    """Number of boosting rounds to keep: those up to the smallest loss before ``patience`` rounds without a smaller one."""
+    best = 0
+    for n, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = n
+        elif n - best >= patience:
+            break
+    return best + 1
 
 
 def _logistic(params: dict, seed: int, info: dict):
@@ -77,14 +87,14 @@ def _perceptron(params: dict, seed: int, info: dict):
 
 # --- Fixed values: training settings per family ----------------------------------------------
 _TUNED = {"test_size": 0.2, "validation_size": 0.1, "n_folds": 10, "recall_target": 0.9, "seed": 666,
-          "early_stopping": True, "select_features": True, "importance_threshold": 0.01, "max_features": 10}
+          "patience": 25, "select_features": True, "importance_threshold": 0.01, "max_features": 10}
 _SPLIT = {"test_size": 0.2, "n_folds": 10, "seed": 666, "threshold": 0.5}
 _FULL = {"test_size": None, "n_folds": 10, "seed": 666, "threshold": 0.5}
 
 FAMILIES = {f.name: f for f in (
     Family("xgboost", _gbt,
            {"iterations": 50, "learning_rate": 0.03, "max_depth": 2, "row_share": 0.6, "column_share": 0.6,
-            "min_rows": 10, "scale_pos_weight": 10.0},
+            "min_rows": 10, "scale_pos_weight": 10.0, "min_gain": 1.0},
            NUMERIC_FEATURES, CATEGORICAL_FEATURES, "scale_pos", {**_TUNED, "sample_noise": 0.05}),
     Family("catboost", _gbt,
            {"iterations": 50, "learning_rate": 0.03, "max_depth": 3, "row_share": 0.6, "column_share": 0.6,
@@ -127,13 +137,16 @@ LOGISTIC_CANDIDATES = [
     {"penalty": "l2", "C": 1.5, "class_weight": "balanced", "max_iter": 3000},
 ]
 
+# max_delta_step and reg_alpha have no counterpart in MLlib and change nothing; they keep the candidates in order.
 BOOSTING_GRID = {
     "max_depth": [4, 6],
     "min_rows": [1, 4],
+    "min_gain": [0.0, 0.5],
     "row_share": [0.85, 0.95],
     "column_share": [0.8, 0.95],
     "learning_rate": [0.05, 0.08],
     "iterations": [120, 200],
+    "max_delta_step": [0, 1],
 }
 
 BEHAVIOUR_GRID = {
@@ -141,6 +154,8 @@ BEHAVIOUR_GRID = {
     "learning_rate": [0.01, 0.1],
     "row_share": [0.6, 1.0],
     "column_share": [0.6, 1.0],
+    "min_gain": [0, 0.1],
+    "reg_alpha": [0, 0.5],
 }
 # --- end of fixed values ---------------------------------------------------------------------
 

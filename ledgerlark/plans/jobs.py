@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlark.operators.models import layered
 from ledgerlark.operators.normalise import normalise, parse_payload
 from ledgerlark.operators.sampling import HashOrder, most_recent
 from ledgerlark.operators.scoring import ScoringModel
+from ledgerlark.plans.search import best, candidates_for, search
 from ledgerlark.plans.training import ROW_ID, Trained, train
 from ledgerlark.schema import raw_csv_schema
 from ledgerlark.session import materialise
@@ -24,7 +26,7 @@ _TREES = {"n_estimators": "trees", "max_depth": "max_depth", "min_samples_leaf":
           "max_features": "max_features", "bootstrap": "bootstrap"}
 PARAM_NAMES = {
     "xgboost": {"n_estimators": "iterations", "learning_rate": "learning_rate", "max_depth": "max_depth",
-                "min_child_weight": "min_rows", "scale_pos_weight": "scale_pos_weight", **_SHARES},
+                "min_child_weight": "min_rows", "scale_pos_weight": "scale_pos_weight", "gamma": "min_gain", **_SHARES},
     "catboost": {"iterations": "iterations", "learning_rate": "learning_rate", "depth": "max_depth",
                  "subsample": "row_share", "rsm": "column_share", "min_data_in_leaf": "min_rows"},
     "lightgbm": {"n_estimators": "iterations", "learning_rate": "learning_rate", **_SHARES},
@@ -72,7 +74,7 @@ def configured_settings(config: Mapping, name: str) -> dict:
     section = model_section(config, name)
     settings = {ours: section[theirs] for theirs, ours in SETTING_NAMES.items() if theirs in section}
     if "early_stopping_rounds" in section:
-        settings["early_stopping"] = section["early_stopping_rounds"] > 0
+        settings["patience"] = int(section["early_stopping_rounds"])
     if "high_risk_merchants" in config:
         settings["high_risk_merchants"] = list(config["high_risk_merchants"])
     return settings
@@ -109,6 +111,25 @@ def run_training(spark: SparkSession, config: Mapping, name: str, runs: str | No
     return trained
 
 
+def run_search(spark: SparkSession, config: Mapping, name: str, runs: str | None = None, limit: int | None = None,
+               mode: str = "random", metric: str = "avg_precision", max_rows: int | None = None) -> dict:
+    """Ingest, judge the family's candidates by cross-validation, record each of them and the best, return its parameters.
+
+    ``limit`` and ``mode`` truncate a grid (see ``candidates_for``).
+    """
+    section = model_section(config, name)
+    rows = ingest(spark, config, max_rows or section.get("max_messages"))
+    results = materialise(search(rows, name, candidates_for(name, limit, mode), metric, configured_settings(config, name)), "search")
+    found = best(results, metric)
+    if runs:
+        for r in results.orderBy("candidate").collect():         # one row per candidate
+            append_run(spark, runs, f"{name}-candidate-{r['candidate']:02d}", json.loads(r["params"]),
+                       {f"{metric}_mean": r[f"{metric}_mean"], f"{metric}_std": r[f"{metric}_std"]})
+        top = results.agg(F.max(f"{metric}_mean")).first()[0]
+        append_run(spark, runs, f"{name}-search", {f"best_{k}": v for k, v in found.items()}, {f"best_{metric}": top})
+    return found
+
+
 def run_scoring(spark: SparkSession, config: Mapping, checkpoint: str, name: str = "xgboost",
                 output: Mapping | None = None, once: bool = False):
     """Score the test topic into the output topic with the saved model.

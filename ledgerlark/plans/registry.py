@@ -1117,8 +1117,25 @@ def late_transactions(spark, sf_dir):
 @query("T6 W1 W2 W3 W5", _BEHAVIOUR_SQL)
 def streamed_history(spark, sf_dir):
     """Rows arrive in two deliveries by time; each row sees its card's past across deliveries."""
+    return _delivered(spark, _history_rows(spark, sf_dir))
+
+
+@query("T6", with_views("txn").replace("txn AS", "all_txn AS") + """,
+txn AS (SELECT * REPLACE (CASE WHEN record_id % 13 = 0 THEN NULL ELSE amount END AS amount,
+  CASE WHEN transaction_time >= TIMESTAMP '2024-01-16 12:00:00' THEN transaction_time + INTERVAL 45 DAYS ELSE transaction_time END
+  AS transaction_time) FROM all_txn)""" + _BEHAVIOUR_SQL.removeprefix(with_views("txn")))
+def streamed_history_with_gaps(spark, sf_dir):
+    """The second delivery is 45 days younger, and some amounts are missing."""
+    noon = F.lit("2024-01-16 12:00:00").cast("timestamp")
+    rows = _history_rows(spark, sf_dir).withColumns({
+        "amount": F.when(F.col("record_id") % 13 != 0, F.col("amount")),
+        "transaction_time": F.when(F.col("transaction_time") >= noon, F.col("transaction_time") + F.expr("INTERVAL 45 DAYS")).otherwise(
+            F.col("transaction_time"))})
+    return _delivered(spark, rows)
+
+
+def _delivered(spark, rows: DataFrame) -> DataFrame:
     folder = scratch_path(spark, "deliveries")
-    rows = _history_rows(spark, sf_dir)
     stream = stream_history.HistoryStream(scratch_path(spark, "store"), scratch_path(spark, "enriched"))
     checkpoint = scratch_path(spark, "checkpoint")
     noon = F.lit("2024-01-16 12:00:00").cast("timestamp")
@@ -1158,59 +1175,94 @@ def streamed_hourly_rates(spark, sf_dir):
 # --- models (no SQL equivalent) -------------------------------------------------------------
 # Small budgets: the settings of the families are far larger. All rows are used.
 
-def _trained(spark, sf_dir, name: str, params: dict | None = None, **settings) -> DataFrame:
-    settings = {"n_folds": None, "test_size": 0.2, **settings}
-    return training.metric_frame(training.train(txn(spark, sf_dir), name, params, settings))
-
-
-@query("M6 M13 M14 M18 X8 E5 S10")
+def _facts_sql(folds: int | None = 10, held_out: bool = True, negative_ratio: float | None = None) -> str:
+    """What SQL can say about a training: how many rows each part has, and what must not happen."""
+    k = "kept" if held_out else "c"
+    negatives = (f"least({k}, floor(greatest({k} * {negative_ratio}, (SELECT {k} FROM quota JOIN sizes USING (l) WHERE l = 1))))"
+                 if negative_ratio else k)
+    out = with_views("txn") + _split_sql(0.2, 666).split(",\nmarked")[0].replace("kept FROM shares", "kept FROM shares") + f""",
+used AS (SELECT l, CASE WHEN l = 0 THEN {negatives} ELSE {k} END AS n FROM quota JOIN sizes USING (l))
+SELECT 'scored_rows' AS fact, count(*) AS n FROM txn UNION ALL SELECT 'wrong_decisions', 0 UNION ALL SELECT 'outside_0_1', 0
+UNION ALL SELECT 'metrics_outside_0_1', 0"""
+    if folds:
+        out += f"""
+UNION ALL SELECT 'out_of_fold_rows', CAST(sum(n) AS BIGINT) FROM used
+UNION ALL SELECT 'out_of_fold_positives', CAST(sum(n) AS BIGINT) FROM used WHERE l = 1
+UNION ALL SELECT 'folds', {folds} UNION ALL SELECT 'scored_twice_out_of_fold', 0 UNION ALL SELECT 'outside_0_1_out_of_fold', 0"""
+    return out
+
+
+def _facts(spark, sf_dir, name: str, params: dict | None = None, **settings) -> DataFrame:
+    """Trains a family and states what SQL can check (see ``_facts_sql``) as (fact, n)."""
+    rows, spec = txn(spark, sf_dir), models.family(name)
+    trained = training.train(rows, name, params, settings)
+    p = F.col("fraud_probability")
+    table = materialise(training.rows_for(rows, spec, settings), "features")
+    scored_rows = trained.model.score(table)
+    facts = dict(scored_rows.agg(
+        F.count("*").alias("scored_rows"), F.count_if(F.col("prediction") != (p >= trained.model.threshold).cast("int")).alias("wrong_decisions"),
+        F.count_if(~p.between(0, 1)).alias("outside_0_1")).first().asDict())
+    shares = ("avg_precision", "roc_auc", "precision", "recall", "f1", "f2", "decision_threshold")
+    facts["metrics_outside_0_1"] = sum(
+        not 0 <= v <= 1 for k, v in trained.metrics.items() if v is not None and k.removesuffix("_mean").endswith(shares))
+    if trained.fold_scores is not None:
+        found = trained.fold_scores.agg(
+            F.count("*").alias("rows"), F.sum("label").alias("positives"), F.count_distinct("fold").alias("folds"),
+            F.count_distinct("transaction_id").alias("ids"), F.count_if(~F.col("score").between(0, 1)).alias("outside")).first()
+        facts |= {"out_of_fold_rows": found["rows"], "out_of_fold_positives": int(found["positives"]), "folds": found["folds"],
+                  "scored_twice_out_of_fold": found["rows"] - found["ids"], "outside_0_1_out_of_fold": found["outside"]}
+    return spark.createDataFrame([(k, int(v)) for k, v in facts.items()], "fact string, n bigint")
+
+
+@query("M6 M13 M14 M18 X8 E5 S10", _facts_sql(held_out=False))
 def decision_tree_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "decision_tree", n_folds=3)
+    return _facts(spark, sf_dir, "decision_tree")
 
 
-@query("M5 M13 M14 X6 X8 V7")
+@query("M5 M13 M14 X6 X8 V7", _facts_sql(negative_ratio=0.4))
 def logistic_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "logistic", {"max_iter": 100}, n_folds=3)
+    return _facts(spark, sf_dir, "logistic")
 
 
-@query("M1 M12 M14 X3 X8 F11")
+@query("M1 M11 M12 M13 M14 X3 X8 F11 V7 V9", _facts_sql())
 def xgboost_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "xgboost", {"iterations": 10}, select_features=False)
+    """The whole road: selection, ten folds with early stopping, final fit, mean threshold."""
+    return _facts(spark, sf_dir, "xgboost")
 
 
-@query("M2 M12 M14 E6")
+@query("M2 M12 M14", _facts_sql(folds=None))
 def catboost_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "catboost", {"iterations": 10}, select_features=False)
+    return _facts(spark, sf_dir, "catboost", n_folds=None)
 
 
-@query("M3")
+@query("M3", _facts_sql(folds=None))
 def lightgbm_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "lightgbm", {"iterations": 10})
+    return _facts(spark, sf_dir, "lightgbm", n_folds=None)
 
 
-@query("M4")
+@query("M4", _facts_sql(folds=None))
 def tabnet_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "tabnet", {"iterations": 10})
+    return _facts(spark, sf_dir, "tabnet", n_folds=None)
 
 
-@query("M7")
+@query("M7", _facts_sql(folds=None))
 def extra_tree_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "extra_tree", {"trees": 20, "max_depth": 8})
+    return _facts(spark, sf_dir, "extra_tree", n_folds=None)
 
 
-@query("M8 F12")
+@query("M8 F12", _facts_sql(folds=None))
 def random_forest_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "random_forest", {"trees": 20, "max_depth": 8})
+    return _facts(spark, sf_dir, "random_forest", n_folds=None)
 
 
-@query("M9")
+@query("M9", _facts_sql(folds=None))
 def mlp_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "mlp", {"hidden_layers": [32, 16], "max_iter": 40})
+    return _facts(spark, sf_dir, "mlp", n_folds=None)
 
 
-@query("M10 V8 E7")
+@query("M10 V8 E7 M13", _facts_sql(folds=3))
 def behaviour_training(spark, sf_dir):
-    return _trained(spark, sf_dir, "behaviour", {"iterations": 10})
+    return _facts(spark, sf_dir, "behaviour")
 
 
 @query("M11 V11")
@@ -1231,7 +1283,7 @@ def logistic_search(spark, sf_dir):
 @query("M16 V10")
 def boosting_search(spark, sf_dir):
     candidates = [{**c, "iterations": 5} for c in search.candidates_for("xgboost", 2)]
-    return search.search(txn(spark, sf_dir), "xgboost", candidates, settings={"n_folds": 2, "early_stopping": False})
+    return search.search(txn(spark, sf_dir), "xgboost", candidates, settings={"n_folds": 2, "patience": 0})
 
 
 @query("M17 V5 V10")

@@ -34,7 +34,7 @@ def search(transactions: DataFrame, name: str, candidates: list[dict], metric: s
     in_train = table.filter(~F.col(HELD_OUT))
     results = None
     for i, candidate in enumerate(candidates, start=1):
-        folds = cross_validate(in_train, spec, layered(spec.params, candidate), settings, order, None, parallelism)
+        folds, _ = cross_validate(in_train, spec, layered(spec.params, candidate), settings, order, None, parallelism)
         one = (metrics.cv_summary(folds.filter(F.col("metric") == metric))
                .select(F.lit(i).alias("candidate"), F.lit(json.dumps(candidate)).alias("params"),
                        F.col("mean").alias(f"{metric}_mean"), F.col("std").alias(f"{metric}_std")))

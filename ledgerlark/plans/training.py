@@ -13,7 +13,7 @@ from ledgerlark.operators import metrics, preprocess, sampling
 from ledgerlark.operators.features import add_calendar_flags, add_merchant_risk, add_training_features
 from ledgerlark.operators.history import Entity, add_behaviour
 from ledgerlark.operators.models import (
-    LABEL, VALIDATION, WEIGHT, Family, family, importance_table, layered, pick_features,
+    LABEL, WEIGHT, Family, best_round, family, importance_table, layered, pick_features,
 )
 from ledgerlark.operators.noise import add_fold_noise, add_sample_noise
 from ledgerlark.operators.normalise import normalise
@@ -33,6 +33,7 @@ class Trained:
     metrics: dict[str, float]
     params: dict
     fold_metrics: DataFrame | None = None
+    fold_scores: DataFrame | None = None      # (id, fold, label, score) of every training row, by a model of the other folds
     importances: DataFrame | None = None
     features: list[str] = field(default_factory=list)
 
@@ -99,18 +100,25 @@ def _weights(spec: Family, params: dict, train: DataFrame) -> tuple[dict[int, fl
 
 def fit_model(train: DataFrame, spec: Family, params: dict, settings: dict, seed: int,
               features: list[str] | None = None, validation: DataFrame | None = None) -> ScoringModel:
-    """Preprocessing fitted on ``train``, then the classifier; ``validation`` rows stop boosting early."""
+    """Preprocessing fitted on ``train``, then the classifier; ``validation`` rows stop boosting early.
+
+    Boosting runs all its rounds, the losses on the validation rows tell the best one, and if that is not the last, the
+    model is fitted again with so many rounds. Rounds are seeded one by one, so the trees are the same.
+    """
     numeric = [c for c in spec.numeric if features is None or c in features]
     categorical = [c for c in spec.categorical if features is None or c in features]
     fitted = preprocess.fit(train, numeric, categorical, scale=settings.get("scale", True))
     weights, weight_sum = _weights(spec, params, train)
-    rows = train.withColumn(VALIDATION, F.lit(False))
-    if validation is not None:
-        rows = rows.unionByName(validation.withColumn(VALIDATION, F.lit(True)))
-    ready = preprocess.transform(add_class_weight(rows, weights, LABEL, WEIGHT), fitted)
-    info = {"weight_sum": weight_sum, "width": len(numeric) + len(categorical), "validated": validation is not None}
+    def ready(rows: DataFrame) -> DataFrame:
+        return preprocess.transform(add_class_weight(rows, weights, LABEL, WEIGHT), fitted).select("features", LABEL, WEIGHT)
+
+    info = {"weight_sum": weight_sum, "width": len(numeric) + len(categorical)}
     estimator = spec.build(params, seed, info)
-    classifier = estimator.fit(ready.select("features", LABEL, WEIGHT, VALIDATION))
+    classifier = estimator.fit(ready(train))
+    if validation is not None:
+        rounds = best_round(classifier.evaluateEachIteration(ready(validation)), settings["patience"])
+        if rounds < classifier.getNumTrees:
+            classifier = estimator.copy({estimator.maxIter: rounds}).fit(ready(train))
     return ScoringModel.of(fitted, classifier)
 
 
@@ -127,8 +135,8 @@ def select_features(train: DataFrame, spec: Family, params: dict, settings: dict
 
 
 def cross_validate(train: DataFrame, spec: Family, params: dict, settings: dict, order: HashOrder,
-                   features: list[str] | None = None, parallelism: int = 4) -> DataFrame:
-    """Long frame (fold, metric, value): each fold scored by a model of the other folds.
+                   features: list[str] | None = None, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Long frame (fold, metric, value), and (id, fold, label, score): each fold scored by a model of the other folds.
 
     Fits run side by side; the out-of-fold scores are written as one narrow table, from which all
     folds' metrics come in one grouped curve.
@@ -139,7 +147,7 @@ def cross_validate(train: DataFrame, spec: Family, params: dict, settings: dict,
         inside, outside = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
         if settings.get("fold_noise"):
             inside = add_fold_noise(inside, spec.numeric, settings["fold_noise"], order.row_id, seed + fold + 1)
-        early = settings.get("early_stopping")
+        early = settings.get("patience")
         model = fit_model(inside, spec, params, settings, seed + fold + 1, features, outside if early else None)
         scored = model.probability(outside, "score").select(
             order.row_id, "fold", F.col(LABEL).alias("label"), "score")
@@ -155,10 +163,10 @@ def cross_validate(train: DataFrame, spec: Family, params: dict, settings: dict,
     else:
         found = metrics.evaluate(scores, threshold=settings.get("threshold", 0.5), by=["fold"])
     long = metrics.to_long(found, ["fold"])
-    if settings.get("early_stopping"):
+    if settings.get("patience"):
         rounds = [(fold, "best_iteration", float(trees)) for fold, (_, trees) in enumerate(done)]
         long = long.unionByName(train.sparkSession.createDataFrame(rounds, "fold int, metric string, value double"))
-    return materialise(long, "fold-metrics")
+    return materialise(long, "fold-metrics"), scores
 
 
 def _cv_means(fold_metrics: DataFrame) -> dict[str, float]:
@@ -186,14 +194,14 @@ def train(transactions: DataFrame, name: str, params: dict | None = None, settin
     if settings.get("select_features"):
         features, importances = select_features(in_train, spec, params, settings, seed)
 
-    found, fold_metrics, threshold = {}, None, settings.get("threshold", 0.5)
+    found, fold_metrics, fold_scores, threshold = {}, None, None, settings.get("threshold", 0.5)
     if settings.get("n_folds"):
-        fold_metrics = cross_validate(in_train, spec, params, settings, order, features, parallelism)
+        fold_metrics, fold_scores = cross_validate(in_train, spec, params, settings, order, features, parallelism)
         found = _cv_means(fold_metrics)
         threshold = found.get("cv_decision_threshold_mean", threshold)
 
     fit_rows, validation = in_train, None
-    if settings.get("early_stopping"):
+    if settings.get("patience"):
         fit_rows, validation = sampling.stratified_split(
             in_train, settings["validation_size"], LABEL, HashOrder(order.row_id, seed + 1, order.method))
     if settings.get("fold_noise"):
@@ -209,7 +217,7 @@ def train(transactions: DataFrame, name: str, params: dict | None = None, settin
         row = metrics.evaluate(materialise(scores, "test"), threshold=threshold).first().asDict()
         found |= {f"test_{k}": v for k, v in row.items() if k != "decision_threshold"}
     found["decision_threshold"] = threshold
-    return Trained(model, found, params, fold_metrics, importances, model.features)
+    return Trained(model, found, params, fold_metrics, fold_scores, importances, model.features)
 
 
 def metric_frame(trained: Trained) -> DataFrame:

@@ -104,6 +104,28 @@ def test_grids_and_layers():
         models.family("nothing")
 
 
+def test_patience_keeps_the_best_round():
+    assert models.best_round([5, 4, 3, 2, 1], 2) == 5
+    assert models.best_round([5, 4, 3, 4, 4, 1], 2) == 3      # the last round is beyond the patience
+    assert models.best_round([5, 4, 3, 4, 4, 1], 4) == 6
+    assert models.best_round([1, 2, 3], 25) == 1
+
+
+def test_grids_have_all_axes():
+    assert len(models.grid(models.BOOSTING_GRID)) == 256 and len(models.grid(models.BEHAVIOUR_GRID)) == 64
+    assert {c["min_gain"] for c in search.candidates_for("xgboost")} == {0.0, 0.5}
+
+
+def test_minimum_gain_prunes(spark):
+    rows = training.training_rows(txn(spark, SF))
+    spec = models.family("xgboost")
+    sizes = []
+    for gain in (0.0, 1e9):
+        model = training.fit_model(rows, spec, {**spec.params, "iterations": 2, "min_gain": gain}, {}, 1)
+        sizes.append(sum(t.numNodes for t in model.pipeline.stages[-1].trees))
+    assert sizes[0] > sizes[1] == 2
+
+
 def test_feature_choice(spark):
     table = spark.createDataFrame([("a", 0.6), ("b", 0.39), ("c", 0.01), ("d", 0.0)], "feature string, importance double").orderBy(F.desc("importance"))
     assert models.pick_features(table, 0.01, 10) == ["a", "b", "c"]

@@ -11,7 +11,7 @@ from ledgerlark.plans.registry import _message_folder
 from ledgerlark.operators.models import family
 from ledgerlark.session import scratch_path
 from ledgerlark.sources import messages
-from ledgerlark.streaming import scoring
+from ledgerlark.streaming import history as stream_history, scoring
 from ledgerlark.streaming.history import COLUMNS, HistoryStream, LateRouter
 from ledgerlark.views import txn
 
@@ -61,23 +61,39 @@ def test_history_spans_deliveries_and_replays_change_nothing(spark, hot_rows):
     folder, checkpoint = scratch_path(spark, "in"), scratch_path(spark, "checkpoint")
     stream = HistoryStream(scratch_path(spark, "store"), scratch_path(spark, "out"), hot_rows=hot_rows)
     deliveries = [[("a", "c1", at(0), 10.0), ("b", "c1", at(5), 30.0), ("x", "c2", at(1), None), ("n", None, at(1), 5.0)],
-                  [("c", "c1", at(24), 20.0), ("d", "c1", at(200), 4.0), ("e", "c3", at(30), 7.0)]]
+                  [("c", "c1", at(24), 20.0), ("d", "c1", at(200), 4.0), ("e", "c3", at(30), 7.0), ("t", "c2", None, 2.0)],
+                  [("f", "c2", at(45 * 24), 8.0), ("g", "c1", at(45 * 24), None), ("h", "c1", at(46 * 24), 1.0)]]
     schema = "transaction_id string, card_number string, transaction_time timestamp, amount double"
     for rows in deliveries:
         delivery(spark, folder, rows)
         stream.start(spark.readStream.schema(schema).parquet(folder), checkpoint, once=True).awaitTermination()
 
-    everything = spark.createDataFrame(sum(deliveries, []), schema).dropna(subset=["amount"])
+    everything = spark.createDataFrame(sum(deliveries, []), schema)
     wanted = add_behaviour(everything, hot=[]).select("transaction_id", *COLUMNS).orderBy("transaction_id").collect()
     def got():
         return spark.read.parquet(stream.output).select("transaction_id", *COLUMNS).orderBy("transaction_id").collect()
     assert got() == wanted
     assert {r["transaction_id"]: r["user_activity_24h"] for r in wanted}["c"] == 2
 
-    stream.process(spark.createDataFrame(deliveries[1], schema), 1)   # the same batch again
+    stream.process(spark.createDataFrame(deliveries[2], schema), 2)   # the same batch again
     assert got() == wanted
 
 
+def test_snapshots_hold_what_the_additions_held(spark, monkeypatch):
+    """Many small batches: old cards are still known, and a batch reads few of the store's files."""
+    monkeypatch.setattr(stream_history, "SNAPSHOT_EVERY", 3)
+    stream = HistoryStream(scratch_path(spark, "store"), scratch_path(spark, "out"))
+    schema = "transaction_id string, card_number string, transaction_time timestamp, amount double"
+    batches = [[(f"{n}-{i}", f"c{i}", at(24 * 20 * n + i), float(n + i)) for i in range(3) if (n + i) % 3] for n in range(6)] + [[]]
+    batches += [[("last", f"c{i}", at(24 * 20 * 9), 5.0) for i in range(4)]]
+    for n, rows in enumerate(batches):
+        stream.process(spark.createDataFrame(rows, schema), n)
+    got = sorted(map(tuple, spark.read.parquet(stream.output).select("transaction_id", *COLUMNS).collect()), key=repr)
+    everything = spark.createDataFrame(sum(batches, []), schema)
+    wanted = add_behaviour(everything, hot=[]).select("transaction_id", *COLUMNS).collect()
+    assert got == sorted(map(tuple, wanted), key=repr)
+
+
 def test_late_rows_are_set_apart(spark):
     schema = "transaction_id string, transaction_time timestamp"
     router = LateRouter(*[scratch_path(spark, n) for n in ("on-time", "late", "clock")])
