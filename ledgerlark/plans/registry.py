@@ -6,6 +6,7 @@ names the survey entries it exercises.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -1265,40 +1266,57 @@ def behaviour_training(spark, sf_dir):
     return _facts(spark, sf_dir, "behaviour")
 
 
-@query("M11 V11")
+@query("M11 V11", "SELECT 18 AS features, CAST(0 AS BIGINT) AS negative, CAST(1 AS DOUBLE) AS total, true AS largest_first")
 def feature_importances(spark, sf_dir):
     spec = models.family("xgboost")
     rows = materialise(training.training_rows(txn(spark, sf_dir)).select(*spec.numeric, *spec.categorical, "is_fraud"), "rows")
     _, table = training.select_features(rows, spec, spec.params, spec.settings, 666)
-    return table
+    found = [r["importance"] for r in table.collect()]           # one row per feature
+    return table.agg(F.count_distinct("feature").cast("int").alias("features"), F.count_if(F.col("importance") < 0).alias("negative"),
+                     F.round(F.sum("importance"), 6).alias("total")).withColumn("largest_first", F.lit(found == sorted(found, reverse=True)))
 
 
-@query("M15 V10")
+def _candidates_sql(candidates: list[dict]) -> str:
+    rows = [f"""SELECT {n} AS candidate, '{json.dumps(c).replace("'", "''")}' AS params, true AS mean_in_0_1, true AS std_is_positive"""
+            for n, c in enumerate(candidates, start=1)]
+    return " UNION ALL ".join(rows)
+
+
+def _searched(spark, sf_dir, name: str, candidates: list[dict], metric: str = "avg_precision", **settings) -> DataFrame:
+    found = search.search(txn(spark, sf_dir), name, candidates, metric, settings)
+    mean, deviation = F.col(f"{metric}_mean"), F.col(f"{metric}_std")
+    return found.select("candidate", "params", mean.between(0, 1).alias("mean_in_0_1"), (deviation >= 0).alias("std_is_positive"))
+
+
+@query("M15 V10", _candidates_sql(search.candidates_for("logistic")))
 def logistic_search(spark, sf_dir):
-    found = search.search(txn(spark, sf_dir), "logistic", search.candidates_for("logistic", 2),
-                          settings={"n_folds": 2})
-    return found
+    """All candidates, judged by two folds."""
+    return _searched(spark, sf_dir, "logistic", search.candidates_for("logistic"), n_folds=2)
 
 
-@query("M16 V10")
+@query("M16 V10", _candidates_sql(search.candidates_for("xgboost", 2, "first")))
 def boosting_search(spark, sf_dir):
-    candidates = [{**c, "iterations": 5} for c in search.candidates_for("xgboost", 2)]
-    return search.search(txn(spark, sf_dir), "xgboost", candidates, settings={"n_folds": 2, "patience": 0})
+    """The first candidates of the truncated grid with all their rounds, judged by two folds."""
+    return _searched(spark, sf_dir, "xgboost", search.candidates_for("xgboost", 2, "first"), n_folds=2, patience=0)
 
 
-@query("M17 V5 V10")
+@query("M17 V5 V10", _candidates_sql(search.candidates_for("behaviour", 5)))
 def behaviour_search(spark, sf_dir):
-    candidates = [{**c, "iterations": 5} for c in search.candidates_for("behaviour", 2)]
-    return search.search(txn(spark, sf_dir), "behaviour", candidates, "f2", {"n_folds": 2})
+    return _searched(spark, sf_dir, "behaviour", search.candidates_for("behaviour", 5), "f2")
 
 
-@query("S9 T3 E8 U2")
+@query("S9 T3 E8 U2", with_views("txn") + " SELECT count(*) AS n, CAST(0 AS BIGINT) AS different, CAST(0 AS BIGINT) AS wrong_decisions FROM txn")
 def reloaded_model_scores_stream(spark, sf_dir):
-    """A saved model, loaded again, scores the message stream."""
+    """A saved model, loaded again, scores the message stream like the one in memory scores the batch."""
     spec = models.family("decision_tree")
-    rows = materialise(training.training_rows(txn(spark, sf_dir)).select(*spec.numeric, *spec.categorical, "is_fraud"), "rows")
-    path = scratch_path(spark, "model")
-    training.fit_model(rows, spec, spec.params, spec.settings, 666).save(path)
-    model = scoring.ScoringModel.load(spark, path)
+    rows = materialise(training.training_rows(txn(spark, sf_dir)).select("record_id", *spec.numeric, *spec.categorical, "is_fraud"), "rows")
+    model, path = training.fit_model(rows, spec, spec.params, spec.settings, 666), scratch_path(spark, "model")
+    model.save(path)
+    loaded = scoring.ScoringModel.load(spark, path)
     source = messages.stream_messages(spark, _message_folder(spark, sf_dir))
-    return _drained(spark, stream_scoring.scored(source, model, keep=["record_id", "transaction_id"]), "scored")
+    streamed = _drained(spark, stream_scoring.scored(source, loaded, keep=["record_id"]), "scored")
+    batch = model.score(rows).select("record_id", F.col("fraud_probability").alias("p"))
+    p = F.col("fraud_probability")
+    return streamed.join(batch, "record_id", "left").agg(
+        F.count("*").alias("n"), F.count_if(F.coalesce(F.abs(p - F.col("p")) > 1e-9, F.lit(True))).alias("different"),
+        F.count_if(F.col("prediction") != (p >= loaded.threshold).cast("int")).alias("wrong_decisions"))
