@@ -1,6 +1,7 @@
 """Secret scanning with a random forest that removes false positives, in DataFrame expressions only (operator 2).
 
-Candidates are long runs of token characters. Each is described by its length, its character transitions, the part of it
+Candidates are long runs of token characters; a run ends at an equals sign before a long value, so ``name=value`` gives the
+value, with the name as its neighbour. Each is described by its length, its character transitions, the part of it
 that dictionary words cover, signs of a path, and its neighbouring words. A random forest, fitted to labelled findings,
 tells secrets from other candidates. Findings are written once; texts are read once.
 
@@ -25,7 +26,9 @@ TREES, DEPTH, SEED = 40, 8, 17
 MAX_LABELLED = 200_000     # labelled findings the forest is fitted to, chosen by a hash; scoring covers all findings
 THRESHOLD = 0.5
 
-RUN = f"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
+_VALUE = "[A-Za-z0-9+/_-]"
+#: The first part only skips short words fast; the possessive repetition needs no stack, however long a run is.
+RUN = f"(?=[A-Za-z0-9+/_=-]{{{MIN_LENGTH}}})(?:{_VALUE}|=(?!{_VALUE}{{{MIN_LENGTH}}})){{{MIN_LENGTH},}}+"
 
 # Names that secrets are assigned to, and frequent words and word parts of texts, code and paths.
 SECRET_NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "access_key", "secret_key", "auth",
@@ -55,9 +58,16 @@ def findings(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
         F.char_length(g).alias("gap"), F.coalesce(F.char_length(r), F.lit(0)).alias("run")))
     begins = F.aggregate(lengths, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")), lambda s, x: F.struct(
         (s["at"] + x["gap"] + x["run"]).alias("at"), F.concat(s["all"], F.array(s["at"] + x["gap"])).alias("all")))["all"]
+    # The context is cut from the neighbouring gaps and runs: so many runs are as long as the context.
+    near = range(-(-CONTEXT // MIN_LENGTH))
+    part = lambda name, i, cut: cut(F.coalesce(F.get(name, i), F.lit("")), F.lit(CONTEXT))
+    before = lambda i: F.right(F.concat(*[part(name, i - k - int(name == "runs"), F.right)
+                                          for k in reversed(near) for name in ("runs", "gaps")]), F.lit(CONTEXT))
+    after = lambda i: F.left(F.concat(*[part(name, i + k + 1, F.left)
+                                        for k in near for name in ("gaps", "runs")]), F.lit(CONTEXT))
     each = let(begins, lambda b: F.transform("runs", lambda r, i: F.struct(
         i.alias("number"), b[i].alias("begin"), (b[i] + F.char_length(r)).alias("end"), r.alias("candidate"),
-        F.right(F.get("gaps", i), F.lit(CONTEXT)).alias("before"), F.left(F.get("gaps", i + 1), F.lit(CONTEXT)).alias("after"))))
+        before(i).alias("before"), after(i).alias("after"))))
     return parts.select("doc", F.explode(each).alias("f")).select("doc", "f.*")
 
 
@@ -123,10 +133,11 @@ def score(found: DataFrame, forest) -> DataFrame:
 
 def rule_label(found: DataFrame) -> DataFrame:
     """``found`` with a ``label``: 1 for an assignment of digits and letters to a secret's name, 0 for digits or letters only
-    that nothing is assigned to, null (not labelled) for all others."""
+    that nothing is assigned to and that assign nothing themselves, null (not labelled) for all others."""
     mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
     assigned = F.col("before").rlike(r"(?i)(" + "|".join(SECRET_NAMES) + r")[\"'`]?\s*[:=]\s*[\"'`]*$")
-    return found.withColumn("label", F.when(assigned & mixed, 1).when(~mixed & ~F.col("before").rlike(r"[:=]\s*[\"'`]*$"), 0))
+    value = F.col("before").rlike(r"[:=]\s*[\"'`]*$") | F.col("candidate").rlike(f"[A-Za-z0-9_-]={_VALUE}")
+    return found.withColumn("label", F.when(assigned & mixed, 1).when(~mixed & ~value, 0))
 
 
 def secret_rows(df: DataFrame) -> DataFrame:

@@ -46,6 +46,35 @@ def test_findings_equal_a_plain_scan(make, rng):
     assert got == wanted
 
 
+@pytest.mark.parametrize("form", ['aws_secret_access_key = "{}"', "TOKEN={}", "?user=me&access_token={}", "GITHUB_ENTERPRISE_AUTH_TOKEN={}",
+                                  "export MY_VERY_LONG_SERVICE_API_KEY='{}'", "secret_key ={}", "x=1_token={}"])
+def test_assigned_values_are_candidates_with_their_name(make, form):
+    value = "ab12CD34ef56GH78ij90=="
+    text = "so " + form.format(value) + " ends"
+    found = {r["candidate"]: r for r in secrets.rule_label(secrets.findings(make([text]))).collect()}
+    row = found[value]
+    assert text[row["begin"]:row["end"]] == value and row["label"] == 1
+    assert row["before"] == text[max(0, row["begin"] - 48):row["begin"]] and row["after"] == text[row["end"]:row["end"] + 48]
+    told = secrets.described(secrets.findings(make([text]))).filter(F.col("candidate") == value).first()["features"]
+    assert told[secrets.FEATURES.index("named")] == told[secrets.FEATURES.index("assigned")] == 1
+
+
+def test_context_is_a_slice_of_the_text(make, rng):
+    texts = ["".join(rng.choice(("a1" * rng.randint(1, 20), " ", "=", "é", "token=", "b" * 16, "/", "\n")) for _ in range(60)) for _ in range(40)]
+    texts += ["k=" * 50000, "=" * 50000, "a" * 50000 + "=" + "b" * 50000]
+    got = secrets.findings(make(texts)).collect()
+    assert len(got) > 200
+    for r in got:
+        text = texts[r["doc"]]
+        assert text[r["begin"]:r["end"]] == r["candidate"]
+        assert r["before"] == text[max(0, r["begin"] - 48):r["begin"]] and r["after"] == text[r["end"]:r["end"] + 48]
+
+
+def test_runs_that_assign_a_short_value_are_no_negatives(make):
+    rows = secrets.rule_label(secrets.findings(make(["password=abcdefghijkl here", "plainlettersaloneinalongword"]))).collect()
+    assert {r["candidate"]: r["label"] for r in rows} == {"password=abcdefghijkl": None, "plainlettersaloneinalongword": 0}
+
+
 def test_held_out_accuracy(spark, make):
     rows, real = planted(random.Random(5), 400)
     found = secrets.findings(make(rows))
