@@ -20,8 +20,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group of near duplicates."""
-    return neardup.keep_one(docs)
+    """The smallest document of each group of near duplicates, of a similarity of 0.8 or more in windows of five words."""
+    return neardup.keep_one(docs, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

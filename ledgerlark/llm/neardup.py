@@ -11,8 +11,9 @@
    them to be connected already. So every pair in a bucket is either compared or known to be connected.
 5. Components are found on tables; nothing about all documents comes to the driver.
 
-A pair at the threshold of 0.85 is in no common bucket with a probability of 3e-6 (40 bands of 8 values), and the
-sketch comparison at 0.7 loses it with less than 1e-11.
+The values in a band and the sketch limit follow from the threshold: a pair at it is in no common bucket with a
+probability of at most 3e-5 (0.85: 40 bands of 8 values, 3e-6; 0.8: 45 of 7, 2.5e-5), and the sketch comparison, 7.5
+deviations below it, loses it with less than 1e-11. Below 4 percent even bands of one value miss more than that.
 
 Defined cases. Null, empty and blank texts have no shingles and stay alone. A row without id is not linked and
 gets the component null. Each row is linked by its own text; texts whose smallest id is the same count as linked. Empty tables give empty results.
@@ -35,13 +36,24 @@ from .wordhash import mix, shingles
 
 SHINGLE = 5
 PERCENT = 85               # links need 100 * intersection >= PERCENT * union
-ROWS = 8                   # signature values in a band
-FIRST_WAVE = 8             # bands of the first wave, of REGISTERS / ROWS
-SKETCH_SHARE = 0.7         # share of equal sketch bytes below which sets are not compared
+MISS = 3e-5                # most probability that a pair at the threshold shares no band
+FIRST_WAVE = 8             # bands of the first wave, of REGISTERS / band_rows
+SKETCH_DEVIATIONS = 7.5    # equal sketch bytes, in deviations below the threshold, from which on sets are compared
 BLOCK_SHINGLES = 1 << 20   # shingles held by a task at once
 BLOCK_MEMBERS = 1024
 
-_BAND_PLACES = np.random.default_rng(8).integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
+_BAND_PLACES = np.random.default_rng(8).integers(1, 1 << 63, REGISTERS, dtype=np.uint64) | np.uint64(1)
+
+
+def band_rows(percent: int) -> int:
+    """Signature values in a band: the most with which a pair at the threshold is missed with at most MISS."""
+    return max((r for r in range(2, REGISTERS + 1) if (1 - (percent / 100) ** r) ** (REGISTERS // r) <= MISS), default=1)
+
+
+def sketch_limit(percent: int) -> int:
+    """Equal sketch bytes below which sets are not compared."""
+    share = percent / 100
+    return max(0, int(REGISTERS * share - SKETCH_DEVIATIONS * (REGISTERS * share * (1 - share)) ** 0.5))
 
 
 def _digest(values: np.ndarray) -> bytes:
@@ -50,8 +62,10 @@ def _digest(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
-def shingle_features(df: DataFrame, size: int = SHINGLE) -> DataFrame:
+def shingle_features(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc, n, digest, bands, sketch) of rows (doc, text); without shingles the last three are null."""
+    rows = band_rows(percent)
+    count = REGISTERS // rows
     schema = f"doc {df.schema['doc'].dataType.simpleString()}, n long, digest binary, bands array<long>, sketch binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,10 +75,10 @@ def shingle_features(df: DataFrame, size: int = SHINGLE) -> DataFrame:
             for part in slices(batch, "text"):
                 sets = shingles([(t or "").encode().lower() for t in part.column("text").to_pylist()], size)
                 signed = signatures(sets)
-                bands = np.zeros((len(sets), REGISTERS // ROWS), dtype=np.uint64)
-                for k in range(ROWS):
-                    bands += mix(signed[:, k::ROWS]) * _BAND_PLACES[k]
-                bands = mix(bands + np.arange(REGISTERS // ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                bands = np.zeros((len(sets), count), dtype=np.uint64)
+                for k in range(rows):
+                    bands += mix(signed[:, k:count * rows:rows]) * _BAND_PLACES[k]
+                bands = mix(bands + np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
                 sketches = signed.astype(np.uint8)
                 yield record(target, part.column("doc"), [len(s) for s in sets],
                              [_digest(s) if len(s) else None for s in sets],
@@ -108,7 +122,7 @@ class _Group:
         out = []
         sketches = np.frombuffer(b"".join(self.sketches), dtype=np.uint8).reshape(len(self.reps), -1)
         sizes = np.array([len(s) // 8 for s in self.sets])
-        enough = SKETCH_SHARE * sketches.shape[1]
+        enough = sketch_limit(percent)
         for x in range(len(self.reps)):
             if not (everyone or self.probe[x]):
                 continue
@@ -210,7 +224,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", p
     """(doc, n, component) for each row of ``df``: its number of shingles and the smallest id it is linked to,
     directly or through others; itself included."""
     source = df.select(F.col(id_col).alias("doc"), F.col(text).alias("text"))
-    features = materialise(shingle_features(source, size), "shingle-features")
+    features = materialise(shingle_features(source, size, percent), "shingle-features")
     classes = materialise(
         features.filter(F.col("digest").isNotNull() & F.col("doc").isNotNull()).groupBy("digest").agg(
             F.min("doc").alias("rep"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"),
@@ -238,10 +252,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", p
     return found.select("doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component"))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` that are the smallest document of their group, with the columns of ``df``; rows without id stay."""
     (gone,) = fresh(df, "copy_doc")
-    found = near_duplicates(df, id_col, text)
+    found = near_duplicates(df, id_col, text, percent)
     copies = materialise(found.filter(F.col("doc") != F.col("component")).select(F.col("doc").alias(gone)).distinct(), "copies")
     return df.join(copies.hint("merge"), F.col(id_col) == F.col(gone), "left_anti")
 

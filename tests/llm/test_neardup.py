@@ -145,3 +145,27 @@ def test_components(spark):
     wanted = {i: g for i, g in groups(links, {x for pair in links for x in pair}).items() if i != g}
     assert got == wanted
     assert connected(spark.createDataFrame([(1, None), (2, 2)], "a long, b long")).count() == 0
+
+
+def pair_at(rng, shared, own):
+    """Two texts of shared + own words each: the ends differ, so own shingles on each side are not shared."""
+    base = prose(rng, shared)
+    return [f"{base} {' '.join(f'{side}{n}' for n in range(own))}" for side in ("left", "right")]
+
+
+@pytest.mark.parametrize("percent,shared,own", [(80, 94, 10), (70, 94, 18), (50, 64, 30), (30, 64, 65)])
+def test_pairs_just_above_any_threshold_are_found(make, rng, percent, shared, own):
+    texts = [t for _ in range(40) for t in pair_at(rng, shared, own)]
+    a, b = map(shingle_set, texts[:2])
+    assert percent <= 100 * len(a & b) / len(a | b) < min(85, percent + 5)
+    found = {r["doc"]: r["component"] for r in neardup.near_duplicates(make(texts), percent=percent).collect()}
+    assert found == {n: n - n % 2 for n in range(80)}
+    assert sorted(r["doc_id"] for r in neardup.keep_one(make(texts), percent=percent).collect()) == list(range(0, 80, 2))
+
+
+def test_bands_and_sketches_follow_the_threshold():
+    assert (neardup.band_rows(85), neardup.sketch_limit(85)) == (8, 224)
+    for percent in range(5, 101):
+        r = neardup.band_rows(percent)
+        assert (1 - (percent / 100) ** r) ** (superminhash.REGISTERS // r) <= neardup.MISS
+        assert neardup.sketch_limit(percent) <= superminhash.REGISTERS * percent / 100

@@ -79,6 +79,13 @@ def test_every_stage_equals_brute_force(spark, folder):
     assert sorted(map(tuple, corpus_pipeline.run(spark, path).collect())) == sorted(map(tuple, last))
 
 
+def test_near_dedup_drops_pairs_from_a_similarity_of_80_percent(spark, make, rng):
+    base = prose(rng, 94)
+    texts = [f"{base} {' '.join(f'{side}{n}' for n in range(10))}" for side in ("left", "right")]
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, make(texts), "")
+    assert [r["doc_id"] for r in kept.collect()] == [0]
+
+
 def test_empty_documents(spark, folder, tmp_path):
     path, _, _ = folder
     for name in ("documents", "benchmark"):
