@@ -1,9 +1,10 @@
 """Licence wording by template markup compiled to token automata (operator 8).
 
 A template is running text with optional regions ``<<optional>> ... <<end>>`` and replaceable regions ``<<any 12>>`` (up
-to twelve words) or ``<<one of|words|here>>``. It becomes an automaton over words. Texts are searched for the first words
-of the longest fixed run of each template; around every place of them the automaton runs to both ends, and the
-template is accepted only if all mandatory words stand there exactly and in order.
+to twelve words) or ``<<one of|words|here>>``; empty lines part its paragraphs. It becomes an automaton over words. Texts
+are searched for the first words of the longest fixed run of each paragraph; around every place of them the automaton
+runs to both ends, and the template is accepted only if all mandatory words of all paragraphs stand there exactly and
+in order. Licences are written to their end, disclaimer included; names of holders and list marks may be replaced.
 
 Defined cases. Null and empty texts have no words, no labels and score 0. Rows are handled one by one, so repeated
 rows and ties change nothing; columns named like an output are replaced; an empty table gives an empty result.
@@ -30,6 +31,17 @@ PHRASES = {
 }
 
 # Public licence wording, with markup for what may be missing or replaced.
+_BSD_CONDITIONS = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+    that the following conditions are met: <<any 1>> Redistributions of source code must retain the above copyright
+    notice, this list of conditions and the following disclaimer. <<any 1>> Redistributions in binary form must reproduce
+    the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+    materials provided with the distribution."""
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY <<any 12>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+    IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<any 12>> BE
+    LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+    PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND
+    ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN
+    ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 TEMPLATES = {
     "apache-2.0-notice": "<<optional>>Licensed under<<end>> the Apache License, Version 2.0",
     "apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
@@ -37,11 +49,13 @@ TEMPLATES = {
         or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
         WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
         permissions and limitations under the License.""",
-    "bsd-2-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
-        that the following conditions are met: <<any 1>> Redistributions of source code must retain the above copyright
-        notice, this list of conditions and the following disclaimer. <<any 1>> Redistributions in binary form must reproduce
-        the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
-        materials provided with the distribution.""",
+    "bsd-2-clause": f"{_BSD_CONDITIONS}\n\n{_BSD_DISCLAIMER}",
+    "bsd-3-clause": f"""{_BSD_CONDITIONS}
+
+        <<any 1>> Neither the name of <<any 12>> nor the names of its contributors may be used to endorse or promote products
+        derived from this software without specific prior written permission.
+
+        {_BSD_DISCLAIMER}""",
     "cc-by-4.0-notice": "<<one of|licensed|released|available>> under <<optional>>a Creative Commons<<end>> CC BY 4.0",
     "cc-by-nc-4.0-notice": "<<one of|licensed|released|available>> under CC BY-NC 4.0",
     "cc-by-sa-4.0-notice": "<<one of|licensed|released|available>> under CC BY-SA 4.0",
@@ -49,16 +63,32 @@ TEMPLATES = {
         License, version 3""",
     "gpl-header": """This program is free software<<optional>>:<<end>> you can redistribute it and/or modify it under the terms
         of the GNU General Public License as published by the Free Software Foundation, either version <<any 1>> of the
-        License, or <<optional>>(at your option)<<end>> any later version.""",
+        License, or <<optional>>(at your option)<<end>> any later version.
+
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+        You should have received a copy of the GNU General Public License along with this program""",
     "isc": """Permission to use, copy, modify, and<<optional>>/or<<end>> distribute this software for any purpose with or without
-        fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+        fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+        THE SOFTWARE IS PROVIDED "AS IS" AND <<any 12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+        IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<any 12>> BE LIABLE FOR ANY SPECIAL, DIRECT,
+        INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+        ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+        THIS SOFTWARE.""",
     "mit-notice": "<<one of|released|licensed|distributed|available>> under the <<optional>>terms of the<<end>> MIT License",
     "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
         documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
         rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
         persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice
         and this permission notice <<optional>>(including the next paragraph)<<end>> shall be included in all copies or
-        substantial portions of the Software.""",
+        substantial portions of the Software.
+
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<any 12>> BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+        OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
 
 ANCHOR_WORDS = 6           # fixed words that a place must show before an automaton is run there
@@ -66,6 +96,14 @@ ANCHOR_WORDS = 6           # fixed words that a place must show before an automa
 _MARK = re.compile(r"<<(.*?)>>", re.S)
 
 
+def _paragraphs(part: str) -> Iterator[bytes | None]:
+    """Words, and None for each empty line."""
+    for n, paragraph in enumerate(re.split(r"\n[ \t]*\n", part)):
+        if n:
+            yield None
+        yield from words(paragraph)
+
+
 class Template:
     """States 0..n in a row; from a state, edges (word or None for any word, next state) and free moves."""
 
@@ -75,16 +113,21 @@ class Template:
         self.free: list[list[int]] = [[]]
         self.mandatory = 0
         open_at: list[int] = []
-        fixed: list[tuple[int, bytes]] = []          # (state before, word) outside all regions, None between runs
-        runs: list[list[tuple[int, bytes]]] = [fixed]
+        # Per paragraph, its fixed runs: (state before, word) outside all regions.
+        runs: list[list[list[tuple[int, bytes]]]] = [[[]]]
+        met = [0]                                    # mandatory words before each paragraph
         for n, part in enumerate(_MARK.split(markup)):
             if n % 2 == 0:
-                for word in words(part):
+                for word in _paragraphs(part):
+                    if word is None:
+                        runs.append([[]])
+                        met.append(self.mandatory)
+                        continue
                     if not open_at:
-                        runs[-1].append((len(self.edges) - 1, word))
+                        runs[-1][-1].append((len(self.edges) - 1, word))
                     self._word([word], not open_at)
                 continue
-            runs.append([])
+            runs[-1].append([])
             kind, *rest = part.split("|")
             if kind == "optional":
                 open_at.append(len(self.edges) - 1)
@@ -102,11 +145,15 @@ class Template:
                 raise ValueError(f"unknown markup {part!r} in {label}")
         if open_at:
             raise ValueError(f"an optional region of {label} has no end")
-        anchor = max(runs, key=len)[:ANCHOR_WORDS]
-        if not anchor:
+        #: Per paragraph with fixed words: its anchor, the state before it, the anchor's words, and the paragraph's mandatory words.
+        self.anchors: list[tuple[bytes, int, int, int]] = []
+        for own, size in zip(runs, (b - a for a, b in zip(met, [*met[1:], self.mandatory]))):
+            anchor = max(own, key=len)[:ANCHOR_WORDS]
+            if anchor:
+                self.anchors.append((b" " + b" ".join(w for _, w in anchor) + b" ", anchor[0][0], len(anchor), size))
+        if not self.anchors:
             raise ValueError(f"{label} has no fixed words")
-        self.anchor = b" " + b" ".join(w for _, w in anchor) + b" "
-        self.begin, self.length = anchor[0][0], len(anchor)
+        self.anchor = self.anchors[0][0]
         self.back_edges: list[list[tuple[bytes | None, int, int]]] = [[] for _ in self.edges]
         self.back_free: list[list[int]] = [[] for _ in self.edges]
         for state, edges in enumerate(self.edges):
@@ -150,16 +197,18 @@ class Template:
                 reached = used
         return reached, most
 
-    def match(self, sequence: list[bytes], at: int) -> tuple[tuple[int, int] | None, float]:
-        """(first, last) word of an accepted text around the anchor at word ``at``, and the share of mandatory words met."""
+    def match(self, sequence: list[bytes], at: int, paragraph: int = 0) -> tuple[tuple[int, int] | None, float]:
+        """(first, last) word of an accepted text around the paragraph's anchor at word ``at``, and the mandatory words met
+        in order as a share of the paragraph's."""
+        _, begin, length, mandatory = self.anchors[paragraph]
         end = len(self.edges) - 1
         behind = (sequence[n] for n in range(at - 1, -1, -1))
-        ahead = (sequence[n] for n in range(at + self.length, len(sequence)))
-        before, met_before = self._run(behind, self.begin, 0, self.back_edges, self.back_free)
-        after, met_after = self._run(ahead, self.begin + self.length, end, self.edges, self.free)
+        ahead = (sequence[n] for n in range(at + length, len(sequence)))
+        before, met_before = self._run(behind, begin, 0, self.back_edges, self.back_free)
+        after, met_after = self._run(ahead, begin + length, end, self.edges, self.free)
         if before is not None and after is not None:
-            return (at - before, at + self.length + after - 1), 1.0
-        return None, min((self.length + met_before + met_after) / self.mandatory, 0.99)
+            return (at - before, at + length + after - 1), 1.0
+        return None, min((length + met_before + met_after) / mandatory, 0.99)
 
 
 def _places(joined: bytes, phrase: bytes) -> Iterator[int]:
@@ -189,11 +238,12 @@ def scan(text: str | None, templates: list[Template], phrases: dict[str, str]) -
             found.add((label, True, at, at + len(expected) - 1))
             score = max(score, 0.5)
     for template in templates:
-        for at in _places(joined, template.anchor):
-            span, share = template.match(sequence, at)
-            score = max(score, share)
-            if span:
-                found.add((template.label, False, *span))
+        for paragraph, (anchor, *_) in enumerate(template.anchors):
+            for at in _places(joined, anchor):
+                span, share = template.match(sequence, at, paragraph)
+                score = max(score, share)
+                if span:
+                    found.add((template.label, False, *span))
     return len(sequence), sorted(found, key=lambda f: (f[2], f[3], f[0])), score
 
 
@@ -204,8 +254,8 @@ def find_licenses(df: DataFrame, text: str = "text", templates: dict[str, str] |
                   n_words: str = "n_words", licenses: str = "licenses", score: str = "score") -> DataFrame:
     """Add the number of words, the findings with word and character places, and the score to each row.
 
-    The score is 1 for an accepted template, else the largest share of a template's mandatory words met in order around
-    its fixed words, and at least 0.5 where a phrase stands.
+    The score is 1 for an accepted template, else the largest share (at most 0.99) of a paragraph's mandatory words met in
+    order around its fixed words, and at least 0.5 where a phrase stands.
     """
     names = (n_words, licenses, score)
     wording, phrases = tuple((TEMPLATES if templates is None else templates).items()), PHRASES if phrases is None else phrases

@@ -102,3 +102,31 @@ def test_partial_score_places_and_empty(spark, make):
     found = {f["label"]: text[f["begin"]:f["end"]] for f in row["licenses"]}
     assert found == {"mit": "MIT\nLicense", "mit-notice": "Released  under the MIT\nLicense"}
     assert licenses.license_rows(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+FULL = ("mit-text", "isc", "bsd-2-clause", "bsd-3-clause", "gpl-header")
+
+
+@pytest.mark.parametrize("label", FULL)
+def test_changed_or_missing_ends_are_refused(label):
+    text = fill(licenses.TEMPLATES[label])
+    assert labels(text) == {label}
+    for old, new in (("warranty", "promise"), ("WARRANTY", "promise"), ("WARRANTIES", "promises"), ("LIABLE", "thanked"),
+                     ("PARTICULAR PURPOSE", "purpose")):
+        if old in text:
+            assert not labels(text.replace(old, new)), old
+            assert licenses.scan(text.replace(old, new), ALL, {})[2] < 1
+    assert not labels(" ".join(text.split()[:-1]))
+    assert not labels(re.split(r"\n\s*\n", text)[0])
+
+
+def test_bsd_3_is_not_bsd_2():
+    three = fill(licenses.TEMPLATES["bsd-3-clause"])
+    assert labels(three) == {"bsd-3-clause"}
+    assert not labels(three.replace("endorse", "praise"))
+
+
+def test_holders_and_list_marks_may_be_replaced():
+    text = licenses.TEMPLATES["bsd-3-clause"]
+    for mark, holder in (("*", "the copyright holders and contributors"), ("2.", "The Example Project and others")):
+        assert labels(text.replace("<<any 1>>", mark).replace("<<any 12>>", holder)) == {"bsd-3-clause"}
