@@ -23,7 +23,9 @@ from .quality import let
 MIN_LENGTH = 16
 CONTEXT = 48               # characters kept before and after a candidate
 TREES, DEPTH, SEED = 40, 8, 17
-MAX_LABELLED = 200_000     # labelled findings the forest is fitted to, chosen by a hash; scoring covers all findings
+MAX_LABELLED = 200_000     # labelled findings the forest is fitted to, about half of each label if there are as many, chosen by a
+                           # hash; scoring covers all findings
+PLACES = 1 << 40
 THRESHOLD = 0.5
 
 _VALUE = "[A-Za-z0-9+/_-]"
@@ -114,12 +116,16 @@ def fit(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, max_rows: i
     sizes = {int(r["label"]): r["count"] for r in labelled.filter("label IS NOT NULL").groupBy("label").count().collect()}
     if len(sizes) < 2:
         return float(next(iter(sizes), 0.5))
-    share = min(1.0, max_rows / sum(sizes.values()))
-    place = F.pmod(F.xxhash64("doc", "number", "candidate"), F.lit(1_000_000))
-    rows = described(labelled.filter(F.col("label").isNotNull() & (place < int(share * 1_000_000)))).select(
-        "features", F.col("label").cast("double").alias("label"))
-    rare = min(sizes.values()) / sum(sizes.values())
-    weighted = rows.withColumn("weight", F.when(F.col("label") == float(min(sizes, key=sizes.get)), 0.5 / rare).otherwise(0.5 / (1 - rare)))
+    rare, other = sorted(sizes, key=lambda k: (sizes[k], k))
+    wanted = {rare: min(sizes[rare], max_rows // 2)}
+    wanted[other] = min(sizes[other], max_rows - wanted[rare])
+    bounds = {k: wanted[k] * PLACES // n for k, n in sizes.items()}          # a label taken whole has the bound PLACES
+    place = F.pmod(F.xxhash64("doc", "number", "candidate"), F.lit(PLACES))
+    sample = labelled.filter(F.col("label").isin(rare, other) & (place < F.when(F.col("label") == rare, bounds[rare]).otherwise(bounds[other])))
+    drawn = {int(r["label"]): r["count"] for r in sample.groupBy("label").count().collect()}
+    weight = {k: sum(drawn.values()) / (2 * max(drawn.get(k, 0), 1)) for k in sizes}
+    weighted = described(sample).select("features", F.col("label").cast("double").alias("label"), F.when(
+        F.col("label") == rare, weight[rare]).otherwise(weight[other]).alias("weight"))
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, weightCol="weight").fit(weighted)
 
 

@@ -96,6 +96,15 @@ def test_rows(make, rng):
     assert all(r["secret"] for r in got if r["label"] == 1) and not any(r["secret"] for r in got if r["label"] == 0)
 
 
+def test_few_positives_among_many_negatives_are_all_used(make, rng):
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows = [(n, 'token = "a1' + "".join(rng.choices(letters, k=30)) + '"', "s") for n in range(5)]
+    rows += [(10 + n, "number " + "".join(rng.choices("0123456789", k=20)) + " of", "s") for n in range(3000)]
+    found = secrets.rule_label(secrets.findings(make(rows)))
+    told = secrets.score(found, secrets.fit(found, max_rows=60)).collect()
+    assert len(told) == 3005 and all((r["score"] > 0.5) == bool(r["label"]) for r in told)
+
+
 @pytest.mark.parametrize("texts,scores", [([], set()), (["plain words only"], set()), ([None, ""], set()),
                                           (["number 1234567890123456"], {0.0}), (["token = a1b2c3d4e5f6a7b8c9"], {1.0})])
 def test_without_two_kinds_of_labels(spark, make, texts, scores):
