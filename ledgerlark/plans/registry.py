@@ -504,6 +504,25 @@ def fold_noise(spark, sf_dir):
     return _rounded(noise.add_fold_noise(rows, ["amount", "flat"], 0.05, "record_id", 43, "md5"), "amount", "flat", digits=5)
 
 
+def _part_sql(fold: int) -> str:
+    return f"""SELECT {fold} AS fold, record_id, round(amount + {_normal_sql('amount', 43 + fold)} * sa * 0.05, 5) AS amount,
+  round(7.0 + {_normal_sql('flat', 43 + fold)} * 1e-8 * 0.05, 5) AS flat
+FROM marked, (SELECT stddev_pop(amount) AS sa FROM marked WHERE fold <> {fold}) WHERE fold <> {fold}"""
+
+
+@query("F12 X2", with_views("txn") + f""",
+marked AS (SELECT record_id, amount, ntile(3) OVER (PARTITION BY is_fraud ORDER BY {_hash()}, record_id) - 1 AS fold FROM txn)
+""" + " UNION ALL ".join(_part_sql(fold) for fold in range(3)))
+def fold_noise_parts(spark, sf_dir):
+    """Noise in the training part of every fold, from all rows of the table."""
+    rows = txn(spark, sf_dir).select("record_id", "is_fraud", "amount", F.lit(7.0).cast("double").alias("flat"))
+    marked = materialise(sampling.mark_folds(rows, 3, order=ORDER), "folds")
+    parts = [noise.add_fold_noise(marked.filter(F.col("fold") != fold), ["amount", "flat"], 0.05, "record_id", 43 + fold, "md5")
+             .withColumn("fold", F.lit(fold)) for fold in range(3)]
+    noisy = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _rounded(noisy, "amount", "flat", digits=5).select("fold", "record_id", "amount", "flat")
+
+
 # --- history --------------------------------------------------------------------------------
 
 _DAY_FRAME = """OVER (PARTITION BY card_number ORDER BY transaction_time

@@ -32,3 +32,10 @@ def test_entry(spark):
 def test_every_query_names_what_it_covers():
     from ledgerlark.plans.registry import REGISTRY
     assert all(q.covers for q in REGISTRY.values()) and set(oracle_sql()) <= set(queries())
+
+
+def test_fold_noise_handles_every_row_of_the_table(spark):
+    rows = queries()["fold_noise_parts"](spark, SF)
+    ids = queries()["stratified_folds"](spark, SF)
+    counted = rows.groupBy("record_id").count()
+    assert counted.count() == ids.count() and {r["count"] for r in counted.select("count").distinct().collect()} == {2}
