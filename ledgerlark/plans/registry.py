@@ -1280,6 +1280,38 @@ def mlp_training(spark, sf_dir):
     return _facts(spark, sf_dir, "mlp", n_folds=None)
 
 
+# The same families at all their own settings, ten folds included.
+
+@query("M2 M12 M13 M14 V7", _facts_sql())
+def catboost_folds_training(spark, sf_dir):
+    return _facts(spark, sf_dir, "catboost")
+
+
+@query("M3 M13", _facts_sql())
+def lightgbm_folds_training(spark, sf_dir):
+    return _facts(spark, sf_dir, "lightgbm")
+
+
+@query("M4 M13", _facts_sql())
+def tabnet_folds_training(spark, sf_dir):
+    return _facts(spark, sf_dir, "tabnet")
+
+
+@query("M7 M13", _facts_sql(held_out=False))
+def extra_tree_folds_training(spark, sf_dir):
+    return _facts(spark, sf_dir, "extra_tree")
+
+
+@query("M8 M13 F12", _facts_sql())
+def random_forest_folds_training(spark, sf_dir):
+    return _facts(spark, sf_dir, "random_forest")
+
+
+@query("M9 M13", _facts_sql(held_out=False))
+def mlp_folds_training(spark, sf_dir):
+    return _facts(spark, sf_dir, "mlp")
+
+
 @query("M10 V8 E7 M13", _facts_sql(folds=3))
 def behaviour_training(spark, sf_dir):
     return _facts(spark, sf_dir, "behaviour")
@@ -1319,6 +1351,12 @@ def boosting_search(spark, sf_dir):
     return _searched(spark, sf_dir, "xgboost", search.candidates_for("xgboost", 2, "first"), n_folds=2, patience=0)
 
 
+@query("M15 V10 M13", _candidates_sql(search.candidates_for("logistic")))
+def logistic_folds_search(spark, sf_dir):
+    """All candidates, judged by the family's ten folds."""
+    return _searched(spark, sf_dir, "logistic", search.candidates_for("logistic"))
+
+
 @query("M17 V5 V10", _candidates_sql(search.candidates_for("behaviour", 5)))
 def behaviour_search(spark, sf_dir):
     return _searched(spark, sf_dir, "behaviour", search.candidates_for("behaviour", 5), "f2")

@@ -39,3 +39,19 @@ def test_fold_noise_handles_every_row_of_the_table(spark):
     ids = queries()["stratified_folds"](spark, SF)
     counted = rows.groupBy("record_id").count()
     assert counted.count() == ids.count() and {r["count"] for r in counted.select("count").distinct().collect()} == {2}
+
+
+def test_every_family_is_trained_and_logistic_searched_at_its_own_settings(monkeypatch):
+    from ledgerlark.operators.models import FAMILIES
+    from ledgerlark.plans import registry
+    used = []
+    for name in ("_facts", "_searched"):
+        monkeypatch.setattr(registry, name, lambda *args, kind=name, **settings: used.append((kind, args[2], settings)))
+    for name in registry.REGISTRY:
+        if name.endswith(("_training", "_search")):
+            queries()[name](None, SF)
+    assert {family for kind, family, settings in used if kind == "_facts" and not settings} == set(FAMILIES)
+    assert ("_searched", "logistic", {}) in used
+    for family in ("catboost", "lightgbm", "tabnet", "extra_tree", "random_forest", "mlp"):
+        assert FAMILIES[family].settings["n_folds"] == 10
+        assert "'folds', 10" in oracle_sql()[f"{family}_folds_training"]
