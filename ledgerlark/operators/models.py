@@ -137,7 +137,8 @@ LOGISTIC_CANDIDATES = [
     {"penalty": "l2", "C": 1.5, "class_weight": "balanced", "max_iter": 3000},
 ]
 
-# max_delta_step and reg_alpha have no counterpart in MLlib and change nothing; they keep the candidates in order.
+# These have no counterpart in MLlib and change nothing; they keep the candidates in order. Searches judge such equals once.
+IDLE = {"max_delta_step", "reg_alpha"}
 BOOSTING_GRID = {
     "max_depth": [4, 6],
     "min_rows": [1, 4],

@@ -1351,6 +1351,12 @@ def boosting_search(spark, sf_dir):
     return _searched(spark, sf_dir, "xgboost", search.candidates_for("xgboost", 2, "first"), n_folds=2, patience=0)
 
 
+@query("M16 V10 M12 M13", _candidates_sql(search.candidates_for("xgboost", 10, "first")))
+def boosting_folds_search(spark, sf_dir):
+    """The first ten candidates of the truncated grid, judged by the family's ten folds with early stopping."""
+    return _searched(spark, sf_dir, "xgboost", search.candidates_for("xgboost", 10, "first"))
+
+
 @query("M15 V10 M13", _candidates_sql(search.candidates_for("logistic")))
 def logistic_folds_search(spark, sf_dir):
     """All candidates, judged by the family's ten folds."""

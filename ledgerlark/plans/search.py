@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.operators import metrics
 from ledgerlark.operators.models import (
-    BEHAVIOUR_GRID, BOOSTING_GRID, LOGISTIC_CANDIDATES, family, grid, layered,
+    BEHAVIOUR_GRID, BOOSTING_GRID, IDLE, LOGISTIC_CANDIDATES, family, grid, layered,
 )
 from ledgerlark.operators.sampling import HashOrder
 from ledgerlark.plans.training import HELD_OUT, ROW_ID, Trained, cross_validate, prepare, rows_for, train
@@ -25,16 +25,21 @@ def search(transactions: DataFrame, name: str, candidates: list[dict], metric: s
            settings: dict | None = None, parallelism: int = 4) -> DataFrame:
     """(candidate, params, <metric>_mean, <metric>_std), one row per candidate.
 
-    The table is prepared once; folds are the same for all candidates.
+    The table is prepared once; folds are the same for all candidates. Candidates that differ only in parameters without an
+    effect are the same model, which is judged once.
     """
     spec = family(name)
     settings = layered(spec.settings, settings, {"select_features": False})
     order = HashOrder(ROW_ID, settings["seed"])
     table = prepare(rows_for(transactions, spec, settings), spec, settings, order)
     in_train = table.filter(~F.col(HELD_OUT))
-    results = None
+    results, judged = None, {}
     for i, candidate in enumerate(candidates, start=1):
-        folds, _ = cross_validate(in_train, spec, layered(spec.params, candidate), settings, order, None, parallelism)
+        params = layered(spec.params, candidate)
+        model = repr(sorted((k, v) for k, v in params.items() if k not in IDLE))
+        if model not in judged:
+            judged[model], _ = cross_validate(in_train, spec, params, settings, order, None, parallelism)
+        folds = judged[model]
         one = (metrics.cv_summary(folds.filter(F.col("metric") == metric))
                .select(F.lit(i).alias("candidate"), F.lit(json.dumps(candidate)).alias("params"),
                        F.col("mean").alias(f"{metric}_mean"), F.col("std").alias(f"{metric}_std")))

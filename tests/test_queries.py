@@ -55,3 +55,21 @@ def test_every_family_is_trained_and_logistic_searched_at_its_own_settings(monke
     for family in ("catboost", "lightgbm", "tabnet", "extra_tree", "random_forest", "mlp"):
         assert FAMILIES[family].settings["n_folds"] == 10
         assert "'folds', 10" in oracle_sql()[f"{family}_folds_training"]
+
+
+def test_boosting_search_judges_ten_candidates_and_each_model_once(spark, monkeypatch):
+    from ledgerlark.plans import registry, search
+    judged = []
+
+    def cross_validate(train, spec, params, settings, *rest):
+        judged.append((params, settings["n_folds"], settings["patience"]))
+        return spark.createDataFrame([(f, "avg_precision", len(judged) / 10 + f / 1000) for f in range(3)], "fold int, metric string, value double"), None
+
+    monkeypatch.setattr(search, "cross_validate", cross_validate)
+    monkeypatch.setattr(search, "rows_for", lambda rows, *rest: rows)
+    monkeypatch.setattr(search, "prepare", lambda rows, *rest: spark.range(1).selectExpr("id", f"false AS {search.HELD_OUT}"))
+    monkeypatch.setattr(registry, "txn", lambda *rest: None)
+    rows = sorted(map(tuple, queries()["boosting_folds_search"](spark, SF).collect()))
+    assert [r[0] for r in rows] == list(range(1, 11)) and all(r[2] and r[3] for r in rows)
+    assert len(judged) == len({tuple(p[k] for k in p if k != "max_delta_step") for p, *_ in judged}) == 5
+    assert {(folds, patience) for _, folds, patience in judged} == {(10, 25)}
