@@ -63,15 +63,19 @@ def _digest(values: np.ndarray) -> bytes:
 
 
 def shingle_features(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc, n, digest, bands, sketch) of rows (doc, text); without shingles the last three are null."""
+    """(doc, n, digest, bands, sketch) of rows (doc, text); without shingles the last three are null.
+    Further columns are kept."""
     rows = band_rows(percent)
     count = REGISTERS // rows
+    more = [c for c in df.columns if c not in ("doc", "text")]
     schema = f"doc {df.schema['doc'].dataType.simpleString()}, n long, digest binary, bands array<long>, sketch binary"
+    schema += "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in more)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             target = pa.schema([batch.schema.field("doc"), ("n", pa.int64()), ("digest", pa.binary()),
-                                ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+                                ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()),
+                                *(batch.schema.field(c) for c in more)])
             for part in slices(batch, "text"):
                 sets = shingles([(t or "").encode().lower() for t in part.column("text").to_pylist()], size)
                 signed = signatures(sets)
@@ -83,7 +87,8 @@ def shingle_features(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
                 yield record(target, part.column("doc"), [len(s) for s in sets],
                              [_digest(s) if len(s) else None for s in sets],
                              [b if len(s) else None for s, b in zip(sets, bands)],
-                             [k.tobytes() if len(s) else None for s, k in zip(sets, sketches)])
+                             [k.tobytes() if len(s) else None for s, k in zip(sets, sketches)],
+                             *(part.column(c) for c in more))
 
     return df.mapInArrow(work, schema)
 
@@ -223,7 +228,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", p
                     size: int = SHINGLE) -> DataFrame:
     """(doc, n, component) for each row of ``df``: its number of shingles and the smallest id it is linked to,
     directly or through others; itself included."""
-    source = df.select(F.col(id_col).alias("doc"), F.col(text).alias("text"))
+    return _linked(df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")), percent, size)
+
+
+def _linked(source: DataFrame, percent: int, size: int = SHINGLE) -> DataFrame:
+    """(doc, n, further columns, component) for each row of ``source`` (doc, text, further columns)."""
+    more = [c for c in source.columns if c not in ("doc", "text")]
     features = materialise(shingle_features(source, size, percent), "shingle-features")
     classes = materialise(
         features.filter(F.col("digest").isNotNull() & F.col("doc").isNotNull()).groupBy("digest").agg(
@@ -248,16 +258,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", p
 
     groups = _merged(classes.select("digest", "rep", "copies"), final.select(F.col("high").alias("rep"), "low"), "rep", "left")
     groups = groups.filter("copies > 1 OR low IS NOT NULL").select("digest", F.coalesce("low", "rep").alias("component"))
-    found = _merged(features.select("doc", "n", "digest"), groups, "digest", "left")
-    return found.select("doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component"))
+    found = _merged(features.select("doc", "n", *more, "digest"), groups, "digest", "left")
+    return found.select("doc", "n", *more, F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` that are the smallest document of their group, with the columns of ``df``; rows without id stay."""
-    (gone,) = fresh(df, "copy_doc")
-    found = near_duplicates(df, id_col, text, percent)
-    copies = materialise(found.filter(F.col("doc") != F.col("component")).select(F.col("doc").alias(gone)).distinct(), "copies")
-    return df.join(copies.hint("merge"), F.col(id_col) == F.col(gone), "left_anti")
+    gone, own = fresh(df, "copy_doc", "copy_text")
+    mark = F.unhex(F.md5(F.col(text)))               # a row goes for its own text, whatever else stands under its id
+    found = _linked(df.select(F.col(id_col).alias("doc"), F.col(text).alias("text"), mark.alias("mark")), percent)
+    copies = materialise(found.filter(F.col("doc") != F.col("component")).select(
+        F.col("doc").alias(gone), F.col("mark").alias(own)).distinct(), "copies")
+    return df.join(copies.hint("merge"), (F.col(id_col) == F.col(gone)) & (mark == F.col(own)), "left_anti")
 
 
 def group_rows(df: DataFrame) -> DataFrame:

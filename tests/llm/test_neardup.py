@@ -169,3 +169,9 @@ def test_bands_and_sketches_follow_the_threshold():
         r = neardup.band_rows(percent)
         assert (1 - (percent / 100) ** r) ** (superminhash.REGISTERS // r) <= neardup.MISS
         assert neardup.sketch_limit(percent) <= superminhash.REGISTERS * percent / 100
+
+
+def test_keep_one_drops_the_copy_and_keeps_the_other_text_of_its_id(make, rng):
+    a, b = prose(rng, 40), prose(rng, 40)
+    kept = neardup.keep_one(make([(2, a, "s"), (5, a, "s"), (5, b, "s"), (5, None, "s"), (7, b, "s")])).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted([(2, a), (5, b), (5, None)], key=repr)
