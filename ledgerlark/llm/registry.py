@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontam, language, licenses, linededup, neardup, pieces, quality, secrets, tokencounts, tokenfiles)
+    bestposition, decontam, language, licenses, linededup, neardup, pages, pieces, prefixtrie, quality, secrets, tokencounts,
+    tokenfiles)
 
 TOKENIZERS = os.environ.get("LEDGERLARK_TOKENIZERS", "/opt/tokenizers")
 
@@ -57,13 +58,28 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_rows(table(spark, sf_dir, "pages"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestposition.search_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.node_rows(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality_rules, op2_secret_scan, op3_near_duplicates, op4_line_dedup, op5_token_files, op6_token_counts,
-    op7_piece_encoding, op8_license_scan, op9_benchmark_leaks, op10_language)}
+    op7_piece_encoding, op8_license_scan, op9_benchmark_leaks, op10_language, op11_html_text, op12_ranked_search,
+    op13_prefix_trie)}
 
 SQL: dict[str, str] = {
     "op1_quality_rules": quality.SQL,
     "op3_near_duplicates": neardup.SQL,
     "op4_line_dedup": linededup.SQL,
     "op9_benchmark_leaks": decontam.SQL,
+    "op12_ranked_search": bestposition.SQL,
+    "op13_prefix_trie": prefixtrie.SQL,
 }
