@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,8 +55,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut and survives executors."""
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes inside the block are dropped at its end, but for those written with ``keep``.
+
+    Only for blocks whose result no longer reads them: one that is written itself, or values on the driver.
+    """
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.pop()
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialise(df: DataFrame, name: str = "table", keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage is cut and survives executors.
+
+    ``keep`` leaves the table to the scope around the innermost one.
+    """
     path = scratch_path(df.sparkSession, name)
+    scopes = _open_scopes[:-1] if keep else _open_scopes
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
