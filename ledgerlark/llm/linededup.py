@@ -211,7 +211,8 @@ def drop_shared_lines(df: DataFrame, id_col: str | Column = "doc_id", text: str
     bitmaps = materialise(keep_bitmaps(marked.select(F.col(doc).alias("doc"), F.col(digest).alias("digest"),
                                                      F.col(text).alias("text")), min_docs, min_chars), "line-bitmaps")
     bitmaps = bitmaps.select(F.col("doc").alias(other_doc), F.col("digest").alias(other_digest), F.col("keep").alias(keep))
-    joined = marked.join(bitmaps, F.col(doc).eqNullSafe(F.col(other_doc)) & (F.col(digest) == F.col(other_digest)), "left")
+    # Both sides grow with the corpus: never a broadcast, the same plan at every size.
+    joined = marked.join(bitmaps.hint("merge"), F.col(doc).eqNullSafe(F.col(other_doc)) & (F.col(digest) == F.col(other_digest)), "left")
     return _applied(joined.drop(doc, digest, other_doc, other_digest), text, keep, n_lines, n_dropped)
 
 
