@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlark.session import materialise
+from ledgerlark.session import materialise, scratch_scope
 
 from .batches import fresh, record, slices
 from .components import connected
@@ -266,9 +266,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent:
     """The rows of ``df`` that are the smallest document of their group, with the columns of ``df``; rows without id stay."""
     gone, own = fresh(df, "copy_doc", "copy_text")
     mark = F.unhex(F.md5(F.col(text)))               # a row goes for its own text, whatever else stands under its id
-    found = _linked(df.select(F.col(id_col).alias("doc"), F.col(text).alias("text"), mark.alias("mark")), percent)
-    copies = materialise(found.filter(F.col("doc") != F.col("component")).select(
-        F.col("doc").alias(gone), F.col("mark").alias(own)).distinct(), "copies")
+    with scratch_scope(df.sparkSession):             # features, sets and links go before the texts move
+        found = _linked(df.select(F.col(id_col).alias("doc"), F.col(text).alias("text"), mark.alias("mark")), percent)
+        copies = materialise(found.filter(F.col("doc") != F.col("component")).select(
+            F.col("doc").alias(gone), F.col("mark").alias(own)).distinct(), "copies", keep=True)
     return df.join(copies.hint("merge"), (F.col(id_col) == F.col(gone)) & (mark == F.col(own)), "left_anti")
 
 
