@@ -22,23 +22,81 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerlark.session import scratch_path
 
 from . import rans
-from .batches import RecentCache, record, slices
+from .batches import record, slices
 
 BLOCK_TOKENS = 1 << 17
 CHUNK_CACHE = 700_000
-JOINED = 128               # new chunks handed to the library as one text
+JOINED = 64                # new units handed to the library as one text
+SLICE_BYTES = 8 << 20      # text whose units are looked up together: more of it has fewer distinct ones to the byte
 
 #: A space before a character that is no white space always begins a new unit of the splitting pattern.
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
 
 
+class _Units:
+    """Ids of text units in one growing array, with the place of each unit's ids; what was not used lately is forgotten."""
+
+    def __init__(self, kind: str, size: int):
+        self.kind, self.size = kind, size
+        self.old: "_Units | None" = None
+        self.numbers: dict[str, int] = {}
+        self.begins = np.zeros(1 << 10, dtype=np.int64)
+        self.counts = np.zeros(1 << 10, dtype=np.int64)
+        self.ids = np.zeros(1 << 12, dtype=kind)
+        self.used = 0
+
+    def aged(self) -> "_Units":
+        """Itself, or if it is full an empty one with this one behind it."""
+        if len(self.numbers) <= self.size:
+            return self
+        fresh, self.old = _Units(self.kind, self.size), None
+        fresh.old = self
+        return fresh
+
+    def add(self, units: list[str], counts: np.ndarray, ids: np.ndarray) -> None:
+        first, need = len(self.numbers), self.used + len(ids)
+        if first + len(units) > len(self.begins):
+            self.begins, self.counts = (np.resize(x, 2 * (first + len(units))) for x in (self.begins, self.counts))
+        if need > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * need)
+        self.begins[first:first + len(units)] = self.used + np.cumsum(counts) - counts
+        self.counts[first:first + len(units)] = counts
+        self.ids[self.used:need] = ids
+        self.used = need
+        self.numbers.update(zip(units, range(first, first + len(units))))
+
+    def look_up(self, units: list[str], learn) -> np.ndarray:
+        """Numbers of distinct ``units``; ``learn`` gives counts and ids of unknown ones."""
+        found = list(map(self.numbers.get, units))
+        missing = [n for n, number in enumerate(found) if number is None]
+        if missing:
+            unknown = [units[n] for n in missing]
+            if self.old:
+                before = [self.old.numbers.get(u) for u in unknown]
+                at = np.array([n for n in before if n is not None], dtype=np.int64)
+                self.add([u for u, n in zip(unknown, before) if n is not None], self.old.counts[at], self.old.gather(at))
+                unknown = [u for u, n in zip(unknown, before) if n is None]
+            if unknown:
+                self.add(unknown, *learn(unknown))
+            for n in missing:
+                found[n] = self.numbers[units[n]]
+        return np.array(found, dtype=np.int64)
+
+    def gather(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of the units of these numbers, one after the other."""
+        counts = self.counts[numbers]
+        ends = np.cumsum(counts)
+        return self.ids[np.repeat(self.begins[numbers] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class ByteBpe:
     """Byte-level BPE through the tokenizers library, with units between spaces remembered."""
 
@@ -58,41 +116,72 @@ class ByteBpe:
         self.lengths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, number in vocabulary.items():
             self.lengths[number] = len(added[number].content.encode()) if number in added else len(token)
-        self.units = RecentCache(CHUNK_CACHE)      # what follows a space, with the space's part of its ids
-
-    def _ids(self, coded) -> bytes:
-        return np.array(coded.ids, dtype=self.kind).tobytes()
-
-    def _learn(self, units: list[str]) -> None:
-        """Remember new units; many of them are handed to the library as one text."""
-        groups = [units[a:a + JOINED] for a in range(0, len(units), JOINED)]
-        texts = ["".join([" " + u for u in g]) for g in groups]
-        for group, coded in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
-            raw, size, begin = self._ids(coded), np.dtype(self.kind).itemsize, 0
-            places = np.cumsum(self.lengths[np.frombuffer(raw, dtype=self.kind)])
-            ends = np.searchsorted(places, np.cumsum([len(u.encode()) + 1 for u in group])) + 1
-            for unit, end in zip(group, ends.tolist()):
-                self.units.new[unit] = raw[begin * size:end * size]
-                begin = end
+        self.units = _Units(self.kind, CHUNK_CACHE)    # what follows a space, with the space's part of its ids
+        self.begins = _Units(self.kind, CHUNK_CACHE)   # what stands before the first space
+
+    def _library_ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(coded.ids, dtype=self.kind) for coded in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_begins(self, begins: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._library_ids(begins)
+        return np.array([len(i) for i in ids], dtype=np.int64), np.concatenate(ids)
+
+    def _learn_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids and ids of new units; many of them are handed to the library as one text."""
+        texts = [" " + " ".join(units[a:a + JOINED]) for a in range(0, len(units), JOINED)]
+        ids = np.concatenate(self._library_ids(texts))
+        sizes = pc.binary_length(pa.array(units, pa.string())).to_numpy() + 1
+        # Every unit ends where a token does: after as many bytes as it and those before it have.
+        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1
+        return np.diff(ends, prepend=0), ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of type ``kind``."""
-        self.units.age()
-        split = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        begins = list({s[0] for s in split})
-        first = dict(zip(begins, map(self._ids, self.library.encode_batch_fast(begins, add_special_tokens=False))))
-        units = [u for s in split for u in s[1:]]
-        ids = list(map(self.units.new.get, units))
-        unknown = [n for n, i in enumerate(ids) if i is None]
-        self._learn(self.units.missing([units[n] for n in unknown]))
-        known = self.units.new
-        for n in unknown:
-            ids[n] = known[units[n]]
-        out, at = [], 0
-        for parts in split:
-            out.append(first[parts[0]] + b"".join(ids[at:at + len(parts) - 1]))
-            at += len(parts) - 1
-        return out
+        if not texts:
+            return []
+        self.units, self.begins = self.units.aged(), self.begins.aged()
+        odd = [n for n, t in enumerate(texts) if _ODD.search(t)]
+        split = pc.split_pattern(pa.array(["" if n else t for n, t in zip(_flags(odd, len(texts)), texts)], pa.string()), " ")
+        flat, sizes = split.flatten(), np.diff(split.offsets.to_numpy()).astype(np.int64)
+        order = None
+        if odd:
+            # These stand behind the others, with an empty unit where they belong.
+            cut = [_CUT.split(texts[n]) for n in odd]
+            flat = pa.concat_arrays([flat, pa.array([u for c in cut for u in c], pa.string())])
+            first = np.cumsum(sizes) - sizes
+            places = len(split.values) + np.cumsum([0] + [len(c) for c in cut])
+            parts = [np.arange(a, a + n) for a, n in zip(first.tolist(), sizes.tolist())]
+            for n, a, b in zip(odd, places, places[1:]):
+                parts[n] = np.arange(a, b)
+                sizes[n] = b - a
+            order = np.concatenate(parts)
+        coded = flat.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = coded.indices.to_numpy() if order is None else coded.indices.to_numpy()[order]
+        starts = np.cumsum(sizes) - sizes
+        follows = np.ones(len(codes), dtype=bool)
+        follows[starts] = False
+        wanted = np.flatnonzero(np.bincount(codes[follows], minlength=len(distinct)))
+        number = np.zeros(len(distinct), dtype=np.int64)
+        number[wanted] = self.units.look_up([distinct[n] for n in wanted.tolist()], self._learn_units)
+        opening, which = np.unique(codes[starts], return_inverse=True)
+        heads = self.begins.look_up([distinct[n] for n in opening.tolist()], self._learn_begins)[which]
+        counts = np.empty(len(codes), dtype=np.int64)
+        counts[follows], counts[starts] = self.units.counts[number[codes[follows]]], self.begins.counts[heads]
+        ends = np.cumsum(counts)
+        out = np.empty(int(ends[-1]), dtype=self.kind)
+        begin = np.repeat(~follows, counts)
+        out[~begin], out[begin] = self.units.gather(number[codes[follows]]), self.begins.gather(heads)
+        raw, width = out.tobytes(), np.dtype(self.kind).itemsize
+        edges = np.append(ends[starts] - counts[starts], ends[-1]) * width
+        return [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
+
+def _flags(places: list[int], size: int) -> list[bool]:
+    out = [False] * size
+    for n in places:
+        out[n] = True
+    return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -117,7 +206,7 @@ def _tokenized_blocks(df: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             target = target or pa.schema([
                 ("shard", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("docs", pa.list_(batch.schema.field("doc").type)),
                 ("lengths", pa.list_(pa.int64())), ("width", pa.int32()), ("ids", pa.binary())])
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids = own.encode([t or "" for t in part.column("text").to_pylist()])
                 for doc, coded in zip(part.column("doc").to_pylist(), ids):
                     n = len(coded) // len(end) + 1
