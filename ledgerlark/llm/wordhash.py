@@ -5,13 +5,12 @@ from __future__ import annotations
 import numpy as np
 
 SEGMENT = 1 << 20            # bytes hashed at once; a longer word makes its segment longer
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
+_REST = np.array([(1 << 8 * n) - 1 for n in range(1, 9)], dtype=np.uint64)      # the first n bytes of eight
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,25 +23,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        inverse = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
-        for name, base in (("up", _MULTIPLIER), ("down", inverse)):
-            table = np.full(n, base, dtype=np.uint64)
-            table[0] = 1
-            _powers[name] = np.cumprod(table, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
-
-
 def _hash_segment(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and first bytes' places of the words in ``raw``."""
+    """Hashes and first bytes' places of the words in ``raw``.
+
+    Each eight bytes of a word go through a bijection that depends on their place before they are added: no
+    algebra of the bytes survives, as it does in a polynomial modulo a power of two (Thue-Morse words).
+    """
     data = np.frombuffer(raw, dtype=np.uint8)
     edges = np.flatnonzero(np.diff(~_BLANK[data], prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    up, down = _power_tables(max(len(data) + 1, SEGMENT + 1))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[:len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64), starts
+    overlapping = np.ndarray(len(raw), dtype="<u8", buffer=raw + bytes(8), strides=(1,))
+    parts = (sizes + 7) >> 3
+    first = np.cumsum(parts) - parts
+    number = np.arange(int(parts.sum())) - np.repeat(first, parts)
+    eights = overlapping[np.repeat(starts, parts) + 8 * number]
+    last = first + parts - 1
+    eights[last] &= _REST[(sizes - 1) & 7]
+    mixed = mix(eights ^ mix((number + 1).astype(np.uint64) * _STEP))
+    return mix(np.add.reduceat(mixed, first) + mix(sizes.astype(np.uint64))), starts
 
 
 def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
