@@ -40,10 +40,10 @@ def groups(links, ids):
     return {i: find(i) for i in ids}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = [(i, shingle_set(t)) for i, t, _ in rows]
     links = [(a, b) for n, (a, x) in enumerate(sets) for b, y in sets[n + 1:]
-             if x and 100 * len(x & y) >= 85 * len(x | y)]
+             if x and 100 * len(x & y) >= percent * len(x | y)]
     found = groups(links, [i for i, _ in sets])
     return sorted((i, len(s), found[i], found[i] == i) for i, s in sets)
 
@@ -148,9 +148,33 @@ def test_components(spark):
 
 
 def pair_at(rng, shared, own):
-    """Two texts of shared + own words each: the ends differ, so own shingles on each side are not shared."""
-    base = prose(rng, shared)
-    return [f"{base} {' '.join(f'{side}{n}' for n in range(own))}" for side in ("left", "right")]
+    """Two texts of shared + own words each: the ends differ, so own shingles on each side are not shared, nor with another pair."""
+    base, pair = prose(rng, shared), rng.getrandbits(64)
+    return [f"{base} {' '.join(f'{side}{n}of{pair}' for n in range(own))}" for side in ("left", "right")]
+
+
+def thue_morse(letters, size):
+    word = letters
+    while len(word) < size:
+        word += word.translate(str.maketrans(letters, letters[::-1]))
+    return word
+
+
+@pytest.mark.parametrize("size", [8, 16, 512, 1024, 4096])
+def test_words_that_collide_modulo_powers_of_two_are_told_apart(make, size):
+    words = [thue_morse(pair, size) for pair in ("ab", "ba", "xy", "yx")]
+    hashes, _ = wordhash.hash_words([w.encode() for w in words])
+    assert len(set(hashes.tolist())) == 4
+    rows = neardup.group_rows(make(words + words[:1])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0}
+
+
+def test_words_hash_alike_wherever_they_stand():
+    words = ["a", "abcdefgh", "abcdefghi", "x" * 15, "x" * 16, "x" * 17, "\x00", "\x00\x00", "é" * 40]
+    alone = [int(wordhash.hash_words([w.encode()])[0][0]) for w in words]
+    assert len(set(alone)) == len(words)
+    together, counts = wordhash.hash_words([("  " + " \t".join(words)).encode(), b"", " ".join(words[::-1]).encode()])
+    assert together.tolist() == alone + alone[::-1] and counts.tolist() == [9, 0, 9]
 
 
 @pytest.mark.parametrize("percent,shared,own", [(80, 94, 10), (70, 94, 18), (50, 64, 30), (30, 64, 65)])

@@ -33,6 +33,9 @@ def folder(spark, tmp_path_factory):
     texts += [base, base, base + " end"] + [prose(rng, 25) + "\n" + shared + "\n" + prose(rng, 20) for _ in range(8)]
     texts += [prose(rng, 15) + " " + items[n][1] + " " + prose(rng, 15) for n in range(3)] + ["same words again and again " * 6] * 2
     texts += [prose(rng, rng.randint(12, 60)) for _ in range(15)]
+    for n in range(4):                                            # pairs from 80 to 85 percent, and just below 80
+        common = prose(rng, 94)
+        texts += [common + "".join(f" {side}{n}w{k}" for k in range(10 if n < 3 else 13)) for side in ("left", "right")]
     rows = [(n, t, "en", "bad" if n < 5 else f"s{n % 3}", len(t) if t is not None else None) for n, t in enumerate(texts)]
     path = str(tmp_path_factory.mktemp("tables"))
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{path}/documents.parquet")
@@ -62,7 +65,9 @@ def test_every_stage_equals_brute_force(spark, folder):
 
     docs = stages["near_dedup"](spark, docs, path).cache()
     assert docs.columns == columns
-    single = {d for d, _, _, kept in copies([(r[0], r[1], r[3]) for r in after]) if kept}
+    single = {d for d, _, _, kept in copies([(r[0], r[1], r[3]) for r in after], 80) if kept}
+    stricter = {d for d, _, _, kept in copies([(r[0], r[1], r[3]) for r in after]) if kept}
+    assert len(stricter - single) == 3
     after = [r for r in after if r[0] in single]
     assert sorted(map(tuple, docs.collect())) == sorted(after)
 
@@ -98,5 +103,5 @@ def test_every_query_is_registered():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
