@@ -25,7 +25,7 @@ from ledgerlark.plans import exploration, publishing, search, training
 from ledgerlark.schema import BEHAVIOUR_FEATURES, CATEGORICAL_FEATURES, RAW_CSV_COLUMNS, raw_csv_schema
 from ledgerlark.session import materialise, scratch_path
 from ledgerlark.sources import files, messages, runs
-from ledgerlark.streaming import history as stream_history, scoring as stream_scoring, state as stream_state
+from ledgerlark.streaming import history as stream_history, profiles as stream_profiles, scoring as stream_scoring, state as stream_state
 from ledgerlark.views import scored, txn, txn_raw, with_views
 
 
@@ -1208,6 +1208,38 @@ def streamed_profile_join(spark, sf_dir):
     return _micros(_rounded(_drained(spark, rows, "profiled"), "amount_avg", digits=9), "last_time")
 
 
+_PROFILE_DAYS = ("2024-01-11", "2024-01-21")
+
+
+@query("T7 J4", with_views("txn") + f""",
+parts AS (SELECT *, (transaction_time >= TIMESTAMP '{_PROFILE_DAYS[0]}')::INT + (transaction_time >= TIMESTAMP '{_PROFILE_DAYS[1]}')::INT AS part FROM txn),
+p AS (SELECT s.part, c.card_number AS k, count(c.amount) AS txn_count, round(sum(c.amount), 6) AS amount_sum, max(c.transaction_time) AS last_time
+  FROM (VALUES (1), (2)) s(part) JOIN parts c ON c.part < s.part GROUP BY 1, 2)
+SELECT record_id, CAST(parts.part - 1 AS BIGINT) AS version, txn_count, amount_sum, epoch_us(last_time) AS last_time
+FROM parts LEFT JOIN p ON parts.part = p.part AND card_number = k""")
+def versioned_profile_join(spark, sf_dir):
+    """Three deliveries by day to one running stream; before the second and the third a profile of all earlier rows is published."""
+    rows, folder = _history_rows(spark, sf_dir), scratch_path(spark, "deliveries")
+    store = stream_profiles.ProfileStore(scratch_path(spark, "profiles"))
+    join = stream_profiles.ProfileJoin(store, scratch_path(spark, "profiled"), scratch_path(spark, "used"),
+                                       "card_number string, txn_count long, amount_sum double, last_time timestamp")
+    edges, time = [F.lit(d).cast("timestamp") for d in _PROFILE_DAYS], F.col("transaction_time")
+    parts = (time < edges[0], (time >= edges[0]) & (time < edges[1]), time >= edges[1])
+    rows.limit(0).write.parquet(folder)
+    running = join.start(spark.readStream.schema(rows.schema).parquet(folder), scratch_path(spark, "checkpoint"))
+    try:
+        for n, part in enumerate(parts):
+            if n:
+                past = history.merge_profile(history.user_profile(rows.filter(time < edges[n - 1])))
+                store.publish(past.select("card_number", "txn_count", "amount_sum", "last_time"))
+            rows.filter(part).write.mode("append").parquet(folder)
+            running.processAllAvailable()
+    finally:
+        running.stop()
+    found = spark.read.parquet(join.output)
+    return _micros(_rounded(found, "amount_sum"), "last_time").select("record_id", "version", "txn_count", "amount_sum", "last_time")
+
+
 @query("T8 A8", with_views("txn") + """,
 h AS (SELECT date_trunc('hour', transaction_time) AS t, count(*) AS transactions, avg(is_fraud) AS r FROM txn GROUP BY 1)
 SELECT epoch_us(t) AS window_start, transactions, round(r, 6) AS fraud_rate FROM h
