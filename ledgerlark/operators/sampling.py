@@ -10,14 +10,18 @@ every column the wanted number is made anew from one of them.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlark.functions.hashing import HASH_BITS, order_hash
 
 BIN_BITS = 14
+MERGERS = 16             # tasks that merge the parts' first rows
 FETCH = 5_000            # distinct keys read from the bins that hold a cut-off
 _HASH, _ID, _ROW = "_order_hash", "_order_id", "_order_row"
 
@@ -197,6 +201,60 @@ def take(df: DataFrame, n: int, order: HashOrder = HashOrder()) -> DataFrame:
     return df if n > 0 else df.limit(0)
 
 
+def take_once(df: DataFrame, n: int, order: HashOrder = HashOrder()) -> DataFrame:
+    """The rows of ``take`` from one pass over ``df``, whose size need not be known.
+
+    A task keeps the first ``n`` rows of the order that it has met, at most twice as many for a while; these are merged in ``MERGERS`` tasks and
+    then in one. Samples can be merged again: the sample of a sample and further rows is the sample of all, see ``SampleStream``.
+    """
+    keyed = order.keyed(df)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        waiting, size = [], 0
+
+        def cut() -> pa.Table:
+            table = pa.Table.from_batches(waiting)
+            table = pa.concat_tables([held, table]) if held is not None else table
+            places = pc.sort_indices(table.select([_HASH, _ID, _ROW]), [(c, "ascending") for c in (_HASH, _ID, _ROW)], null_placement="at_end")
+            return table.take(places[:n]).combine_chunks()
+
+        for batch in batches:
+            waiting.append(batch)
+            size += batch.num_rows
+            if size >= max(n, 1):
+                held, waiting, size = cut(), [], 0
+        if waiting:
+            held = cut()
+        if held is not None:
+            yield from held.to_batches(10_000)
+
+    if n <= 0:
+        return df.limit(0)
+    parts = keyed.mapInArrow(first, kinds)
+    merged = parts.repartition(MERGERS, F.xxhash64(_HASH, _ROW)).mapInArrow(first, kinds)
+    return merged.repartition(1).mapInArrow(first, kinds).drop(_HASH, _ID, _ROW)
+
+
+@dataclass
+class SampleStream:
+    """A uniform sample of ``n`` of all rows that a stream has had so far, one table per batch below ``path``."""
+
+    path: str
+    n: int
+    order: HashOrder = HashOrder()
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id:
+            batch = batch.unionByName(batch.sparkSession.read.schema(batch.schema).parquet(f"{self.path}/{batch_id - 1}"))
+        take_once(batch, self.n, self.order).write.mode("overwrite").parquet(f"{self.path}/{batch_id}")
+
+    def start(self, stream: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+        writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def allocate(sizes: dict[object, int], total: int) -> dict[object, int]:
     """Share ``total`` over strata in proportion, leftovers to the largest remainders."""
     n = sum(sizes.values())

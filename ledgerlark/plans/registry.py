@@ -779,6 +779,12 @@ def random_sample(spark, sf_dir):
     return sampling.take(txn(spark, sf_dir).select("record_id", "amount"), 5000, ORDER)
 
 
+@query("X5", with_views("txn") + f" SELECT record_id, amount FROM txn ORDER BY {_hash()}, record_id LIMIT 5000")
+def one_pass_sample(spark, sf_dir):
+    """The same rows as ``random_sample`` from one pass over the source."""
+    return sampling.take_once(txn(spark, sf_dir).select("record_id", "amount"), 5000, ORDER)
+
+
 @query("X6 J6", with_views("txn") + f""",
 sizes AS (SELECT count(*) FILTER (WHERE is_fraud = 0) AS neg, count(*) FILTER (WHERE is_fraud = 1) AS pos FROM txn),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY {_hash()}, record_id) AS r FROM txn)
