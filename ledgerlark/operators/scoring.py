@@ -67,13 +67,20 @@ class ScoringModel:
 
 # --- foreign models -------------------------------------------------------------------------
 
-def foreign_scorer(spark: SparkSession, model: Any, features: list[str], threshold: float = 0.5):
+MAX_MODEL_BYTES = 256 << 20      # of a model that is broadcast
+
+
+def foreign_scorer(spark: SparkSession, model: Any, features: list[str], threshold: float = 0.5, max_bytes: int = MAX_MODEL_BYTES):
     """A vectorised UDF for a model outside MLlib: anything with ``predict_proba(pandas frame)``.
 
     The model travels to the executors once, as a broadcast variable, and is opened once per task. Returns
-    a function that adds ``prediction`` and ``fraud_probability`` to a frame.
+    a function that adds ``prediction`` and ``fraud_probability`` to a frame. A model of more than ``max_bytes`` is refused: every
+    task holds it.
     """
-    shipped = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    packed = cloudpickle.dumps(model)
+    if len(packed) > max_bytes:
+        raise ValueError(f"the model has {len(packed)} bytes, more than the {max_bytes} that are broadcast")
+    shipped = spark.sparkContext.broadcast(packed)
 
     @F.pandas_udf("struct<prediction int, fraud_probability double>")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:

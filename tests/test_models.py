@@ -188,3 +188,8 @@ def test_foreign_model_gets_its_columns_in_order(spark):
     assert [(r["prediction"], r["fraud_probability"]) for r in apply(df).collect()] == [(0, 0.1), (1, 0.5)]
     with pytest.raises(ValueError, match="merchant"):
         apply(df.drop("merchant"))
+
+
+def test_a_model_too_large_to_broadcast_is_refused(spark):
+    with pytest.raises(ValueError, match="bytes"):
+        scoring.foreign_scorer(spark, {"weights": b"x" * 5000}, ["amount"], max_bytes=4000)
