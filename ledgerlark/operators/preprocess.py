@@ -54,7 +54,8 @@ def fit_scaling(df: DataFrame, medians: dict[str, float]) -> tuple[dict[str, flo
     aggregates = []
     for c, m in medians.items():
         filled = F.coalesce(F.col(c).cast("double"), F.lit(m))
-        aggregates += [F.avg(filled), F.stddev_pop(filled)]
+        flat = F.min(filled) == F.max(filled)        # merged sums of a constant are not exact
+        aggregates += [F.when(flat, F.min(filled)).otherwise(F.avg(filled)), F.when(~flat, F.stddev_pop(filled))]
     row = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggregates)]).first() if aggregates else []
     means = {c: row[2 * i] if row[2 * i] is not None else 0.0 for i, c in enumerate(medians)}
     return means, {c: row[2 * i + 1] or 1.0 for i, c in enumerate(medians)}
@@ -165,9 +166,9 @@ def stages(fitted: Fitted, output: str = FEATURES) -> PipelineModel:
     columns += [f"coalesce(`{c}`, {_text(fitted.modes[c])}) AS `_{c}`" for c in indexed]
     steps = [SQLTransformer(statement="SELECT *" + "".join(f", {c}" for c in columns) + " FROM __THIS__")]
     if indexed:
-        steps.append(StringIndexerModel.from_arrays_of_labels(
-            [fitted.labels[c] for c in indexed], inputCols=[f"_{c}" for c in indexed],
-            outputCols=[f"_{c}_index" for c in indexed], handleInvalid="keep"))
+        # One indexer a column: an indexer of several gives what is unseen the size of the first column's vocabulary in all.
+        steps += [StringIndexerModel.from_labels(fitted.labels[c], inputCol=f"_{c}", outputCol=f"_{c}_index", handleInvalid="keep")
+                  for c in indexed]
         shifted = [f"CASE WHEN `_{c}_index` = {len(fitted.labels[c])} THEN -1D ELSE `_{c}_index` END AS `{code_name(c)}`"
                    for c in indexed]
         steps.append(SQLTransformer(statement="SELECT *, " + ", ".join(shifted) + " FROM __THIS__"))

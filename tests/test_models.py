@@ -51,6 +51,14 @@ def test_large_vocabularies_get_the_same_codes(spark):
     assert sorted(map(tuple, ((r["k"], tuple(r["f"])) for r in a))) == sorted(((r["k"], tuple(r["f"])) for r in b))
 
 
+def test_unseen_values_are_minus_one_in_every_column(spark):
+    df = spark.createDataFrame([("a", "x", "p"), ("b", "y", "p"), ("c", "y", "p"), ("c", "z", "p"), ("c", "v", "p")], "k string, j string, i string")
+    fitted = preprocess.fit(df, [], ["k", "j", "i"])
+    new = spark.createDataFrame([("a", "new", "new"), ("new", "z", "p"), ("new", "new", None)], df.schema)
+    got = preprocess.transform(new, fitted).select(vector_to_array("features")).collect()
+    assert [r[0] for r in got] == [[0, -1, -1], [-1, 3, 0], [-1, -1, 0]]
+
+
 def test_missing_feature_is_an_error(rows):
     fitted = preprocess.fit(rows, ["amount"], ["category"])
     with pytest.raises(ValueError, match="category"):
