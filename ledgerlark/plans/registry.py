@@ -16,9 +16,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlark import views
+from ledgerlark.functions import hashing
 from ledgerlark.functions.scalar import event_time, to_double
 from ledgerlark.operators import (
-    clean, features, history, metrics, models, noise, normalise, orderstats, preprocess, profile, sampling, scoring,
+    clean, features, foldstats, history, metrics, models, noise, normalise, orderstats, preprocess, profile, sampling, scoring,
 )
 from ledgerlark.operators.sampling import HashOrder
 from ledgerlark.plans import exploration, publishing, search, training
@@ -928,6 +929,32 @@ def feature_vectors(spark, sf_dir):
     return ready.select("record_id", *[F.round(vector[i], 5).alias(f"f{i}") for i in range(7)])
 
 
+_FOLD_NUMERIC, _FOLD_CATEGORICAL = ["amount", "lat", "city_pop"], ["category", "city", "state"]
+
+
+@query("E1 E2 E3 E4 E5 M13", with_views("txn") + f""",
+t AS (SELECT *, {_hash()} % 5 AS f FROM txn),
+p AS (SELECT model, t.* FROM (VALUES (0), (1), (2), (3), (4), (5)) m(model) JOIN t ON f <> model),
+""" + ",\n".join(f"""{c}_m AS (SELECT model, quantile_cont({c}, 0.5) AS median FROM p GROUP BY 1),
+{c}_s AS (SELECT model, '{c}' AS "column", any_value(median) AS median, avg(coalesce({c}, median)) AS mean, stddev_pop(coalesce({c}, median)) AS deviation
+  FROM p JOIN {c}_m USING (model) GROUP BY 1)""" for c in _FOLD_NUMERIC) + ",\n" + ",\n".join(
+    f"""{c}_c AS (SELECT model, '{c}' AS "column", {c} AS v, count(*) AS n FROM p WHERE {c} IS NOT NULL GROUP BY 1, 2, 3),
+{c}_w AS (SELECT model, "column", count(*) AS words, arg_min(v, (-n, v)) AS mode FROM {c}_c GROUP BY 1, 2)""" for c in _FOLD_CATEGORICAL) + """
+""" + " UNION ALL ".join(f"""SELECT model, "column", round(median, 6) AS median, round(mean, 6) AS mean, round(deviation, 5) AS deviation,
+  CAST(NULL AS VARCHAR) AS mode, CAST(NULL AS BIGINT) AS words FROM {c}_s""" for c in _FOLD_NUMERIC) + " UNION ALL " + " UNION ALL ".join(
+    f"""SELECT model, "column", NULL, NULL, NULL, mode, words FROM {c}_w""" for c in _FOLD_CATEGORICAL))
+def fold_preprocessing(spark, sf_dir):
+    """What the rows outside each of five folds, and all rows (model 5), teach, from the passes of one fit."""
+    fold = F.pmod(hashing.order_hash(F.col("record_id"), 42, "md5"), F.lit(5)).alias("fold")
+    rows = materialise(txn(spark, sf_dir).select(*_FOLD_NUMERIC, *_FOLD_CATEGORICAL, fold), "rows")
+    out = []
+    for m, f in enumerate(foldstats.fit_folds(rows, _FOLD_NUMERIC, _FOLD_CATEGORICAL, "fold", 5)):
+        out += [(m, c, float(f.medians[c]), float(f.means[c]), float(f.deviations[c]), None, None) for c in f.numeric]
+        out += [(m, c, None, None, None, f.modes[c], len(f.labels[c])) for c in f.categorical]
+    found = spark.createDataFrame(out, "model int, `column` string, median double, mean double, deviation double, mode string, words bigint")
+    return _rounded(_rounded(found, "median", "mean"), "deviation", digits=5)
+
+
 # --- metrics --------------------------------------------------------------------------------
 
 _CURVE = """,

@@ -11,7 +11,7 @@ from ledgerlark.operators.models import (
     BEHAVIOUR_GRID, BOOSTING_GRID, IDLE, LOGISTIC_CANDIDATES, family, grid, layered,
 )
 from ledgerlark.operators.sampling import HashOrder
-from ledgerlark.plans.training import HELD_OUT, ROW_ID, Trained, cross_validate, prepare, rows_for, train
+from ledgerlark.plans.training import HELD_OUT, ROW_ID, FoldLessons, Trained, cross_validate, prepare, rows_for, train
 
 
 def candidates_for(name: str, limit: int | None = None, mode: str = "random", seed: int = 42) -> list[dict]:
@@ -25,7 +25,7 @@ def search(transactions: DataFrame, name: str, candidates: list[dict], metric: s
            settings: dict | None = None, parallelism: int = 4) -> DataFrame:
     """(candidate, params, <metric>_mean, <metric>_std), one row per candidate.
 
-    The table is prepared once; folds are the same for all candidates. Candidates that differ only in parameters without an
+    The table is prepared once; folds, and what their preprocessing learns, are the same for all candidates. Candidates that differ only in parameters without an
     effect are the same model, which is judged once.
     """
     spec = family(name)
@@ -33,12 +33,12 @@ def search(transactions: DataFrame, name: str, candidates: list[dict], metric: s
     order = HashOrder(ROW_ID, settings["seed"])
     table = prepare(rows_for(transactions, spec, settings), spec, settings, order)
     in_train = table.filter(~F.col(HELD_OUT))
-    results, judged = None, {}
+    results, judged, lessons = None, {}, FoldLessons(in_train, spec, settings)
     for i, candidate in enumerate(candidates, start=1):
         params = layered(spec.params, candidate)
         model = repr(sorted((k, v) for k, v in params.items() if k not in IDLE))
         if model not in judged:
-            judged[model], _ = cross_validate(in_train, spec, params, settings, order, None, parallelism)
+            judged[model], _ = cross_validate(in_train, spec, params, settings, order, None, parallelism, lessons)
         folds = judged[model]
         one = (metrics.cv_summary(folds.filter(F.col("metric") == metric))
                .select(F.lit(i).alias("candidate"), F.lit(json.dumps(candidate)).alias("params"),

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlark.operators import boosting, metrics, preprocess, sampling
+from ledgerlark.operators import boosting, foldstats, metrics, preprocess, sampling
 from ledgerlark.operators.features import add_calendar_flags, add_merchant_risk, add_training_features
 from ledgerlark.operators.history import Entity, add_behaviour
 from ledgerlark.operators.models import (
@@ -89,9 +90,34 @@ def _label_counts(train: DataFrame) -> dict[int, int]:
     return {r[LABEL]: r["count"] for r in train.groupBy(LABEL).count().collect()}
 
 
-def _weights(spec: Family, params: dict, train: DataFrame) -> tuple[dict[int, float], float]:
+class FoldLessons:
+    """What the rows outside each fold, and all rows, teach: label counts and preprocessing, worked out together at first use.
+
+    The same for all candidates of a search, so one object serves them all.
+    """
+
+    def __init__(self, train: DataFrame, spec: Family, settings: dict, features: list[str] | None = None):
+        self.train, self.spec, self.settings, self.features = train, spec, settings, features
+
+    @cached_property
+    def labels(self) -> list[dict[int, int]]:
+        k, counts = self.settings["n_folds"], self.train.groupBy("fold", LABEL).count().collect()
+        return [{v: n for v in {r[LABEL] for r in counts} if (n := sum(r["count"] for r in counts if r["fold"] != m and r[LABEL] == v))}
+                for m in range(k + 1)]
+
+    @cached_property
+    def fits(self) -> list[preprocess.Fitted]:
+        numeric, categorical = _chosen(self.spec, self.features)
+        return foldstats.fit_folds(self.train, numeric, categorical, "fold", self.settings["n_folds"], self.settings.get("scale", True))
+
+
+def _chosen(spec: Family, features: list[str] | None) -> tuple[list[str], list[str]]:
+    return tuple([c for c in group if features is None or c in features] for group in (spec.numeric, spec.categorical))
+
+
+def _weights(spec: Family, params: dict, train: DataFrame, counts: dict[int, int] | None = None) -> tuple[dict[int, float], float]:
     """(weight by label, sum of weights)."""
-    counts = _label_counts(train)
+    counts = _label_counts(train) if counts is None else counts
     chosen = params.get("class_weight")
     if isinstance(chosen, dict):
         weights = {int(k): float(v) for k, v in chosen.items()}
@@ -101,16 +127,18 @@ def _weights(spec: Family, params: dict, train: DataFrame) -> tuple[dict[int, fl
 
 
 def fit_model(train: DataFrame, spec: Family, params: dict, settings: dict, seed: int,
-              features: list[str] | None = None, validation: DataFrame | None = None) -> ScoringModel:
+              features: list[str] | None = None, validation: DataFrame | None = None,
+              fitted: preprocess.Fitted | None = None, labels: dict[int, int] | None = None) -> ScoringModel:
     """Preprocessing fitted on ``train``, then the classifier; ``validation`` rows stop boosting early.
 
+    ``fitted`` and ``labels`` are what ``train`` is already known to teach, see ``FoldLessons``.
+
     Boosting runs all its rounds, the losses on the validation rows tell the best one, and if that is not the last, the
     model is fitted again with so many rounds. Rounds are seeded one by one, so the trees are the same.
     """
-    numeric = [c for c in spec.numeric if features is None or c in features]
-    categorical = [c for c in spec.categorical if features is None or c in features]
-    fitted = preprocess.fit(train, numeric, categorical, scale=settings.get("scale", True))
-    weights, weight_sum = _weights(spec, params, train)
+    numeric, categorical = _chosen(spec, features)
+    fitted = fitted or preprocess.fit(train, numeric, categorical, scale=settings.get("scale", True))
+    weights, weight_sum = _weights(spec, params, train, labels)
     def ready(rows: DataFrame) -> DataFrame:
         return preprocess.transform(add_class_weight(rows, weights, LABEL, WEIGHT), fitted).select("features", LABEL, WEIGHT)
 
@@ -137,20 +165,23 @@ def select_features(train: DataFrame, spec: Family, params: dict, settings: dict
 
 
 def cross_validate(train: DataFrame, spec: Family, params: dict, settings: dict, order: HashOrder,
-                   features: list[str] | None = None, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+                   features: list[str] | None = None, parallelism: int = 4,
+                   lessons: FoldLessons | None = None) -> tuple[DataFrame, DataFrame]:
     """Long frame (fold, metric, value), and (id, fold, label, score): each fold scored by a model of the other folds.
 
-    Fits run side by side; the out-of-fold scores are written as one narrow table, from which all
-    folds' metrics come in one grouped curve.
+    Preprocessing of all folds is fitted together, unless each fold's training part gets noise of its own. The classifiers' fits
+    run side by side; the out-of-fold scores are written as one narrow table, from which all folds' metrics come in one grouped curve.
     """
-    folds, seed = settings["n_folds"], settings["seed"]
+    folds, seed, noisy = settings["n_folds"], settings["seed"], settings.get("fold_noise")
+    lessons = lessons or FoldLessons(train, spec, settings, features)
+    known = [{"labels": lessons.labels[m], "fitted": None if noisy else lessons.fits[m]} for m in range(folds)]
 
     def one_fold(fold: int):
         inside, outside = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
-        if settings.get("fold_noise"):
-            inside = add_fold_noise(inside, spec.numeric, settings["fold_noise"], order.row_id, seed + fold + 1)
+        if noisy:
+            inside = add_fold_noise(inside, spec.numeric, noisy, order.row_id, seed + fold + 1)
         early = settings.get("patience")
-        model = fit_model(inside, spec, params, settings, seed + fold + 1, features, outside if early else None)
+        model = fit_model(inside, spec, params, settings, seed + fold + 1, features, outside if early else None, **known[fold])
         scored = model.probability(outside, "score").select(
             order.row_id, "fold", F.col(LABEL).alias("label"), "score")
         return materialise(scored, "fold"), getattr(_classifier(model), "getNumTrees", None)
@@ -197,8 +228,12 @@ def train(transactions: DataFrame, name: str, params: dict | None = None, settin
         features, importances = select_features(in_train, spec, params, settings, seed)
 
     found, fold_metrics, fold_scores, threshold = {}, None, None, settings.get("threshold", 0.5)
+    known = {}
     if settings.get("n_folds"):
-        fold_metrics, fold_scores = cross_validate(in_train, spec, params, settings, order, features, parallelism)
+        lessons = FoldLessons(in_train, spec, settings, features)
+        fold_metrics, fold_scores = cross_validate(in_train, spec, params, settings, order, features, parallelism, lessons)
+        if not settings.get("patience") and not settings.get("fold_noise"):
+            known = {"fitted": lessons.fits[-1], "labels": lessons.labels[-1]}       # the last fit is of the same rows
         found = _cv_means(fold_metrics)
         threshold = found.get("cv_decision_threshold_mean", threshold)
 
@@ -208,7 +243,7 @@ def train(transactions: DataFrame, name: str, params: dict | None = None, settin
             in_train, settings["validation_size"], LABEL, HashOrder(order.row_id, seed + 1, order.method))
     if settings.get("fold_noise"):
         fit_rows = add_fold_noise(fit_rows, spec.numeric, settings["fold_noise"], order.row_id, seed)
-    model = fit_model(fit_rows, spec, params, settings, seed, features, validation)
+    model = fit_model(fit_rows, spec, params, settings, seed, features, validation, **known)
     if settings.get("threshold_from_train"):
         fitted = materialise(model.probability(fit_rows, "score").select(F.col(LABEL).alias("label"), "score"), "train")
         threshold = metrics.threshold_at_best_f1(fitted).first()["decision_threshold"]
