@@ -36,6 +36,7 @@ class Fitted:
     modes: dict[str, str] = field(default_factory=dict)
     labels: dict[str, list[str]] = field(default_factory=dict)
     code_table: DataFrame | None = None   # (column, value, code) of vocabularies beyond MAX_LABELS
+    unseen: float = -1.0                  # code of a value that the table does not hold
 
     @property
     def joined(self) -> list[str]:
@@ -138,8 +139,9 @@ def code_name(c: str) -> str:
     return f"{c}_code"
 
 
-def encode_by_join(df: DataFrame, columns: Sequence[str], codes: DataFrame, modes: dict[str, str] | None = None) -> DataFrame:
-    """Codes by left join with the code table; unseen values get -1, missing ones the mode's code.
+def encode_by_join(df: DataFrame, columns: Sequence[str], codes: DataFrame, modes: dict[str, str] | None = None,
+                   unseen: float = -1.0) -> DataFrame:
+    """Codes by left join with the code table; unseen values get ``unseen``, missing ones the mode's code.
 
     Spark broadcasts the table when it is small; otherwise the join is a shuffle whose skewed
     partitions adaptive execution splits.
@@ -148,7 +150,7 @@ def encode_by_join(df: DataFrame, columns: Sequence[str], codes: DataFrame, mode
         table = codes.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
         value = F.coalesce(F.col(c), F.lit(modes[c])) if modes else F.col(c)
         df = (df.join(table, value == F.col("_value"), "left")
-              .withColumn(code_name(c), F.coalesce("_code", F.lit(-1.0))).drop("_value", "_code"))
+              .withColumn(code_name(c), F.coalesce("_code", F.lit(unseen))).drop("_value", "_code"))
     return df
 
 
@@ -180,7 +182,7 @@ def stages(fitted: Fitted, output: str = FEATURES) -> PipelineModel:
 def transform(df: DataFrame, fitted: Fitted, output: str = FEATURES) -> DataFrame:
     require_features(df, fitted.numeric + fitted.categorical)
     if fitted.joined:
-        df = encode_by_join(df, fitted.joined, fitted.code_table, fitted.modes)
+        df = encode_by_join(df, fitted.joined, fitted.code_table, fitted.modes, fitted.unseen)
     helpers = [f"_{c}" for c in fitted.categorical] + [f"_{c}_index" for c in fitted.categorical]
     return stages(fitted, output).transform(df).drop(*helpers)
 

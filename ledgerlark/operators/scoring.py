@@ -24,19 +24,20 @@ class ScoringModel:
     modes: dict[str, str] | None = None
     joined: list[str] | None = None
     code_table: DataFrame | None = None
+    unseen: float = -1.0
 
     @classmethod
     def of(cls, fitted: Fitted, classifier, threshold: float = 0.5) -> "ScoringModel":
         steps = preprocess.stages(fitted).stages + [classifier]
         return cls(fitted.numeric + fitted.categorical, PipelineModel(stages=steps), threshold,
-                   fitted.modes, fitted.joined, fitted.code_table)
+                   fitted.modes, fitted.joined, fitted.code_table, fitted.unseen)
 
     def probability(self, df: DataFrame, name: str = "fraud_probability") -> DataFrame:
         """All columns of ``df`` plus the probability; fails early when a feature is missing."""
         require_features(df, self.features)
         wide = df
         if self.joined:
-            wide = encode_by_join(wide, self.joined, self.code_table, self.modes)
+            wide = encode_by_join(wide, self.joined, self.code_table, self.modes, self.unseen)
         scored = self.pipeline.transform(wide)
         return scored.select(*[F.col(f"`{c}`") for c in df.columns],
                              vector_to_array("probability")[1].alias(name))
@@ -52,7 +53,7 @@ class ScoringModel:
         spark = SparkSession.active()
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         about = {"features": self.features, "threshold": self.threshold, "modes": self.modes,
-                 "joined": self.joined}
+                 "joined": self.joined, "unseen": self.unseen}
         spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
         if self.joined:
             self.code_table.write.mode("overwrite").parquet(f"{path}/codes")
@@ -62,7 +63,7 @@ class ScoringModel:
         about = json.loads(spark.read.text(f"{path}/about").first()["value"])
         codes = spark.read.parquet(f"{path}/codes") if about["joined"] else None
         return cls(about["features"], PipelineModel.load(f"{path}/pipeline"), about["threshold"],
-                   about["modes"], about["joined"], codes)
+                   about["modes"], about["joined"], codes, about.get("unseen", -1.0))
 
 
 # --- foreign models -------------------------------------------------------------------------

@@ -19,7 +19,7 @@ from ledgerlark import views
 from ledgerlark.functions import hashing
 from ledgerlark.functions.scalar import event_time, to_double
 from ledgerlark.operators import (
-    clean, features, foldstats, history, metrics, models, noise, normalise, orderstats, preprocess, profile, sampling, scoring,
+    clean, features, foldstats, history, metrics, models, noise, normalise, ordered, orderstats, preprocess, profile, sampling, scoring,
 )
 from ledgerlark.operators.sampling import HashOrder
 from ledgerlark.plans import exploration, publishing, search, training
@@ -955,6 +955,37 @@ def fold_preprocessing(spark, sf_dir):
     return _rounded(_rounded(found, "median", "mean"), "deviation", digits=5)
 
 
+_TARGETS = ["category", "city"]
+_BEFORE = "OVER (PARTITION BY {c} ORDER BY h, CAST(record_id AS VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+@query("M2 E6", with_views("txn") + f""",
+t AS (SELECT *, {_hash()} AS h FROM txn)
+SELECT record_id, """ + ", ".join(f"""round(CASE WHEN {c} IS NULL THEN 0.5 ELSE (coalesce(sum(is_fraud) {_BEFORE.format(c=c)}, 0) + 0.5)
+  / (count(is_fraud) {_BEFORE.format(c=c)} + 1) END, 9) AS {c}_code""" for c in _TARGETS) + " FROM t")
+def ordered_target_statistics(spark, sf_dir):
+    """The label's smoothed mean over the rows of the same category that come before in the hash order."""
+    rows = materialise(txn(spark, sf_dir).select("record_id", *_TARGETS, "is_fraud"), "rows")
+    codes = [preprocess.code_name(c) for c in _TARGETS]
+    return _rounded(ordered.ordered_statistics(rows, _TARGETS, "is_fraud", ORDER), *codes, digits=9).select("record_id", *codes)
+
+
+@query("M2 E6 J2", with_views("txn") + """,
+past AS (SELECT * FROM txn WHERE transaction_time < TIMESTAMP '2024-01-16'),
+""" + ",\n".join(f"{c}_s AS (SELECT {c} AS v, (sum(is_fraud) + 0.5) / (count(is_fraud) + 1) AS code FROM past WHERE {c} IS NOT NULL GROUP BY 1)"
+                  for c in _TARGETS) + """
+SELECT record_id, """ + ", ".join(f"round(coalesce({c}_s.code, 0.5), 9) AS {c}_code" for c in _TARGETS)
+       + " FROM txn " + " ".join(f"LEFT JOIN {c}_s ON {c}_s.v = txn.{c}" for c in _TARGETS))
+def target_statistics_of_the_past(spark, sf_dir):
+    """Every row with the statistic that the rows before one day have left."""
+    rows = txn(spark, sf_dir)
+    past = rows.filter("transaction_time < TIMESTAMP '2024-01-16'")
+    table = materialise(ordered.target_statistics(past, _TARGETS, "is_fraud"), "statistics")
+    codes = [preprocess.code_name(c) for c in _TARGETS]
+    found = preprocess.encode_by_join(rows.select("record_id", *_TARGETS), _TARGETS, table, unseen=ordered.PRIOR)
+    return _rounded(found, *codes, digits=9).select("record_id", *codes)
+
+
 # --- metrics --------------------------------------------------------------------------------
 
 _CURVE = """,
@@ -1305,7 +1336,17 @@ UNION ALL SELECT 'folds', {folds} UNION ALL SELECT 'scored_twice_out_of_fold', 0
     return out
 
 
-def _facts(spark, sf_dir, name: str, params: dict | None = None, **settings) -> DataFrame:
+_LIFT = " UNION ALL SELECT 'folds_without_lift', 0"
+
+
+def _folds_without_lift(trained, lift: float = 5) -> int:
+    """Folds whose held-out average precision is below ``lift`` times the share of positives, which no constant model reaches."""
+    precision = trained.fold_metrics.filter("metric = 'avg_precision'").select("fold", "value")
+    rates = trained.fold_scores.groupBy("fold").agg(F.avg("label").alias("rate"))
+    return rates.join(precision, "fold", "left").filter(~(F.coalesce("value", F.lit(0.0)) >= lift * F.col("rate"))).count()
+
+
+def _facts(spark, sf_dir, name: str, params: dict | None = None, lift: bool = False, **settings) -> DataFrame:
     """Trains a family and states what SQL can check (see ``_facts_sql``) as (fact, n)."""
     rows, spec = txn(spark, sf_dir), models.family(name)
     trained = training.train(rows, name, params, settings)
@@ -1324,6 +1365,8 @@ def _facts(spark, sf_dir, name: str, params: dict | None = None, **settings) ->
             F.count_distinct("transaction_id").alias("ids"), F.count_if(~F.col("score").between(0, 1)).alias("outside")).first()
         facts |= {"out_of_fold_rows": found["rows"], "out_of_fold_positives": int(found["positives"]), "folds": found["folds"],
                   "scored_twice_out_of_fold": found["rows"] - found["ids"], "outside_0_1_out_of_fold": found["outside"]}
+    if lift:
+        facts["folds_without_lift"] = _folds_without_lift(trained)
     return spark.createDataFrame([(k, int(v)) for k, v in facts.items()], "fact string, n bigint")
 
 
@@ -1406,6 +1449,12 @@ def catboost_folds_training(spark, sf_dir):
     return _facts(spark, sf_dir, "catboost")
 
 
+@query("M2 E6 M11 M12 M13 M14 V7", _facts_sql() + _LIFT)
+def catboost_ordered_training(spark, sf_dir):
+    """The same with ordered target statistics in place of codes."""
+    return _facts(spark, sf_dir, "catboost", lift=True, ordered=True)
+
+
 @query("M3 M13", _facts_sql())
 def lightgbm_folds_training(spark, sf_dir):
     return _facts(spark, sf_dir, "lightgbm")

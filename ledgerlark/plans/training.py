@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 from multiprocessing.pool import ThreadPool
 
@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlark.operators import boosting, foldstats, metrics, preprocess, sampling
+from ledgerlark.operators import boosting, foldstats, metrics, ordered, preprocess, sampling
 from ledgerlark.operators.features import add_calendar_flags, add_merchant_risk, add_training_features
 from ledgerlark.operators.history import Entity, add_behaviour
 from ledgerlark.operators.models import (
@@ -108,6 +108,7 @@ class FoldLessons:
     @cached_property
     def fits(self) -> list[preprocess.Fitted]:
         numeric, categorical = _chosen(self.spec, self.features)
+        categorical = [] if self.settings.get("ordered") else categorical
         return foldstats.fit_folds(self.train, numeric, categorical, "fold", self.settings["n_folds"], self.settings.get("scale", True))
 
 
@@ -128,27 +129,39 @@ def _weights(spec: Family, params: dict, train: DataFrame, counts: dict[int, int
 
 def fit_model(train: DataFrame, spec: Family, params: dict, settings: dict, seed: int,
               features: list[str] | None = None, validation: DataFrame | None = None,
-              fitted: preprocess.Fitted | None = None, labels: dict[int, int] | None = None) -> ScoringModel:
+              fitted: preprocess.Fitted | None = None, labels: dict[int, int] | None = None,
+              order: HashOrder | None = None) -> ScoringModel:
     """Preprocessing fitted on ``train``, then the classifier; ``validation`` rows stop boosting early.
 
-    ``fitted`` and ``labels`` are what ``train`` is already known to teach, see ``FoldLessons``.
+    ``fitted`` and ``labels`` are what ``train`` is already known to teach, see ``FoldLessons``. With the setting ``ordered`` a category
+    is the label's mean: over the rows before it in ``order`` while training, over all of ``train`` afterwards.
 
     Boosting runs all its rounds, the losses on the validation rows tell the best one, and if that is not the last, the
     model is fitted again with so many rounds. Rounds are seeded one by one, so the trees are the same.
     """
     numeric, categorical = _chosen(spec, features)
-    fitted = fitted or preprocess.fit(train, numeric, categorical, scale=settings.get("scale", True))
+    by_target = bool(settings.get("ordered") and categorical)
+    fitted = fitted or preprocess.fit(train, numeric, [] if by_target else categorical, scale=settings.get("scale", True))
     weights, weight_sum = _weights(spec, params, train, labels)
     def ready(rows: DataFrame) -> DataFrame:
         return preprocess.transform(add_class_weight(rows, weights, LABEL, WEIGHT), fitted).select("features", LABEL, WEIGHT)
 
+    if by_target:
+        codes = materialise(ordered.target_statistics(train, categorical, LABEL, ordered.PRIOR), "statistics")
+        fitted = replace(fitted, categorical=categorical, modes={}, labels={}, code_table=codes, unseen=ordered.PRIOR)
+        order = order or HashOrder(ROW_ID, seed)
+        coded = ordered.ordered_statistics(train.select(order.row_id, *numeric, *categorical, LABEL), categorical, LABEL, order, ordered.PRIOR)
+        weighted = add_class_weight(materialise(coded, "ordered"), weights, LABEL, WEIGHT)
+        known = preprocess.stages(fitted).transform(weighted).select("features", LABEL, WEIGHT)
+    else:
+        known = ready(train)
     info = {"weight_sum": weight_sum, "width": len(numeric) + len(categorical)}
     estimator = spec.build(params, seed, info)
-    classifier = estimator.fit(ready(train))
+    classifier = estimator.fit(known)
     if validation is not None:
         rounds = best_round(classifier.evaluateEachIteration(ready(validation)), settings["patience"])
         if rounds < classifier.getNumTrees:
-            classifier = estimator.copy({estimator.maxIter: rounds}).fit(ready(train))
+            classifier = estimator.copy({estimator.maxIter: rounds}).fit(known)
     return ScoringModel.of(fitted, classifier)
 
 
@@ -156,10 +169,11 @@ def _classifier(model: ScoringModel):
     return model.pipeline.stages[-1]
 
 
-def select_features(train: DataFrame, spec: Family, params: dict, settings: dict, seed: int) -> tuple[list[str], DataFrame]:
+def select_features(train: DataFrame, spec: Family, params: dict, settings: dict, seed: int,
+                    order: HashOrder | None = None) -> tuple[list[str], DataFrame]:
     """Features kept by a quick boosting model, and the importance table."""
     quick = layered(params, {"iterations": 20, "max_depth": 3, "learning_rate": 0.1})
-    model = fit_model(train, spec, quick, settings, seed)
+    model = fit_model(train, spec, quick, settings, seed, order=order)
     table = importance_table(train.sparkSession, model.features, _classifier(model))
     return pick_features(table, settings["importance_threshold"], settings["max_features"]), table
 
@@ -181,7 +195,7 @@ def cross_validate(train: DataFrame, spec: Family, params: dict, settings: dict,
         if noisy:
             inside = add_fold_noise(inside, spec.numeric, noisy, order.row_id, seed + fold + 1)
         early = settings.get("patience")
-        model = fit_model(inside, spec, params, settings, seed + fold + 1, features, outside if early else None, **known[fold])
+        model = fit_model(inside, spec, params, settings, seed + fold + 1, features, outside if early else None, order=order, **known[fold])
         scored = model.probability(outside, "score").select(
             order.row_id, "fold", F.col(LABEL).alias("label"), "score")
         return materialise(scored, "fold"), getattr(_classifier(model), "getNumTrees", None)
@@ -225,7 +239,7 @@ def train(transactions: DataFrame, name: str, params: dict | None = None, settin
 
     features = importances = None
     if settings.get("select_features"):
-        features, importances = select_features(in_train, spec, params, settings, seed)
+        features, importances = select_features(in_train, spec, params, settings, seed, order)
 
     found, fold_metrics, fold_scores, threshold = {}, None, None, settings.get("threshold", 0.5)
     known = {}
@@ -243,7 +257,7 @@ def train(transactions: DataFrame, name: str, params: dict | None = None, settin
             in_train, settings["validation_size"], LABEL, HashOrder(order.row_id, seed + 1, order.method))
     if settings.get("fold_noise"):
         fit_rows = add_fold_noise(fit_rows, spec.numeric, settings["fold_noise"], order.row_id, seed)
-    model = fit_model(fit_rows, spec, params, settings, seed, features, validation, **known)
+    model = fit_model(fit_rows, spec, params, settings, seed, features, validation, order=order, **known)
     if settings.get("threshold_from_train"):
         fitted = materialise(model.probability(fit_rows, "score").select(F.col(LABEL).alias("label"), "score"), "train")
         threshold = metrics.threshold_at_best_f1(fitted).first()["decision_threshold"]
