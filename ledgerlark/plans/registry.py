@@ -1386,25 +1386,17 @@ def xgboost_training(spark, sf_dir):
     return _facts(spark, sf_dir, "xgboost")
 
 
-@query("M1 M4 M12 M13 M14 E4 V7 V9", _facts_sql() + " UNION ALL SELECT 'folds_without_lift', 0")
-def boosted_training(spark, sf_dir):
-    """Second-order boosting at the family's settings, ten folds and all rows in one sequence of passes; each fold's held-out average
-    precision is several times the share of positives, which no constant model reaches."""
-    rows, spec = txn(spark, sf_dir), models.family("xgboost")
-    trained = training.boosted_folds(rows, "xgboost")
-    found, lift = trained.fold_scores, 5
-    facts = found.agg(
+def _side_by_side_facts(spark, rows: DataFrame, spec, trained) -> DataFrame:
+    """The facts of ``_facts`` and ``_LIFT`` for models of all folds that were trained at once."""
+    facts = trained.fold_scores.agg(
         F.count("*").alias("out_of_fold_rows"), F.sum("label").alias("out_of_fold_positives"), F.count_distinct("fold").alias("folds"),
         (F.count("*") - F.count_distinct("transaction_id")).alias("scored_twice_out_of_fold"),
         F.count_if(~F.col("score").between(0, 1)).alias("outside_0_1_out_of_fold")).first().asDict()
-    precision = trained.fold_metrics.filter("metric = 'avg_precision'").select("fold", "value")
-    rates = found.groupBy("fold").agg(F.avg("label").alias("rate"))
-    facts["folds_without_lift"] = rates.join(precision, "fold", "left").filter(~(F.coalesce("value", F.lit(0.0)) >= lift * F.col("rate"))).count()
+    facts["folds_without_lift"] = _folds_without_lift(trained)
     shares = ("avg_precision", "roc_auc", "precision", "recall", "f1", "f2", "decision_threshold")
     facts["metrics_outside_0_1"] = sum(
         not 0 <= v <= 1 for k, v in trained.metrics.items() if v is not None and k.removesuffix("_mean").endswith(shares))
-    table = training.rows_for(rows, spec)
-    coded = training.with_codes(table, trained.codes)
+    coded = training.with_codes(training.rows_for(rows, spec), trained.codes)
     threshold = trained.metrics["decision_threshold"]
     scored = trained.model.score(coded).withColumn("prediction", (F.col("score") >= threshold).cast("int"))
     facts |= scored.agg(F.count("*").alias("scored_rows"), F.count_if(F.col("prediction") != (F.col("score") >= threshold).cast("int")).alias("wrong_decisions"),
@@ -1412,6 +1404,14 @@ def boosted_training(spark, sf_dir):
     return spark.createDataFrame([(k, int(v)) for k, v in facts.items()], "fact string, n bigint")
 
 
+@query("M1 M4 M12 M13 M14 E4 V7 V9", _facts_sql() + _LIFT)
+def boosted_training(spark, sf_dir):
+    """Second-order boosting at the family's settings, ten folds and all rows in one sequence of passes; each fold's held-out average
+    precision is several times the share of positives, which no constant model reaches."""
+    rows = txn(spark, sf_dir)
+    return _side_by_side_facts(spark, rows, models.family("xgboost"), training.boosted_folds(rows, "xgboost"))
+
+
 @query("M2 M12 M14", _facts_sql(folds=None))
 def catboost_training(spark, sf_dir):
     return _facts(spark, sf_dir, "catboost", n_folds=None)

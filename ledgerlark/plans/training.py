@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlark.operators import boosting, foldstats, metrics, ordered, preprocess, sampling
+from ledgerlark.operators import boosting, extratrees, foldstats, metrics, ordered, preprocess, sampling
 from ledgerlark.operators.features import add_calendar_flags, add_merchant_risk, add_training_features
 from ledgerlark.operators.history import Entity, add_behaviour
 from ledgerlark.operators.models import (
@@ -31,7 +31,7 @@ HELD_OUT = "is_test"
 
 @dataclass
 class Trained:
-    model: ScoringModel | boosting.Boosted
+    model: ScoringModel | boosting.Boosted | extratrees.ExtraForest
     metrics: dict[str, float]
     params: dict
     fold_metrics: DataFrame | None = None
@@ -283,13 +283,10 @@ def with_codes(rows: DataFrame, codes: preprocess.Fitted) -> DataFrame:
         {f"{c}_code": values[n] for n, c in enumerate(codes.categorical)}).drop("features")
 
 
-def boosted_folds(transactions: DataFrame, name: str = "xgboost", params: dict | None = None, settings: dict | None = None,
-                  order: HashOrder | None = None) -> Trained:
-    """A boosting family by the second-order booster: the models of all folds and of all training rows in the passes of one.
+def _side_by_side(transactions: DataFrame, name: str, params: dict | None, settings: dict | None, order: HashOrder | None, fit) -> Trained:
+    """A family whose models of all folds and of all training rows come from ``fit(rows, features, params, settings, order)`` at once.
 
-    Missing numbers are not imputed, they have a bin of their own; categories are codes in order. Early stopping looks at each
-    fold's held-out loss, the model of all rows takes the folds' mean number of rounds. ``reg_alpha``, ``reg_lambda`` and
-    ``max_delta_step`` count.
+    Missing numbers are not imputed; categories are codes in order, fitted on all training rows.
     """
     spec = family(name)
     params, settings = layered(spec.params, params), layered(spec.settings, settings)
@@ -303,16 +300,15 @@ def boosted_folds(transactions: DataFrame, name: str = "xgboost", params: dict |
     def ready(rows: DataFrame) -> DataFrame:
         return with_codes(add_class_weight(rows, weights, LABEL, WEIGHT), codes)
 
-    rows = materialise(ready(in_train).select(order.row_id, *spec.numeric, *coded, LABEL, WEIGHT, "fold"), "boosting")
-    fixed = {"iterations": "rounds", "reg_alpha": "l1", "reg_lambda": "l2", "min_rows": "min_rows", "max_bins": "bins"}
-    chosen = {fixed.get(k, k): v for k, v in params.items() if fixed.get(k, k) in boosting.BoostingParams.__dataclass_fields__}
-    model = boosting.boost(rows, [*spec.numeric, *coded], LABEL, boosting.BoostingParams(
-        **chosen, patience=settings.get("patience"), seed=settings["seed"]), order.row_id, WEIGHT, "fold", settings["n_folds"])
+    rows = materialise(ready(in_train).select(order.row_id, *spec.numeric, *coded, LABEL, WEIGHT, "fold"), "rows")
+    model = fit(rows, [*spec.numeric, *coded], params, settings, order)
     scores = materialise(model.score(rows, fold="fold").select(order.row_id, "fold", F.col(LABEL).alias("label"), "score"), "fold")
     limit = {"target": settings["recall_target"]} if settings.get("recall_target") else {"threshold": settings.get("threshold", 0.5)}
     long = metrics.to_long(metrics.evaluate(scores, by=["fold"], **limit), ["fold"])
-    rounds = [(n, "best_iteration", float(len(t))) for n, t in enumerate(model.trees[:-1])]
-    long = materialise(long.unionByName(rows.sparkSession.createDataFrame(rounds, "fold int, metric string, value double")), "fold-metrics")
+    if settings.get("patience"):
+        rounds = [(n, "best_iteration", float(len(t))) for n, t in enumerate(model.trees[:-1])]
+        long = long.unionByName(rows.sparkSession.createDataFrame(rounds, "fold int, metric string, value double"))
+    long = materialise(long, "fold-metrics")
     found = _cv_means(long)
     threshold = found.get("cv_decision_threshold_mean", settings.get("threshold", 0.5))
     if settings.get("test_size"):
@@ -321,3 +317,30 @@ def boosted_folds(transactions: DataFrame, name: str = "xgboost", params: dict |
         found |= {f"test_{k}": v for k, v in row.items() if k != "decision_threshold"}
     found["decision_threshold"] = threshold
     return Trained(model, found, params, long, scores, None, model.features, codes)
+
+
+def boosted_folds(transactions: DataFrame, name: str = "xgboost", params: dict | None = None, settings: dict | None = None,
+                  order: HashOrder | None = None) -> Trained:
+    """A boosting family by the second-order booster: the models of all folds and of all training rows in the passes of one.
+
+    Missing numbers have a bin of their own. Early stopping looks at each fold's held-out loss, the model of all rows takes the folds' mean
+    number of rounds. ``reg_alpha``, ``reg_lambda`` and ``max_delta_step`` count.
+    """
+    fixed = {"iterations": "rounds", "reg_alpha": "l1", "reg_lambda": "l2", "min_rows": "min_rows", "max_bins": "bins"}
+
+    def fit(rows, features, params, settings, order):
+        chosen = {fixed.get(k, k): v for k, v in params.items() if fixed.get(k, k) in boosting.BoostingParams.__dataclass_fields__}
+        return boosting.boost(rows, features, LABEL, boosting.BoostingParams(
+            **chosen, patience=settings.get("patience"), seed=settings["seed"]), order.row_id, WEIGHT, "fold", settings["n_folds"])
+
+    return _side_by_side(transactions, name, params, settings, order, fit)
+
+
+def random_threshold_folds(transactions: DataFrame, name: str = "extra_tree", params: dict | None = None, settings: dict | None = None,
+                           order: HashOrder | None = None) -> Trained:
+    """Extremely randomised trees with drawn thresholds: the forests of all folds and of all training rows, level by level together."""
+    def fit(rows, features, params, settings, order):
+        p = extratrees.ExtraParams(params["trees"], params["max_depth"], params["min_rows"], seed=settings["seed"])
+        return extratrees.grow(rows, features, LABEL, p, WEIGHT, "fold", settings["n_folds"])
+
+    return _side_by_side(transactions, name, params, settings, order, fit)
