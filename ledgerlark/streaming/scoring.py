@@ -11,6 +11,7 @@ from ledgerlark.operators.features import add_serving_features
 from ledgerlark.operators.normalise import normalise_messages
 from ledgerlark.operators.scoring import ScoringModel
 from ledgerlark.schema import HIGH_RISK_MERCHANTS
+from ledgerlark.session import STATE_CONF, settings
 from ledgerlark.sources.messages import stream_messages, stream_sink, to_envelope
 
 LATENESS = "24 hours"
@@ -64,6 +65,14 @@ def hourly_monitor(df: DataFrame, label: str = "is_fraud", width: str = "1 hour"
 
 
 def run_once(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> None:
-    """Drain a streaming frame into files and wait."""
-    (df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    """Drain a streaming frame into files and wait. State is on disk, whatever the session's own store is.
+
+    A partition of state costs a store and a worker in every batch, empty or not, so a new checkpoint gets two a core at most.
+    """
+    writer = (df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+              .outputMode("append").trigger(availableNow=True))
+    spark = df.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    with settings(spark, {**STATE_CONF, "spark.sql.shuffle.partitions": str(parts)}):          # a query copies them when it starts
+        query = writer.start()
+    query.awaitTermination()

@@ -61,3 +61,16 @@ def test_late_rows_count_and_state_ends(spark):
 def test_slices_divide_the_week(spark):
     with pytest.raises(ValueError):
         keyed_history(spark.createDataFrame([], SCHEMA), slice_days=2)
+
+
+def test_needs_no_state_store_in_the_session(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    given = spark.conf.get(key)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, plain)
+    try:
+        found = deliver(spark, [[("a1", "a", day(1), 10.0)], [("a2", "a", day(1.5), 20.0)]])
+        assert spark.conf.get(key) == plain
+    finally:
+        spark.conf.set(key, given)
+    assert found["a2"]["txn_count_7d"] == 1 and found["a2"]["amount_sum_7d"] == 10.0
