@@ -74,3 +74,11 @@ def test_needs_no_state_store_in_the_session(spark):
     finally:
         spark.conf.set(key, given)
     assert found["a2"]["txn_count_7d"] == 1 and found["a2"]["amount_sum_7d"] == 10.0
+
+
+def test_equal_times_come_in_the_order_of_the_transaction_id(spark, monkeypatch):
+    from ledgerlark.plans import registry
+    rows = spark.createDataFrame([(n, f"t{n}", "a", day(1), 1.0) for n in (8, 10)], "record_id long, " + SCHEMA)
+    monkeypatch.setattr(registry, "_history_rows", lambda *args: rows)
+    found = {r["record_id"]: r["time_since_last_txn"] for r in registry.keyed_state_history(spark, "").collect()}
+    assert found == {8: 0.0, 10: None}
