@@ -129,3 +129,31 @@ def test_untidy_rows(spark):
     assert sum(one.importances().values()) > 0
     empty = boost(df.limit(0), FEATURES, "label", p, fold="fold", n_folds=3, edges=every_value(x))
     assert {r["score"] for r in empty.score(df).collect()} == {0.5}
+
+
+def test_leaves_of_a_tree_row_by_row():
+    rng, tree = np.random.default_rng(5), boosting.Tree()
+    missing, waiting = np.array([7, 7, 3]), [0]
+    for n in range(6):
+        f = int(rng.integers(0, 3))
+        waiting += tree.split(waiting.pop(0), f, int(rng.integers(0, missing[f])), bool(n % 2), (0.1 * n, -0.1 * n))
+    bins = np.stack([rng.integers(0, m + 1, 300) for m in missing], axis=1).astype(np.uint16)
+
+    def leaf(row):
+        node = 0
+        while tree.feature[node] >= 0:
+            value = row[tree.feature[node]]
+            left = tree.missing_left[node] if value == missing[tree.feature[node]] else value <= tree.bin[node]
+            node = tree.left[node] if left else tree.right[node]
+        return node
+
+    wanted = [leaf(row) for row in bins]
+    assert tree.nodes_of(bins, missing).tolist() == tree.nodes_of(np.asfortranarray(bins), missing).tolist() == wanted
+    assert tree.nodes_of(bins[:0], missing).tolist() == [] and boosting.Tree().nodes_of(bins, missing).tolist() == [0] * 300
+
+
+def test_training_rows_of_one_file_are_spread_over_the_cores(spark):
+    from ledgerlark.plans.training import spread
+    one = spark.range(0, 4000, 1, 1).selectExpr("concat('t', id) AS transaction_id")
+    found = spread(one, "transaction_id").selectExpr("spark_partition_id() AS part").groupBy("part").count().collect()
+    assert len(found) == 2 * spark.sparkContext.defaultParallelism and max(r["count"] for r in found) < 2000
