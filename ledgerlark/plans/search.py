@@ -11,7 +11,7 @@ from ledgerlark.operators.models import (
     BEHAVIOUR_GRID, BOOSTING_GRID, IDLE, LOGISTIC_CANDIDATES, family, grid, layered,
 )
 from ledgerlark.operators.sampling import HashOrder
-from ledgerlark.plans.training import HELD_OUT, ROW_ID, FoldLessons, Trained, cross_validate, prepare, rows_for, train
+from ledgerlark.plans.training import HELD_OUT, ROW_ID, FoldLessons, Trained, _regressed_together, cross_validate, prepare, regress_folds, rows_for, train
 
 
 def candidates_for(name: str, limit: int | None = None, mode: str = "random", seed: int = 42) -> list[dict]:
@@ -34,9 +34,12 @@ def search(transactions: DataFrame, name: str, candidates: list[dict], metric: s
     table = prepare(rows_for(transactions, spec, settings), spec, settings, order)
     in_train = table.filter(~F.col(HELD_OUT))
     results, judged, lessons = None, {}, FoldLessons(in_train, spec, settings)
-    for i, candidate in enumerate(candidates, start=1):
-        params = layered(spec.params, candidate)
-        model = repr(sorted((k, v) for k, v in params.items() if k not in IDLE))
+    chosen = [layered(spec.params, candidate) for candidate in candidates]
+    models = [repr(sorted((k, v) for k, v in params.items() if k not in IDLE)) for params in chosen]
+    if name == "logistic" and _regressed_together(lessons):
+        distinct = dict(zip(models, chosen))
+        judged = {model: folds for model, (folds, _) in zip(distinct, regress_folds(lessons, list(distinct.values()), order))}
+    for i, (candidate, params, model) in enumerate(zip(candidates, chosen, models), start=1):
         if model not in judged:
             judged[model], _ = cross_validate(in_train, spec, params, settings, order, None, parallelism, lessons)
         folds = judged[model]
