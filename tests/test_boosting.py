@@ -157,3 +157,19 @@ def test_training_rows_of_one_file_are_spread_over_the_cores(spark):
     one = spark.range(0, 4000, 1, 1).selectExpr("concat('t', id) AS transaction_id")
     found = spread(one, "transaction_id").selectExpr("spark_partition_id() AS part").groupBy("part").count().collect()
     assert len(found) == 2 * spark.sparkContext.defaultParallelism and max(r["count"] for r in found) < 2000
+
+
+def test_small_folds_are_boosted_side_by_side_in_few_tasks(spark, monkeypatch):
+    from ledgerlark.operators import models
+    from ledgerlark.operators.sampling import HashOrder
+    from ledgerlark.plans import training
+    spec = models.Family("lightgbm", models.family("lightgbm").build, {"iterations": 2, "learning_rate": 0.1, "max_depth": 2}, ["x"], [])
+    rows = spark.range(0, 600, 1, 8).selectExpr("CAST(id AS STRING) AS transaction_id", "CAST(id % 37 AS DOUBLE) AS x", "CAST(id % 37 > 30 AS INT) AS is_fraud",
+                                                "CAST(id % 6 AS INT) AS fold")
+    seen, used = [], models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, df, *rest: seen.append(df.rdd.getNumPartitions()) or used(self, df, *rest))
+    _, scores = training.cross_validate(rows, spec, spec.params, {"n_folds": 6, "seed": 1}, HashOrder("transaction_id", 1))
+    assert seen == [1] * 6 and scores.count() == 600
+    labels = [{0: 500, 1: 100}] * 7
+    assert training.side_by_side(rows, spec, spec.params, labels, 6, 4) == (6, 1)
+    assert training.side_by_side(rows, spec, spec.params, [{0: 10**8}] * 7, 6, 4) == (4, None)
