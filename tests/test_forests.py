@@ -81,6 +81,7 @@ def test_groups_and_partitions_change_nothing(spark, monkeypatch):
     want, _ = forests.grow(made, 3, p, 100)
     monkeypatch.setattr(forests, "GROUP", 2_000)
     monkeypatch.setattr(foldtrees, "GATHERED", 0)
+    monkeypatch.setattr(forests, "SHORT", 3)
     got, _ = forests.grow(replace(made, table=made.table.repartition(2)), 3, p, 100)
     assert [nodes(a, 5) for a in want] == [nodes(b, 5) for b in got]
 
