@@ -109,3 +109,23 @@ def test_training_grows_all_folds_together_and_the_stored_model_scores_alike(spa
     found = trained.fold_scores.agg(F.count("*"), F.count_distinct("transaction_id"), F.count_distinct("fold")).first()
     assert found[0] == found[1] and found[2] == 4
     assert trained.metrics["test_roc_auc"] > 0.65 and trained.metrics["cv_roc_auc_mean"] > 0.65
+
+
+def test_every_job_of_the_rounds_is_a_pass(spark, monkeypatch):
+    df, p, passes, own = table(spark), boosting.BoostingParams(7, .3, 3, seed=5), [], foldtrees._gathered
+    lessons = [foldtrees.Lesson({0: 1.0, 1: 2.0}, [0, 1], [0, 1], np.array([np.nan, np.nan])) for _ in range(4)]
+    blocks = foldtrees.written(df, "id", ["x", "z"], [0, 1], "y", "fold", lessons, p.bins)
+    monkeypatch.setattr(foldtrees, "_gathered", lambda rdd, size: passes.append(1) or own(rdd, size))
+    spark.sparkContext.setJobGroup("rounds", "rounds")
+    try:
+        foldtrees.grow(blocks, p)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(passes) > 7 and len(jobs) == len(passes)
+
+
+def test_only_the_wanted_columns_are_picked():
+    bins = np.arange(24, dtype=np.uint8).reshape(4, 6)
+    out = foldtrees._picked(bins, [3, 1, 0], np.array([5, 2]), {0, 2})
+    assert out.shape == (3, 2) and out[0].tolist() == [23, 20] and out[2].tolist() == [5, 2]
