@@ -73,3 +73,14 @@ def test_boosting_search_judges_ten_candidates_and_each_model_once(spark, monkey
     assert [r[0] for r in rows] == list(range(1, 11)) and all(r[2] and r[3] for r in rows)
     assert len(judged) == len({tuple(p[k] for k in p if k != "max_delta_step") for p, *_ in judged}) == 5
     assert {(folds, patience) for _, folds, patience in judged} == {(10, 25)}
+
+
+@pytest.mark.parametrize("name, family, candidates", [("logistic_search", "logistic", 6)])
+def test_searches_judge_all_candidates_at_the_family_s_own_settings(monkeypatch, name, family, candidates):
+    from ledgerlark.plans import registry
+    used = []
+    monkeypatch.setattr(registry, "_searched", lambda spark, sf_dir, *args, **settings: used.append((args, settings)))
+    queries()[name](None, SF)
+    (args, settings), = used
+    assert args[0] == family and len(args[1]) == candidates and not settings
+    assert oracle_sql()[name].count("AS candidate") == candidates
