@@ -75,7 +75,7 @@ def test_boosting_search_judges_ten_candidates_and_each_model_once(spark, monkey
     assert {(folds, patience) for _, folds, patience in judged} == {(10, 25)}
 
 
-@pytest.mark.parametrize("name, family, candidates", [("logistic_search", "logistic", 6)])
+@pytest.mark.parametrize("name, family, candidates", [("boosting_search", "xgboost", 10), ("logistic_search", "logistic", 6)])
 def test_searches_judge_all_candidates_at_the_family_s_own_settings(monkeypatch, name, family, candidates):
     from ledgerlark.plans import registry
     used = []
